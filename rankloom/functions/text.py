@@ -68,8 +68,12 @@ def term_counts(rows: DataFrame, keys: Sequence[str], text: str = "text") -> Dat
             (F.coalesce(F.get("_starts", n + 1), F.size("_toks")) - i).alias("tf"),
         ),
     )
-    exploded = starts.select(*keys, F.explode(runs).alias("_run"))
-    return exploded.select(*keys, "_run.term", "_run.tf").filter(~is_stop_word("term"))
+    # Filtered inside the array: as a row filter, Catalyst would repeat it on the other side of
+    # every join on the term.
+    kept = F.filter(runs, lambda r: ~is_stop_word(r["term"]))
+    return starts.select(*keys, F.explode(kept).alias("_run")).select(
+        *keys, "_run.term", "_run.tf"
+    )
 
 
 def term_bucket(term: Column | str, buckets: int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .index import Index
-from .joins import BROADCAST_IDS, lookup_join
+from .joins import SHUFFLE_ROWS, lookup_join
 from .ranking import top_k
 from .scoring import QueryBatch, bm25, tfidf, word_count
 
@@ -125,7 +125,7 @@ def two_field_search(
             ),
         }
     )
-    wide = with_signals(wide, signals, batch.results_within(2 * candidates, BROADCAST_IDS))
+    wide = with_signals(wide, signals, batch.results_within(2 * candidates, SHUFFLE_ROWS))
     scores = wide.select("qid", "doc_id", weighted_sum(wide, s.weights).alias("score"))
     return top_k(scores, k)
 
@@ -146,7 +146,7 @@ def three_field_candidates(
             "anchor": best_candidates(word_count(index, batch, "anchor"), candidates),
         }
     )
-    return with_signals(wide, signals, batch.results_within(3 * candidates, BROADCAST_IDS))
+    return with_signals(wide, signals, batch.results_within(3 * candidates, SHUFFLE_ROWS))
 
 
 def three_field_search(

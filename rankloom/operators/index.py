@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from ..sources.workspace import Workspace, bucket_count
 from .joins import join_vocabulary
 
 POSTING_BLOCK = 65_536
+TERM_STATS = "term string, df bigint, term_total bigint, field string, term_bucket int"
 
 
 @dataclass(frozen=True)
@@ -153,18 +154,36 @@ def build_index(
     term_buckets: int = 4,
     buckets: int | None = None,
 ) -> Index:
-    """Build and write an index.
+    """Analyze documents and write their index; parameters as in :func:`count_terms`.
 
-    Postings are split into directories by term, so a query reads only those of its terms, and
-    hash-bucketed by document inside, so that scoring groups by document without a shuffle and
-    the postings of a frequent term are spread over all tasks.
+    ``n_docs`` are the corpus sizes, by default the numbers of rows.
     """
-    spark = workspace.spark
     n_docs = n_docs or {name: docs.count() for name, docs in fields.items()}
     buckets = buckets or max(bucket_count(docs) for docs in fields.values())
     counts = count_terms(fields, merge, buckets)
     if analyzer == "stemmed":
         counts = stem_counts(counts, workspace).repartition(buckets, "doc_id")
+    elif analyzer != "plain":
+        raise ValueError(f"unknown analyzer {analyzer!r}")
+    sizes = corpus_sizes(workspace.spark, n_docs)
+    return write_index(counts, sizes, workspace, buckets, analyzer, term_buckets)
+
+
+def write_index(
+    counts: DataFrame,
+    sizes: DataFrame,
+    workspace: Workspace,
+    buckets: int,
+    analyzer: str = "plain",
+    term_buckets: int = 4,
+) -> Index:
+    """Write the tables of an index, given term counts that are partitioned by document.
+
+    Postings are split into directories by term, so a query reads only those of its terms, and
+    hash-bucketed by document inside, so that scoring groups by document without a shuffle and
+    the postings of a frequent term are spread over all tasks.
+    """
+    spark = workspace.spark
     postings = workspace.save_bucketed(
         "postings",
         counts.withColumn("term_bucket", term_bucket("term", term_buckets)),
@@ -172,17 +191,14 @@ def build_index(
         partition_by=("field", "term_bucket"),
         sort_by=("term", "doc_id"),
     )
-    term_stats = term_statistics(postings).sortWithinPartitions("field", "term_bucket", "term")
-    term_stats.write.partitionBy("field", "term_bucket").parquet(workspace.path("term_stats"))
-    schema = "term string, df bigint, term_total bigint, field string, term_bucket int"
-    term_stats = spark.read.schema(schema).parquet(workspace.path("term_stats"))
+    term_statistics(postings).sortWithinPartitions("field", "term_bucket", "term").write.mode(
+        "overwrite"
+    ).partitionBy("field", "term_bucket").parquet(workspace.path("term_stats"))
+    term_stats = spark.read.schema(TERM_STATS).parquet(workspace.path("term_stats"))
     doc_stats = workspace.save_bucketed(
         "doc_stats", document_lengths(postings), buckets, partition_by=("field",)
     )
-    corpus = workspace.save(
-        "corpus_stats",
-        corpus_statistics(term_stats, corpus_sizes(spark, n_docs)).coalesce(1),
-    )
+    corpus = workspace.save("corpus_stats", corpus_statistics(term_stats, sizes).coalesce(1))
     index = Index(
         postings, term_stats, doc_stats, corpus, analyzer=analyzer, term_buckets=term_buckets
     )
@@ -190,7 +206,7 @@ def build_index(
     spark.createDataFrame(
         [(analyzer, term_buckets, buckets)], "analyzer string, term_buckets int, buckets int"
     ).coalesce(1).write.mode("overwrite").json(workspace.path("manifest"))
-    return Index(postings, term_stats, doc_stats, corpus, norms, analyzer, term_buckets)
+    return replace(index, doc_norms=norms)
 
 
 def open_index(spark: SparkSession, root: str) -> Index:
@@ -209,7 +225,6 @@ def open_index(spark: SparkSession, root: str) -> Index:
             spark.sql(f"MSCK REPAIR TABLE {table}")
         return spark.table(table)
 
-    schema = "term string, df bigint, term_total bigint, field string, term_bucket int"
     return Index(
         bucketed(
             "postings",
@@ -217,7 +232,7 @@ def open_index(spark: SparkSession, root: str) -> Index:
             "field, term_bucket",
             "term, doc_id",
         ),
-        spark.read.schema(schema).parquet(f"{root}/term_stats"),
+        spark.read.schema(TERM_STATS).parquet(f"{root}/term_stats"),
         bucketed("doc_stats", "doc_id bigint, doc_len bigint, field string", "field", "doc_id"),
         spark.read.parquet(f"{root}/corpus_stats"),
         bucketed("doc_norms", "doc_id bigint, doc_norm double, field string", "field", "doc_id"),

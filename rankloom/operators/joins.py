@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Rows allowed in a broadcast. Terms are at most 49 characters, ids and weights 8 bytes,
 # so a broadcast stays under about 100 MB.
 BROADCAST_ROWS = 250_000
-# The same for bare (id, number) rows.
-BROADCAST_IDS = 2_000_000
+# Rows that may be shuffled on a key as they are: were all of one key, a task could hold them.
+SHUFFLE_ROWS = 10_000_000
 SALTS = 32
 
 
@@ -51,14 +51,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join with a large table holding one row per key.
 
-    Only rows of ``table`` that are asked for take part. ``bounded`` says that ``left`` was found
-    small enough to broadcast its distinct keys; otherwise the distinct keys are shuffled and a
-    key that ``left`` repeats very often is salted.
+    ``bounded`` says that ``left`` was counted and is small. Then it goes to where the rows of
+    ``table`` lie, which does not move if it is bucketed on the key. Otherwise only the rows of
+    ``table`` that are asked for take part, and a key that ``left`` repeats very often is salted.
     """
-    wanted = left.select(*keys).distinct()
     if bounded:
-        return left.join(F.broadcast(table.join(F.broadcast(wanted), keys)), keys, how)
-    found = table.join(wanted, keys)
+        return left.join(table, keys, how)
+    found = table.join(left.select(*keys).distinct(), keys)
     copies = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     return left.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import Workspace
 from .index import Index
-from .joins import BROADCAST_IDS
+from .joins import BROADCAST_ROWS
 from .scoring import match, query_batch, weigh
 
 
@@ -31,7 +31,7 @@ def containing_documents(
     candidates = workspace.save(
         "judgment_candidates", match(index, batch, field, rarest).select("qid", "doc_id")
     )
-    few = candidates.count() <= BROADCAST_IDS
+    few = candidates.count() <= BROADCAST_ROWS
     texts = docs.select("doc_id", "text").join(
         F.broadcast(candidates) if few else candidates, "doc_id"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workspace import Workspace
+from ..sources.workspace import Workspace, bucket_count
 
 # Out-links of one page handled by one task; pages with more are split.
 LINKS_PER_SHARD = 1_000_000
@@ -18,15 +18,18 @@ def pagerank(
     rounds: int = 10,
     damping: float = 0.85,
     links_per_shard: int = LINKS_PER_SHARD,
-    save_every: int = 3,
+    save_every: int = 5,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``(doc_id, pagerank)`` for ``vertices(doc_id)`` and distinct ``edges(src, dst)``.
 
     Ranks add up to 1: the rank of pages without links is spread over all pages. One round is a
-    join on the source and one aggregation on the target, which is combined map-side, so a page
-    with very many in-links is no hot group; one with very many out-links is split into shards.
-    Every few rounds the ranks are written out, which cuts the lineage.
+    join on the source and one aggregation on the target. The links are bucketed by source, so
+    only ranks are shuffled to them. The aggregation is combined map-side, so a page with very
+    many in-links is no hot group; one with very many out-links is split into shards. Every few
+    rounds the ranks are written out, which cuts the lineage.
     """
+    buckets = buckets or bucket_count(vertices)
     degrees = edges.groupBy(F.col("src").alias("doc_id")).agg(F.count("*").alias("out"))
     zero = F.lit(0).cast("bigint")
     nodes = workspace.save(
@@ -40,11 +43,15 @@ def pagerank(
         F.count("*").alias("n"), F.count_if(F.col("out") == 0).alias("dangling")
     ).first()
     n, has_dangling = counts["n"], counts["dangling"] > 0
-    links = workspace.save(
+    sharded = edges.join(nodes.select(F.col("doc_id").alias("src"), "shards"), "src").select(
+        "src", F.pmod(F.xxhash64("dst"), "shards").alias("shard"), "dst"
+    )
+    links = workspace.save_bucketed(
         "pagerank_links",
-        edges.join(nodes.select(F.col("doc_id").alias("src"), "shards"), "src").select(
-            "src", F.pmod(F.xxhash64("dst"), "shards").alias("shard"), "dst"
-        ),
+        sharded.repartition(buckets, "src", "shard"),
+        buckets,
+        keys=("src", "shard"),
+        sort_by=("src",),
     )
     ranks = nodes.withColumn("pagerank", F.lit(1.0) / n)
     for i in range(1, rounds + 1):

@@ -39,8 +39,8 @@ class QueryBatch:
         return self.size[0] <= self.limit
 
     def results_within(self, per_query: int, limit: int) -> bool:
-        """Whether ``per_query`` results for every query are few enough to broadcast."""
-        return self.bounded and self.size[1] * per_query <= limit
+        """Whether ``per_query`` results for every query are at most ``limit`` rows."""
+        return self.size[1] * per_query <= limit
 
 
 def query_batch(queries: DataFrame, index: Index, limit: int = BROADCAST_ROWS) -> QueryBatch:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import fusion, scoring
 from ..operators.index import Index
-from ..operators.joins import BROADCAST_ROWS
+from ..operators.joins import SHUFFLE_ROWS
 from ..operators.ranking import all_ordered, attach_titles, top_k
 
 
@@ -24,7 +24,7 @@ class Searcher:
         return scoring.query_batch(queries, self.index)
 
     def _present(self, ranked: DataFrame, batch: scoring.QueryBatch, k: int) -> DataFrame:
-        bounded = batch.results_within(k, BROADCAST_ROWS)
+        bounded = batch.results_within(k, SHUFFLE_ROWS)
         titled = attach_titles(ranked, self.titles, bounded)
         return titled.select("qid", "rank", "doc_id", "title", "score")
 

@@ -48,16 +48,16 @@ class Workspace:
         name: str,
         df: DataFrame,
         buckets: int,
-        key: str = "doc_id",
+        keys: tuple[str, ...] = ("doc_id",),
         partition_by: tuple[str, ...] = (),
         sort_by: tuple[str, ...] = ("doc_id",),
     ) -> DataFrame:
-        """As :meth:`save`, hash-bucketed on ``key`` so later joins and groupings on it stay local."""
+        """As :meth:`save`, hash-bucketed so later joins and groupings on the keys stay local."""
         writer = (
             df.write.format("parquet")
             .mode("overwrite")
             .option("path", self.path(name))
-            .bucketBy(buckets, key)
+            .bucketBy(buckets, *keys)
             .sortBy(*sort_by)
         )
         if partition_by:

@@ -9,12 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import term_bucket
 from ..operators.index import (
     Index,
+    corpus_sizes,
     corpus_statistics,
     count_terms,
     document_lengths,
     term_statistics,
+    write_index,
 )
-from ..sources.workspace import Workspace
+from ..sources.workspace import Workspace, bucket_count
 
 POSTINGS = "doc_id bigint, term string, tf int, batch_id bigint, field string, term_bucket int"
 DELTAS = "term string, df bigint, term_total bigint, batch_id bigint, field string, term_bucket int"
@@ -44,7 +46,10 @@ class LiveIndex:
         self, fields: dict[str, DataFrame], batch_id: int, merge: tuple[str, ...] = ()
     ) -> None:
         spark = self.workspace.spark
-        postings = count_terms(fields, merge).withColumn(
+        # A few large files would leave most cores idle.
+        cores = spark.sparkContext.defaultParallelism
+        splits = min(docs.rdd.getNumPartitions() for docs in fields.values())
+        postings = count_terms(fields, merge, cores if splits < cores else None).withColumn(
             "term_bucket", term_bucket("term", self.term_buckets)
         )
         folder = self._folder("postings", batch_id)
@@ -55,13 +60,13 @@ class LiveIndex:
         term_statistics(written).write.mode("overwrite").partitionBy(
             "field", "term_bucket"
         ).parquet(self._folder("term_deltas", batch_id))
-        sizes = None
-        for name, docs in fields.items():
-            size = docs.agg(F.lit(name).alias("field"), F.count_distinct("doc_id").alias("n_docs")) \
-                if name in merge \
-                else docs.agg(F.lit(name).alias("field"), F.count("*").alias("n_docs"))
-            sizes = size if sizes is None else sizes.unionByName(size)
-        sizes.write.mode("overwrite").parquet(self._folder("sizes", batch_id))
+        sizes = {
+            name: (docs.select("doc_id").distinct() if name in merge else docs).count()
+            for name, docs in fields.items()
+        }
+        corpus_sizes(spark, sizes).write.mode("overwrite").parquet(
+            self._folder("sizes", batch_id)
+        )
 
     def stream(self, docs: DataFrame, checkpoint: str, field: str = "body") -> StreamingQuery:
         """Index all documents of a stream that are available now."""
@@ -93,3 +98,11 @@ class LiveIndex:
             corpus_statistics(terms, sizes),
             term_buckets=self.term_buckets,
         )
+
+    def compact(self, workspace: Workspace, buckets: int | None = None) -> Index:
+        """Write all batches so far as one index in the layout for fast scoring."""
+        postings = self._read("postings", POSTINGS)
+        buckets = buckets or bucket_count(postings)
+        counts = postings.select("field", "doc_id", "term", "tf").repartition(buckets, "doc_id")
+        sizes = self._read("sizes", SIZES).groupBy("field").agg(F.sum("n_docs").alias("n_docs"))
+        return write_index(counts, sizes, workspace, buckets, term_buckets=self.term_buckets)
