@@ -18,7 +18,6 @@ def pagerank(
     rounds: int = 10,
     damping: float = 0.85,
     links_per_shard: int = LINKS_PER_SHARD,
-    save_every: int = 5,
     buckets: int | None = None,
 ) -> DataFrame:
     """``(doc_id, pagerank)`` for ``vertices(doc_id)`` and distinct ``edges(src, dst)``.
@@ -26,8 +25,8 @@ def pagerank(
     Ranks add up to 1: the rank of pages without links is spread over all pages. One round is a
     join on the source and one aggregation on the target. The links are bucketed by source, so
     only ranks are shuffled to them. The aggregation is combined map-side, so a page with very
-    many in-links is no hot group; one with very many out-links is split into shards. Every few
-    rounds the ranks are written out, which cuts the lineage.
+    many in-links is no hot group; one with very many out-links is split into shards. The ranks
+    of every round are written out, which cuts the lineage.
     """
     buckets = buckets or bucket_count(vertices)
     degrees = edges.groupBy(F.col("src").alias("doc_id")).agg(F.count("*").alias("out"))
@@ -55,10 +54,10 @@ def pagerank(
     )
     ranks = nodes.withColumn("pagerank", F.lit(1.0) / n)
     for i in range(1, rounds + 1):
-        ranks = one_round(ranks, links, n, damping, has_dangling)
-        # With dangling pages a round reads the ranks twice, so each must be written.
-        if has_dangling or i % save_every == 0 or i == rounds:
-            ranks = workspace.save(f"pagerank_round_{i}", ranks)
+        # A round reads the ranks more than once; unsaved, the plan would double every time.
+        ranks = workspace.save(
+            f"pagerank_round_{i}", one_round(ranks, links, n, damping, has_dangling)
+        )
     return ranks.select("doc_id", "pagerank")
 
 

@@ -33,11 +33,14 @@ def body_text(pages: DataFrame) -> DataFrame:
 
 def anchors(pages: DataFrame) -> DataFrame:
     """``(page_id, pos, href, text)``, one row per link in page order."""
-    links = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(ANCHOR_PATTERN), F.lit(1)).alias("href"),
-        F.regexp_extract_all("html", F.lit(ANCHOR_PATTERN), F.lit(2)).alias("text"),
+    found = F.transform(
+        F.regexp_extract_all("html", F.lit(ANCHOR_PATTERN), F.lit(0)),
+        lambda link: F.struct(
+            F.regexp_extract(link, ANCHOR_PATTERN, 1).alias("href"),
+            F.regexp_extract(link, ANCHOR_PATTERN, 2).alias("text"),
+        ),
     )
-    return pages.select("page_id", F.posexplode(links).alias("pos", "_l")).select(
+    return pages.select("page_id", F.posexplode(found).alias("pos", "_l")).select(
         "page_id", "pos", F.col("_l.href").alias("href"), F.col("_l.text").alias("text")
     )
 

@@ -12,7 +12,7 @@ from ..functions import stemming, text
 from ..operators import evaluation, fusion, lookups, pages, pagerank, ranking, scoring
 from ..operators import index as indexing
 from ..operators.judgments import containing_documents
-from ..sources.workspace import Workspace, bucket_count
+from ..sources.workspace import Workspace, bucket_count, spread
 from ..streaming.live_index import LiveIndex
 from .search import Searcher
 
@@ -60,12 +60,16 @@ class Tables:
     def doc_index(self) -> indexing.Index:
         return indexing.build_index({"body": self.docs}, Workspace(self.spark))
 
+    @cached_property
+    def links(self) -> DataFrame:
+        return Workspace(self.spark).save("links", pages.synthetic_links(spread(self.pages)))
+
     @cached_property
     def page_index(self) -> indexing.Index:
         fields = {
             "body": pages.body_text(self.pages),
             "title": pages.titles(self.pages).withColumnRenamed("title", "text"),
-            "anchor": pages.anchor_text(pages.synthetic_links(self.pages)),
+            "anchor": pages.anchor_text(self.links),
         }
         n_pages = self.pages.count()
         return indexing.build_index(
@@ -90,7 +94,7 @@ class Tables:
     @cached_property
     def page_rank(self) -> DataFrame:
         workspace = Workspace(self.spark)
-        edges = pages.link_edges(pages.synthetic_links(self.pages))
+        edges = pages.link_edges(self.links)
         vertices = self.pages.select(F.col("page_id").alias("doc_id"))
         ranks = pagerank.pagerank(vertices, edges, workspace)
         return workspace.save_bucketed(
@@ -354,7 +358,7 @@ def titles_extract(t: Tables) -> DataFrame:
 
 @registered
 def anchors_extract(t: Tables) -> DataFrame:
-    links = pages.synthetic_links(t.pages)
+    links = pages.synthetic_links(spread(t.pages))
     return links.select("page_id", F.col("pos").cast("bigint"), "target", "text")
 
 

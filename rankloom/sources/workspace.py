@@ -71,3 +71,9 @@ def bucket_count(df: DataFrame, splits_per_bucket: int = 64) -> int:
     spark = df.sparkSession
     splits = df.rdd.getNumPartitions()
     return max(spark.sparkContext.defaultParallelism, -(-splits // splits_per_bucket))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that has fewer splits than there are cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

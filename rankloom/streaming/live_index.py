@@ -16,7 +16,7 @@ from ..operators.index import (
     term_statistics,
     write_index,
 )
-from ..sources.workspace import Workspace, bucket_count
+from ..sources.workspace import Workspace, bucket_count, spread
 
 POSTINGS = "doc_id bigint, term string, tf int, batch_id bigint, field string, term_bucket int"
 DELTAS = "term string, df bigint, term_total bigint, batch_id bigint, field string, term_bucket int"
@@ -46,10 +46,8 @@ class LiveIndex:
         self, fields: dict[str, DataFrame], batch_id: int, merge: tuple[str, ...] = ()
     ) -> None:
         spark = self.workspace.spark
-        # A few large files would leave most cores idle.
-        cores = spark.sparkContext.defaultParallelism
-        splits = min(docs.rdd.getNumPartitions() for docs in fields.values())
-        postings = count_terms(fields, merge, cores if splits < cores else None).withColumn(
+        rows = {name: spread(docs) for name, docs in fields.items()}
+        postings = count_terms(rows, merge).withColumn(
             "term_bucket", term_bucket("term", self.term_buckets)
         )
         folder = self._folder("postings", batch_id)
