@@ -55,7 +55,10 @@ def max_normalize(scores: DataFrame, by: str = "qid", bounded: bool = False) ->
     The maxima are aggregated map-side and joined back, so no query is gathered in one task.
     """
     best = scores.groupBy(by).agg(F.max("score").alias("_best"))
-    joined = scores.join(F.broadcast(best) if bounded else best, by)
+    if bounded:
+        joined = scores.join(F.broadcast(best), by)
+    else:
+        joined = lookup_join(scores, best, [by], ["doc_id"], bounded=False)
     return joined.withColumn("score", normalized("score", "_best")).drop("_best")
 
 

@@ -74,15 +74,19 @@ def count_terms(
     return union
 
 
-def stem_counts(counts: DataFrame, workspace: Workspace) -> DataFrame:
-    """Replace terms by their stems, stemming every distinct term once."""
+def stem_counts(counts: DataFrame, workspace: Workspace, buckets: int) -> DataFrame:
+    """Replace terms by their stems, stemming every distinct term once.
+
+    The result stays partitioned by document, which is enough to add up equal stems.
+    """
     vocabulary = workspace.save(
         "vocabulary",
         stem_vocabulary(counts.groupBy("field", "term").agg(F.count("*").alias("df"))),
     )
     size = vocabulary.agg(F.count("*").alias("terms"), F.sum("df").alias("postings")).first()
     stems = join_vocabulary(counts, vocabulary, size.terms, size.postings or 0)
-    return stems.groupBy("field", "doc_id", F.col("stem").alias("term")).agg(
+    by_document = stems.repartition(buckets, "doc_id")
+    return by_document.groupBy("field", "doc_id", F.col("stem").alias("term")).agg(
         F.sum("tf").cast("int").alias("tf")
     )
 
@@ -162,7 +166,7 @@ def build_index(
     buckets = buckets or max(bucket_count(docs) for docs in fields.values())
     counts = count_terms(fields, merge, buckets)
     if analyzer == "stemmed":
-        counts = stem_counts(counts, workspace).repartition(buckets, "doc_id")
+        counts = stem_counts(counts, workspace, buckets)
     elif analyzer != "plain":
         raise ValueError(f"unknown analyzer {analyzer!r}")
     sizes = corpus_sizes(workspace.spark, n_docs)

@@ -2,43 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows allowed in a broadcast. Terms are at most 49 characters, ids and weights 8 bytes,
 # so a broadcast stays under about 100 MB.
 BROADCAST_ROWS = 250_000
+# Rows of one key that one task takes; keys with more are spread over several tasks.
+ROWS_PER_TASK = 5_000_000
 # Rows that may be shuffled on a key as they are: were all of one key, a task could hold them.
 SHUFFLE_ROWS = 10_000_000
-SALTS = 32
 
 
-def salted_join(big: DataFrame, other: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
-    """Inner equi-join that spreads every key of ``big`` over ``SALTS`` tasks."""
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    copies = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+def hot_keys(
+    counts: DataFrame, keys: list[str], parts: str = "parts", rows_per_task: int | None = None
+) -> DataFrame:
+    """``(*keys, parts)`` for the keys of ``counts(*keys, n)`` that deserve more than one task.
 
+    There are never more than ``BROADCAST_ROWS`` of them: a hot key has more than
+    ``total / BROADCAST_ROWS`` of the total rows.
+    """
+    total = counts.agg(F.sum("n")).scalar()
+    per_task = F.greatest(
+        F.lit(rows_per_task or ROWS_PER_TASK).cast("double"), total / F.lit(BROADCAST_ROWS)
+    )
+    return (
+        counts.withColumn(parts, F.ceil(F.col("n") / per_task))
+        .filter(F.col(parts) > 1)
+        .select(*keys, parts)
+    )
 
-def join_vocabulary(
-    postings: DataFrame, vocabulary: DataFrame, n_terms: int, n_postings: int,
-    limit: int = BROADCAST_ROWS,
+
+def count_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def part_of(spread_by: list[str], parts: str) -> Column:
+    return F.pmod(F.xxhash64(*spread_by), F.coalesce(parts, F.lit(1)))
+
+
+def all_parts(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(parts, F.lit(1)) - 1))
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_by: list[str],
+    left_counts: DataFrame,
+    right_by: list[str] | None = None,
+    right_counts: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of postings with a table of one row per (field, term) that has a ``df`` column.
+    """Shuffled equi-join that spreads the rows of hot keys over several tasks.
 
-    A vocabulary within ``limit`` is broadcast whole. Beyond it, terms in at least
-    ``n_postings / limit`` documents are: there cannot be more than ``limit`` of those, and under
-    a Zipf distribution they cover most postings, which then do not move. Only the rare tail is
-    shuffled, and none of its terms is hot.
+    ``left_counts(*keys, n)`` tells which keys of ``left`` are hot. Their rows are divided by
+    ``left_by``, and the matching rows of ``right`` are copied to every part; other keys are not
+    copied. With ``right_counts`` the same is done the other way round as well.
     """
-    keys = ["field", "term"]
-    if n_terms <= limit:
-        return postings.join(F.broadcast(vocabulary.drop("df")), keys)
-    frequent = F.col("df") >= n_postings / limit
-    hot = vocabulary.filter(frequent).drop("df")
-    cold = vocabulary.filter(~frequent).drop("df")
-    tail = postings.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    return postings.join(F.broadcast(hot), keys).unionByName(tail.join(cold, keys))
+    names, hot = ["_part"], F.broadcast(hot_keys(left_counts, keys, "_n"))
+    left = left.join(hot, keys, "left").withColumn("_part", part_of(left_by, "_n")).drop("_n")
+    right = right.join(hot, keys, "left").withColumn("_part", all_parts("_n")).drop("_n")
+    if right_counts is not None:
+        if how != "inner":
+            raise ValueError("only an inner join can copy rows of both sides")
+        names, hot = ["_part", "_other"], F.broadcast(hot_keys(right_counts, keys, "_n"))
+        right = (
+            right.join(hot, keys, "left").withColumn("_other", part_of(right_by, "_n")).drop("_n")
+        )
+        left = left.join(hot, keys, "left").withColumn("_other", all_parts("_n")).drop("_n")
+    return left.join(right, [*keys, *names], how).drop(*names)
 
 
 def lookup_join(
@@ -52,12 +86,30 @@ def lookup_join(
     """Join with a large table holding one row per key.
 
     ``bounded`` says that ``left`` was counted and is small. Then it goes to where the rows of
-    ``table`` lie, which does not move if it is bucketed on the key. Otherwise only the rows of
-    ``table`` that are asked for take part, and a key that ``left`` repeats very often is salted.
+    ``table`` lie, which does not move if it is bucketed on the key. Otherwise keys that ``left``
+    repeats very often are spread.
     """
     if bounded:
         return left.join(table, keys, how)
-    found = table.join(left.select(*keys).distinct(), keys)
-    copies = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    return left.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    return spread_join(left, table, keys, spread_by, count_keys(left, keys), how=how)
+
+
+def join_vocabulary(
+    postings: DataFrame, vocabulary: DataFrame, n_terms: int, n_postings: int,
+    limit: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Inner join of postings with a table of one row per (field, term) that has a ``df`` column.
+
+    A vocabulary within ``limit`` is broadcast whole. Beyond it, terms in at least
+    ``n_postings / limit`` documents are: there cannot be more than ``limit`` of those, and under
+    a Zipf distribution they cover most postings, which then do not move. Only the rare tail is
+    shuffled, and none of its terms is hot.
+    """
+    keys = ["field", "term"]
+    if n_terms <= limit:
+        return postings.join(F.broadcast(vocabulary.drop("df")), keys)
+    frequent = F.col("df") >= n_postings / limit
+    hot = vocabulary.filter(frequent).drop("df")
+    cold = vocabulary.filter(~frequent).drop("df")
+    tail = postings.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return postings.join(F.broadcast(hot), keys).unionByName(tail.join(cold, keys))

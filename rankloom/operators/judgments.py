@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import Workspace
 from .index import Index
-from .joins import BROADCAST_ROWS
+from .joins import BROADCAST_ROWS, lookup_join
 from .scoring import match, query_batch, weigh
 
 
@@ -31,13 +31,15 @@ def containing_documents(
     candidates = workspace.save(
         "judgment_candidates", match(index, batch, field, rarest).select("qid", "doc_id")
     )
-    few = candidates.count() <= BROADCAST_ROWS
-    texts = docs.select("doc_id", "text").join(
-        F.broadcast(candidates) if few else candidates, "doc_id"
-    )
+    if candidates.count() <= BROADCAST_ROWS:
+        texts = docs.select("doc_id", "text").join(F.broadcast(candidates), "doc_id")
+    else:
+        texts = lookup_join(
+            candidates, docs.select("doc_id", "text"), ["doc_id"], ["qid"], False, "inner"
+        )
     asked = passages.select("qid", "query")
-    return (
-        texts.join(F.broadcast(asked) if batch.bounded else asked, "qid")
-        .filter(F.contains("text", "query"))
-        .select("qid", "doc_id")
-    )
+    if batch.bounded:
+        pairs = texts.join(F.broadcast(asked), "qid")
+    else:
+        pairs = lookup_join(texts, asked, ["qid"], ["doc_id"], False, "inner")
+    return pairs.filter(F.contains("text", "query")).select("qid", "doc_id")

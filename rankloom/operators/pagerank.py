@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import Workspace, bucket_count
+from .joins import all_parts, count_keys, hot_keys, part_of
 
 # Out-links of one page handled by one task; pages with more are split.
 LINKS_PER_SHARD = 1_000_000
@@ -29,21 +30,23 @@ def pagerank(
     of every round are written out, which cuts the lineage.
     """
     buckets = buckets or bucket_count(vertices)
-    degrees = edges.groupBy(F.col("src").alias("doc_id")).agg(F.count("*").alias("out"))
-    zero = F.lit(0).cast("bigint")
+    degrees = count_keys(edges, ["src"])
+    hot = hot_keys(degrees, ["src"], "shards", links_per_shard)
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     nodes = workspace.save(
         "pagerank_nodes",
         vertices.select("doc_id")
-        .join(degrees, "doc_id", "left")
-        .select("doc_id", F.coalesce("out", zero).alias("out"))
-        .withColumn("shards", F.ceil(F.greatest("out", F.lit(1)) / links_per_shard)),
+        .join(degrees.withColumnsRenamed({"src": "doc_id", "n": "out"}), "doc_id", "left")
+        .join(F.broadcast(hot.withColumnRenamed("src", "doc_id")), "doc_id", "left")
+        .select("doc_id", F.coalesce("out", zero).alias("out"), F.coalesce("shards", one)
+                .alias("shards")),
     )
     counts = nodes.agg(
         F.count("*").alias("n"), F.count_if(F.col("out") == 0).alias("dangling")
     ).first()
     n, has_dangling = counts["n"], counts["dangling"] > 0
-    sharded = edges.join(nodes.select(F.col("doc_id").alias("src"), "shards"), "src").select(
-        "src", F.pmod(F.xxhash64("dst"), "shards").alias("shard"), "dst"
+    sharded = edges.join(F.broadcast(hot), "src", "left").select(
+        "src", part_of(["dst"], "shards").alias("shard"), "dst"
     )
     links = workspace.save_bucketed(
         "pagerank_links",
@@ -66,7 +69,7 @@ def one_round(
 ) -> DataFrame:
     sources = ranks.filter(F.col("out") > 0).select(
         F.col("doc_id").alias("src"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)).alias("shard"),
+        all_parts("shards").alias("shard"),
         (F.col("pagerank") / F.col("out")).alias("gain"),
     )
     none = F.lit(None).cast("bigint")

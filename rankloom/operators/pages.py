@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 # Fixed values.
 TITLE_PATTERN = r"(?s)<title>(.*?)</title>"
 ANCHOR_PATTERN = r'(?s)<a href="([^"]*)"[^>]*>(.*?)</a>'
@@ -65,7 +67,8 @@ def synthetic_links(pages: DataFrame) -> DataFrame:
 def resolve_links(links: DataFrame, pages: DataFrame) -> DataFrame:
     """``(page_id, pos, target, text)`` by URL; links to unknown pages are dropped."""
     urls = pages.groupBy(F.col("url").alias("href")).agg(F.min("page_id").alias("target"))
-    return links.join(urls, "href").select("page_id", "pos", "target", "text")
+    found = lookup_join(links, urls, ["href"], ["page_id", "pos"], bounded=False, how="inner")
+    return found.select("page_id", "pos", "target", "text")
 
 
 def anchor_text(links: DataFrame) -> DataFrame:

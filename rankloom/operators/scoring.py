@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.stemming import stem_vocabulary
 from ..functions.text import idf, term_bucket, term_counts
 from .index import Index
-from .joins import BROADCAST_ROWS, lookup_join, salted_join
+from .joins import BROADCAST_ROWS, count_keys, lookup_join, spread_join
 
 
 @dataclass(frozen=True)
@@ -79,17 +79,38 @@ def weigh(index: Index, batch: QueryBatch, field: str, n: Column | None = None)
     )
 
 
-def match(index: Index, batch: QueryBatch, field: str, terms: DataFrame) -> DataFrame:
+def match(
+    index: Index,
+    batch: QueryBatch,
+    field: str,
+    terms: DataFrame,
+    doc_table: DataFrame | None = None,
+) -> DataFrame:
     """Postings of the query terms. ``terms`` holds at most the rows of ``batch.terms``.
 
-    A batch within its limit is broadcast and the postings are read where they lie. A larger one
-    is shuffled, with every term's postings spread over several tasks.
+    ``doc_table``, one row per document, is attached on the way; postings of documents it does
+    not have are dropped. A batch within its limit is broadcast and the postings are read where
+    they lie. A larger one is shuffled, with frequent terms, of documents as well as of queries,
+    spread over several tasks.
     """
     postings = index.field_postings(field)
     keys = ["term_bucket", "term"]
+    if doc_table is not None:
+        doc_table = doc_table.hint("shuffle_hash")
     if batch.bounded:
-        return postings.join(F.broadcast(terms), keys)
-    return salted_join(postings, terms, keys, "doc_id")
+        matches = postings.join(F.broadcast(terms), keys)
+        return matches if doc_table is None else matches.join(doc_table, "doc_id")
+    if doc_table is not None:
+        postings = postings.join(doc_table, "doc_id")
+    return spread_join(
+        postings,
+        terms,
+        keys,
+        left_by=["doc_id"],
+        left_counts=index.field_terms(field).select(*keys, F.col("df").alias("n")),
+        right_by=["qid"],
+        right_counts=count_keys(batch.terms, keys),
+    )
 
 
 def accumulate(matches: DataFrame, contribution: Column) -> DataFrame:
@@ -101,12 +122,6 @@ def tfidf(index: Index, batch: QueryBatch, field: str, n: Column | None = None)
     return accumulate(matches, F.col("qtf") * F.col("tf") * F.col("idf"))
 
 
-def with_lengths(index: Index, matches: DataFrame, field: str) -> DataFrame:
-    """Attach document lengths; a posting whose document has none is dropped."""
-    lengths = index.field_docs(field)
-    return matches.join(lengths.hint("shuffle_hash"), "doc_id")
-
-
 def bm25_contribution(avg_len: Column, k1: Column | float, b: Column | float) -> Column:
     k1, b = (x if isinstance(x, Column) else F.lit(float(x)) for x in (k1, b))
     tf = F.col("tf")
@@ -122,9 +137,10 @@ def bm25(
     b: float = 0.75,
     n: Column | None = None,
 ) -> DataFrame:
-    matches = match(index, batch, field, weigh(index, batch, field, n))
-    contribution = bm25_contribution(index.corpus(field, "avg_len"), k1, b)
-    return accumulate(with_lengths(index, matches, field), contribution)
+    """BM25; a posting whose document has no length is dropped."""
+    terms = weigh(index, batch, field, n)
+    matches = match(index, batch, field, terms, index.field_docs(field))
+    return accumulate(matches, bm25_contribution(index.corpus(field, "avg_len"), k1, b))
 
 
 def query_vector(index: Index, batch: QueryBatch, field: str) -> DataFrame:
@@ -145,15 +161,16 @@ def cosine(index: Index, batch: QueryBatch, field: str, mode: str = "full") -> D
     ``full`` compares the query with the whole document vector. ``per_term`` adds up, for every
     query token, the cosine with a document holding that term only; tf cancels out of it.
     """
-    matches = match(index, batch, field, query_vector(index, batch, field))
+    vector = query_vector(index, batch, field)
     weight, norm, zero = F.col("weight"), F.col("norm"), F.lit(0.0)
     if mode == "per_term":
         return accumulate(
-            matches, F.when(norm == 0, zero).otherwise(F.col("qtf") * F.abs(weight) / norm)
+            match(index, batch, field, vector),
+            F.when(norm == 0, zero).otherwise(F.col("qtf") * F.abs(weight) / norm),
         )
     if mode != "full":
         raise ValueError(f"unknown cosine mode {mode!r}")
-    matches = matches.join(index.field_norms(field).hint("shuffle_hash"), "doc_id")
+    matches = match(index, batch, field, vector, index.field_norms(field))
     product = norm * F.col("doc_norm")
     return accumulate(
         matches,
@@ -172,11 +189,14 @@ def cosine_of_vectors(left: DataFrame, right: DataFrame, left_id: str, right_id:
         square = F.col("weight") * F.col("weight")
         return vectors.groupBy(key).agg(F.sqrt(F.sum(square)).alias(name))
 
-    dots = salted_join(
+    dots = spread_join(
         left.withColumnRenamed("weight", "_l"),
         right.withColumnRenamed("weight", "_r"),
         ["term"],
-        left_id,
+        left_by=[left_id],
+        left_counts=count_keys(left, ["term"]),
+        right_by=[right_id],
+        right_counts=count_keys(right, ["term"]),
     )
     dots = dots.groupBy(left_id, right_id).agg(F.sum(F.col("_l") * F.col("_r")).alias("_dot"))
     product = F.col("_ln") * F.col("_rn")

@@ -172,7 +172,7 @@ def ranked(runs: DataFrame, *more: str) -> DataFrame:
 
 @registered
 def tokenize_docs(t: Tables) -> DataFrame:
-    tokens = t.docs.select("doc_id", text.tokenize("text").alias("tokens"))
+    tokens = spread(t.docs).select("doc_id", text.tokenize("text").alias("tokens"))
     return tokens.select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),
@@ -181,7 +181,7 @@ def tokenize_docs(t: Tables) -> DataFrame:
 
 
 def _doc_counts(t: Tables) -> DataFrame:
-    return indexing.count_terms({"body": t.docs}, buckets=bucket_count(t.docs)).drop("field")
+    return indexing.count_terms({"body": spread(t.docs)}).drop("field")
 
 
 @registered
@@ -353,7 +353,7 @@ def pageviews_month(t: Tables) -> DataFrame:
 
 @registered
 def titles_extract(t: Tables) -> DataFrame:
-    return pages.titles(t.pages)
+    return pages.titles(spread(t.pages))
 
 
 @registered

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.stemming import stem_word
 from rankloom.operators import index as ix
-from rankloom.operators.joins import join_vocabulary, lookup_join, salted_join
+from rankloom.operators import joins
+from rankloom.operators.joins import join_vocabulary, lookup_join, spread_join
 from rankloom.sources.workspace import Workspace
 
 
@@ -119,17 +120,39 @@ def test_norms_are_the_same_above_the_limit(spark, monkeypatch):
     assert sorted(ix.document_norms(postings, stats, sizes, 6000).collect()) == sorted(whole)
 
 
-def test_salted_join_keeps_every_row(spark):
+def test_hot_keys_are_few_and_only_the_large_ones(spark, monkeypatch):
+    counts = spark.createDataFrame([("a", 100), ("b", 7), ("c", 10)], "k string, n long")
+    assert [tuple(r) for r in joins.hot_keys(counts, ["k"], rows_per_task=10).collect()] == [
+        ("a", 10)
+    ]
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
+    assert [tuple(r) for r in joins.hot_keys(counts, ["k"], rows_per_task=1).collect()] == [
+        ("a", 2)
+    ]
+
+
+@pytest.mark.parametrize("both", [True, False])
+def test_spread_join_keeps_every_row(spark, monkeypatch, both):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 100)
     left = _skewed(spark)
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("t1", 3)], "term string, v int")
-    columns = ["doc_id", "term", "v"]
+    right = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "t5").otherwise(F.concat(F.lit("t"), F.col("id") % 50))
+        .alias("term"),
+        F.col("id").alias("qid"),
+    ).unionByName(spark.createDataFrame([("hot", 1000), ("hot", 1001)], "term string, qid long"))
+    columns = ["doc_id", "term", "qid"]
     plain = left.join(right, "term").select(*columns)
-    salted = salted_join(left, right, ["term"], "doc_id").select(*columns)
-    assert sorted(plain.collect()) == sorted(salted.collect())
+    other = {"right_by": ["qid"], "right_counts": joins.count_keys(right, ["term"])}
+    spread = spread_join(
+        left, right, ["term"], ["doc_id"], joins.count_keys(left, ["term"]),
+        **(other if both else {}),
+    )
+    assert sorted(plain.collect()) == sorted(spread.select(*columns).collect())
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_join_both_ways(spark, how):
+def test_lookup_join_both_ways(spark, monkeypatch, how):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 100)
     left = spark.range(3000).select(
         F.col("id").alias("qid"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")
     )

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rankloom.operators import index as ix
-from rankloom.operators import ranking, scoring
+from rankloom.operators import joins, ranking, scoring
 from rankloom.sources.workspace import Workspace
 
 
@@ -39,7 +39,8 @@ def collected(scores):
 
 @pytest.mark.parametrize("limit", [1000, 0], ids=["broadcast", "shuffled"])
 @pytest.mark.parametrize("name", SCORERS)
-def test_scorer_equals_brute_force(setting, name, limit):
+def test_scorer_equals_brute_force(setting, monkeypatch, name, limit):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 2)  # makes several terms hot
     index, asked, corpus, queries = setting
     ours, brute = SCORERS[name]
     batch = scoring.query_batch(asked, index, limit)
