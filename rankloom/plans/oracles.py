@@ -123,6 +123,22 @@ def per_term_cosine(name: str, post_name: str) -> str:
         GROUP BY qid, doc_id)"""
 
 
+def full_cosine(post_name: str) -> tuple[str, ...]:
+    return (
+        stats("st", post_name),
+        """i AS MATERIALIZED (SELECT term, log10((SELECT count(*) FROM st) / df::DOUBLE) AS idf
+            FROM st)""",
+        """qn AS (SELECT qid, sqrt(sum((qtf * idf) ** 2)) AS qnorm FROM q JOIN i USING (term)
+            GROUP BY qid)""",
+        f"""dn AS (SELECT doc_id, sqrt(sum((tf * idf) ** 2)) AS dnorm FROM {post_name}
+            JOIN i USING (term) GROUP BY doc_id)""",
+        f"""s AS (SELECT qid, doc_id, sum(CASE WHEN qnorm * dnorm = 0 THEN 0
+                ELSE qtf * idf * tf * idf / (qnorm * dnorm) END) AS score
+            FROM q JOIN i USING (term) JOIN {post_name} USING (term) JOIN qn USING (qid)
+            JOIN dn USING (doc_id) GROUP BY qid, doc_id)""",
+    )
+
+
 def top(source: str, k: int, by: str = "qid") -> str:
     return f"""(SELECT *, row_number() OVER (PARTITION BY {by}
         ORDER BY round(score, 9) DESC, doc_id) AS rank FROM {source}
@@ -287,21 +303,35 @@ ORACLES: dict[str, str] = {
     ),
     "tfidf_topk": statement(Q, DOCS, tfidf_cte("s", "d", N_DOCS), select=show("s", 10)),
     "cosine_per_term": statement(Q, DOCS, per_term_cosine("s", "d"), select=show("s", 100)),
-    "cosine_full": statement(
-        Q,
-        DOCS,
-        stats("st", "d"),
-        """i AS MATERIALIZED (SELECT term, log10((SELECT count(*) FROM st) / df::DOUBLE) AS idf
-            FROM st)""",
-        """qn AS (SELECT qid, sqrt(sum((qtf * idf) ** 2)) AS qnorm FROM q JOIN i USING (term)
-            GROUP BY qid)""",
-        """dn AS (SELECT doc_id, sqrt(sum((tf * idf) ** 2)) AS dnorm FROM d JOIN i USING (term)
-            GROUP BY doc_id)""",
-        """s AS (SELECT qid, doc_id, sum(CASE WHEN qnorm * dnorm = 0 THEN 0
-                ELSE qtf * idf * tf * idf / (qnorm * dnorm) END) AS score
-            FROM q JOIN i USING (term) JOIN d USING (term) JOIN qn USING (qid)
-            JOIN dn USING (doc_id) GROUP BY qid, doc_id)""",
-        select=show("s", 100),
+    "cosine_full": statement(Q, DOCS, *full_cosine("d"), select=show("s", 100)),
+    "vector_cosine": statement(
+        Q, DOCS, *full_cosine("d"), select="SELECT qid, doc_id, round(score, 6) AS cosine FROM s"
+    ),
+    "body_search": statement(
+        Q, TITLES, BODY, *full_cosine("body"), select=show_titled("s", 100)
+    ),
+    "query_postings": statement(
+        Q, DOCS, select="SELECT qid, term, doc_id, tf FROM q JOIN d USING (term)"
+    ),
+    "results_per_query": statement(
+        Q, TITLES, TITLE,
+        select="""SELECT item_id AS qid, count(DISTINCT doc_id) AS n_results FROM benchmark
+            LEFT JOIN q ON qid = item_id LEFT JOIN title_p USING (term) GROUP BY item_id""",
+    ),
+    "link_edges": statement(
+        LINKS,
+        select="SELECT DISTINCT page_id AS src, target AS dst FROM links WHERE page_id <> target",
+    ),
+    "pagerank_lookup_normalized": statement(
+        LINKS, RANKS,
+        select=f"""SELECT pos, doc_id, round(coalesce(
+                pagerank / (SELECT max(pagerank) FROM page_rank), 0), 6) AS pagerank
+            FROM {ID_LIST} LEFT JOIN page_rank USING (doc_id)""",
+    ),
+    "eval_hits": statement(
+        *EVALUATED,
+        select="""SELECT qid, rank, doc_id, hit::BIGINT AS hit, round(sum(hit) OVER (
+            PARTITION BY qid ORDER BY rank)::DOUBLE / rank, 6) AS precision FROM hits""",
     ),
     "bm25_topk": statement(
         Q, DOCS, bm25_cte("s", "d", N_DOCS, 1.2, 0.75), select=show("s", 100)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import stemming, text
 from ..operators import evaluation, fusion, lookups, pages, pagerank, ranking, scoring
 from ..operators import index as indexing
+from ..operators.joins import join_vocabulary
 from ..operators.judgments import containing_documents
 from ..sources.workspace import Workspace, bucket_count, spread
 from ..streaming.live_index import LiveIndex
@@ -221,6 +222,14 @@ def field_postings(t: Tables) -> DataFrame:
     return t.page_index.postings.select("field", "term", "doc_id", F.col("tf").cast("bigint"))
 
 
+@registered
+def query_postings(t: Tables) -> DataFrame:
+    """Point reads of all query terms at once."""
+    terms = t.doc_batch.terms.select("qid", "term_bucket", "term")
+    found = scoring.match(t.doc_index, t.doc_batch, "body", terms)
+    return found.select("qid", "term", "doc_id", F.col("tf").cast("bigint"))
+
+
 @registered
 def stemmed_terms(t: Tables) -> DataFrame:
     terms = _doc_counts(t).groupBy("term").agg(F.count("*").alias("df"))
@@ -270,6 +279,22 @@ def cosine_full(t: Tables) -> DataFrame:
     return ranked(ranking.top_k(scoring.cosine(t.doc_index, t.doc_batch, "body"), 100))
 
 
+@registered
+def vector_cosine(t: Tables) -> DataFrame:
+    """Cosine of all query and document vectors that share a term, without stored norms."""
+    n = t.doc_index.corpus("body", "n_terms")
+    weights = t.doc_index.term_stats.select("field", "term", "df", text.idf(n, "df").alias("idf"))
+    size = t.doc_index.corpus_stats.select("n_terms", "n_postings").first()
+    documents = join_vocabulary(t.doc_index.postings, weights, size.n_terms, size.n_postings)
+    cosines = scoring.cosine_of_vectors(
+        scoring.query_vector(t.doc_index, t.doc_batch, "body").select("qid", "term", "weight"),
+        documents.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("weight")),
+        "qid",
+        "doc_id",
+    )
+    return cosines.select("qid", "doc_id", r6("cosine"))
+
+
 @registered
 def bm25_topk(t: Tables) -> DataFrame:
     return ranked(ranking.top_k(scoring.bm25(t.doc_index, t.doc_batch, "body"), 100))
@@ -307,6 +332,18 @@ def anchor_per_term(t: Tables) -> DataFrame:
     return ranked(runs, "title")
 
 
+@registered
+def body_search(t: Tables) -> DataFrame:
+    return ranked(t.searcher.search_body(t.queries), "title")
+
+
+@registered
+def results_per_query(t: Tables) -> DataFrame:
+    """Queries without any result included."""
+    kept = ranking.keep_all_queries(t.queries, scoring.tfidf(t.page_index, t.page_batch, "title"))
+    return kept.groupBy("qid").agg(F.count("doc_id").alias("n_results"))
+
+
 @registered
 def main_search(t: Tables) -> DataFrame:
     runs = t.searcher.search(t.queries, k=10)
@@ -362,6 +399,11 @@ def anchors_extract(t: Tables) -> DataFrame:
     return links.select("page_id", F.col("pos").cast("bigint"), "target", "text")
 
 
+@registered
+def link_edges(t: Tables) -> DataFrame:
+    return pages.link_edges(t.links)
+
+
 @registered
 def page_rank(t: Tables) -> DataFrame:
     return t.page_rank.select("doc_id", F.round("pagerank", 9).alias("pagerank"))
@@ -373,6 +415,12 @@ def pagerank_lookup(t: Tables) -> DataFrame:
     return found.select("pos", "doc_id", F.round("pagerank", 9).alias("pagerank"))
 
 
+@registered
+def pagerank_lookup_normalized(t: Tables) -> DataFrame:
+    found = lookups.pagerank_of(t.ids, t.page_rank, normalized=True)
+    return found.select("pos", "doc_id", r6("pagerank"))
+
+
 @registered
 def pageview_lookup(t: Tables) -> DataFrame:
     return lookups.pageviews_of(t.ids, t.page_views)
@@ -391,6 +439,19 @@ def judgments(t: Tables) -> DataFrame:
     return t.judgments
 
 
+@registered
+def eval_hits(t: Tables) -> DataFrame:
+    """Precision at every rank."""
+    hits = evaluation.mark_hits(t.runs, t.judgments, DEPTH)
+    return hits.select(
+        "qid",
+        F.col("rank").cast("bigint"),
+        "doc_id",
+        F.col("hit").cast("bigint"),
+        F.round(F.col("hits_so_far") / F.col("rank"), 6).alias("precision"),
+    )
+
+
 @registered
 def eval_p_at_k(t: Tables) -> DataFrame:
     return evaluation.precision_at_k(*t.evaluated, 5)

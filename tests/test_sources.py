@@ -101,3 +101,23 @@ def test_spread_only_when_cores_would_idle(spark):
     assert ws.spread(many) is many
     assert ws.bucket_count(spark.range(10, numPartitions=640)) == 10
     assert ws.bucket_count(few) == 4
+
+
+def test_judged_query_run(spark, tmp_path, workspace):
+    from rankloom.operators.index import build_index
+    from rankloom.plans.judged_run import run_judged_queries
+
+    docs = {1: "apple pie", 2: "apple tart", 3: "banana bread", 4: "cherry pie"}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    path = tmp_path / "q.json"
+    path.write_text(json.dumps({"apple": ["1", "3"], "the of": ["2"], "pie bread": ["4", "3"]}))
+    index = build_index({"body": table}, workspace)
+    now = datetime(2024, 5, 6, 7, 8, 9)
+    per_query, summary = run_judged_queries(
+        index, str(path), workspace, str(tmp_path / "out"), k=2, now=now
+    )
+    rows = {r.qid: r for r in per_query.collect()}
+    assert [rows[q].precision for q in range(3)] == [0.5, 0.0, 0.5]
+    assert rows[0].retrieved_ids == ["1", "2"] and rows[2].retrieved_ids == ["3", "1"]
+    assert summary.first().zero_scores == 1
+    assert (tmp_path / "out" / "20240506_070809" / "report_md").is_dir()
