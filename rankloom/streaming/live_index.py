@@ -81,7 +81,7 @@ class LiveIndex:
         )
 
     def index(self) -> Index:
-        """The index over all batches so far."""
+        """The index over all batches so far, computed when used; see also :meth:`compact`."""
         postings = self._read("postings", POSTINGS).drop("batch_id")
         deltas = self._read("term_deltas", DELTAS)
         terms = deltas.groupBy("field", "term_bucket", "term").agg(
