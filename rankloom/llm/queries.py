@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .mixing import mix_sources
 from .tree_dedup import exact_groups
+from .trie_join import near_duplicate_groups
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op4_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op8_trie_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(_read(spark, sf_dir, "documents"))
+
+
 def op9_threshold_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -26,5 +31,6 @@ def op9_threshold_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_tree_merge_dedup": op4_tree_merge_dedup,
+    "op8_trie_jaccard_join": op8_trie_jaccard_join,
     "op9_threshold_mixing": op9_threshold_mixing,
 }
