@@ -36,6 +36,10 @@ FREQUENT = 1e-3
 #: Sets that are compared with a probe in one task.
 BLOCK = 2048
 RARE = np.uint64(1 << 63)
+#: Bins of the count sketch: 100 * sum of the bins' minima can't be below 100 * overlap.
+BINS = 128
+#: Classes whose texts are found by a broadcast (32 bytes each); more are found by a shuffle of the texts.
+BROADCAST_CLASSES = 250_000
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -53,6 +57,12 @@ def class_id(one: np.ndarray) -> np.uint64:
     return mix(np.array([mix(one).sum(dtype=np.uint64) + np.uint64(len(one))]))[0]
 
 
+def sketch(one: np.ndarray) -> bytes | None:
+    """How many of a set's hashes fall in each bin, or None if one byte can't tell."""
+    counts = np.bincount((one >> np.uint64(20)).astype(np.int64) % BINS, minlength=BINS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document, and one per shingle that many documents of a slice share."""
     for rows, sets in shingle_sets(batches):
@@ -68,6 +78,9 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "t": pa.concat_arrays([rows.column("t"), none]),
                 "cid": pa.concat_arrays([pa.array(ids), none]),
                 "n": pa.concat_arrays([pa.array([len(s) for s in sets], pa.int64()), none]),
+                "sketch": pa.concat_arrays(
+                    [pa.array(map(sketch, sets), pa.binary()), pa.nulls(len(x), pa.binary())]
+                ),
                 "x": pa.concat_arrays([zero, pa.array(x)]),
                 "c": pa.concat_arrays([zero, pa.array(c, pa.int64())]),
             }
@@ -120,6 +133,29 @@ def rarest(order, percent: int):
     return run
 
 
+def plausible(percent: int):
+    """Mapper from ``(a, b, n_a, n_b, sketch_a, sketch_b)`` to the pairs that may still link."""
+
+    def run(batches):
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            need = -(-percent * (n_a + n_b) // (100 + percent))
+            least = np.minimum(n_a, n_b)
+            one, two = batch.column("sketch_a"), batch.column("sketch_b")
+            known = np.flatnonzero(
+                (one.is_valid().to_numpy(False)) & (two.is_valid().to_numpy(False)) & (least >= need)
+            )
+            if len(known):
+                both = [
+                    np.frombuffer(b"".join(c.take(pa.array(known)).to_pylist()), np.uint8).reshape(-1, BINS)
+                    for c in (one, two)
+                ]
+                least[known] = np.minimum(*both).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(least >= need))
+
+    return run
+
+
 def trie_paths(order):
     """Mapper to ``(cid, path)``: the codes of a set, big-endian, so that paths sort as in the trie."""
 
@@ -206,10 +242,11 @@ class JaccardJoin:
         """``self.rows(doc_id, t, cid, n)``, ``self.classes(cid, n, copies, doc_id, t)``, the order."""
         seen = self.scratch.keep(
             self.docs.mapInArrow(
-                signatures, "doc_id bigint, t bigint, cid bigint, n bigint, x bigint, c bigint"
+                signatures,
+                "doc_id bigint, t bigint, cid bigint, n bigint, sketch binary, x bigint, c bigint",
             )
         )
-        self.rows = seen.filter("c is null").drop("x", "c")
+        self.rows = seen.filter("c is null").select("doc_id", "t", "cid", "n")
         top = (
             seen.filter("c is not null").groupBy("x").agg(F.sum("c").alias("c"))
             .orderBy(F.desc("c"), "x").limit(RANKED).toPandas()
@@ -217,40 +254,66 @@ class JaccardJoin:
         ranked = top["x"].to_numpy(np.int64).view(np.uint64)
         self.order = self.spark.sparkContext.broadcast(Order(ranked))
         self.classes = self.scratch.keep(
-            self.rows.filter("n > 0").groupBy("cid", "n").agg(
-                F.min(F.struct("doc_id", "t")).alias("one"), F.count("*").alias("copies")
-            ).select("cid", "n", "copies", "one.doc_id", "one.t")
+            seen.filter("n > 0").groupBy("cid", "n").agg(
+                F.min(F.struct("doc_id", "t")).alias("one"),
+                F.count("*").alias("copies"),
+                F.min("sketch").alias("sketch"),
+            ).select("cid", "n", "copies", "sketch", "one.doc_id", "one.t")
         )
 
     def meetings(self) -> DataFrame:
-        """``(x, cid, low)``: sets of different classes that share a key; low is the key's least class."""
-        keys = self.scratch.keep(
-            self.docs.select("text").mapInArrow(
-                rarest(self.order, self.percent), "x bigint, cid bigint"
-            )
+        """``(x, cid, low)``: sets of different classes that share a key; low is the key's least class.
+
+        Keys are shuffled once, into a bucketed table, where they are counted and joined in place.
+        Ranked codes, the only ones that very many sets can have, are spread by class and take the
+        way that splits hot keys.
+        """
+        salt = F.when(F.col("x") < 0, 0).otherwise(F.pmod("cid", F.lit(64))).cast("int")
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        keys = self.scratch.save_bucketed(
+            "keys",
+            self.docs.select("text")
+            .mapInArrow(rarest(self.order, self.percent), "x bigint, cid bigint")
+            .withColumn("salt", salt)
+            .repartition(n, "x", "salt"),
+            n,
+            keys=("x", "salt"),
+            sort_by=("x", "salt"),
         )
-        shared = (
-            keys.groupBy("x")
-            .agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("n_x"))
-            .filter("low != high")
-            .drop("high")
+
+        def shared(rows: DataFrame, by: list[str]) -> DataFrame:
+            ends = rows.groupBy(*by).agg(
+                F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("n_x")
+            )
+            return ends.filter("low != high").drop("high")
+
+        rare, ranked = keys.filter("x < 0"), self.scratch.keep(keys.filter("x >= 0").drop("salt"))
+        met = rare.join(shared(rare, ["x", "salt"]), ["x", "salt"]).unionByName(
+            attach(
+                ranked, self.scratch.keep(shared(ranked, ["x"])), ["x"], "n_x", ranked.count(), "inner"
+            ).withColumn("salt", F.lit(0))
         )
-        shared = self.scratch.keep(shared)
-        met = attach(keys, shared, ["x"], "n_x", keys.count(), "inner")
         return self.scratch.keep(met.select("x", "cid", "low").distinct())
 
-    def paths(self, met: DataFrame) -> DataFrame:
-        """``(cid, path)`` of the classes that meet others, from one document of each."""
-        wanted = self.classes.join(met.select("cid").distinct(), "cid", "left_semi")
-        same = self.docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (self.docs["t"] == wanted["t"])
-        texts = self.docs.join(wanted.select("cid", "doc_id", "t"), same).select("cid", "text")
+    def paths(self, pairs: DataFrame) -> DataFrame:
+        """``(cid, path)`` of the classes in ``pairs(a, b)``, from one document of each."""
+        wanted = self.scratch.keep(
+            self.classes.join(
+                pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi"
+            ).select("cid", F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
+        )
+        if wanted.count() <= BROADCAST_CLASSES:
+            wanted = F.broadcast(wanted)
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
+        texts = self.docs.join(wanted, same).select("cid", "text")
         return self.scratch.keep(
             texts.mapInArrow(trie_paths(self.order), "cid bigint, path binary").dropDuplicates(["cid"])
         )
 
-    def verify(self, pairs: DataFrame, paths: DataFrame) -> DataFrame:
+    def verify(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that link; pairs are distinct and ``a`` is the probe."""
-        pairs = self.scratch.keep(pairs)
+        pairs = self.plausible(pairs)
+        paths = self.paths(pairs)
         per_probe = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         per_probe = self.scratch.keep(per_probe)
         split = F.broadcast(per_probe.filter("blocks > 1"))  # fewer than pairs / BLOCK
@@ -278,16 +341,14 @@ class JaccardJoin:
     def links(self) -> DataFrame:
         """``(a, b)``: links between classes that join exactly the right components."""
         met = self.meetings()
-        paths = self.paths(met)
         stars = met.filter("cid != low").select(F.col("low").alias("a"), F.col("cid").alias("b"))
-        sizes = self.classes.select("cid", "n")
-        stars = self._sized(stars.distinct(), sizes)
-        first = self.verify(stars, paths)
+        stars = self.scratch.keep(stars.distinct())
+        first = self.verify(stars)
         labels = components(first, self.scratch)
         labelled = self.scratch.keep(
             met.drop("low").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
             .withColumn("label", F.coalesce("label", "cid"))
-            .join(sizes, "cid")
+            .join(self.classes.select("cid", "n"), "cid")
         )
         open_keys = labelled.groupBy("x").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
@@ -297,27 +358,34 @@ class JaccardJoin:
         other = rest.select(
             "x", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b")
         )
+        near = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (
+            F.col("n_b") * 100 >= F.col("n") * self.percent
+        )
         pairs = (
             rest.join(other, "x")
             .filter("label != label_b and cid < b")
-            .filter(self._close("n", "n_b"))
+            .filter(near)
             .select(F.col("cid").alias("a"), "b")
             .distinct()
         )
-        tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        second = self.verify(pairs.join(tested, ["a", "b"], "left_anti"), paths)
+        second = self.verify(pairs.join(stars, ["a", "b"], "left_anti"))
         return first.unionByName(second)
 
-    def _close(self, n: str, m: str):
-        return (F.col(n) * 100 >= F.col(m) * self.percent) & (F.col(m) * 100 >= F.col(n) * self.percent)
-
-    def _sized(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-        of_b = sizes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"))
-        of_a = sizes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"))
-        met = self.scratch.keep(pairs.join(of_b, "b"))
-        often = met.groupBy("a").agg(F.count("*").alias("n_pairs")).join(of_a, "a")
-        close = attach(met, often, ["a"], "n_pairs", met.count(), "inner")
-        return self.scratch.keep(close.filter(self._close("n_a", "n_b")).select("a", "b"))
+    def plausible(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs(a, b)`` that lengths and count sketches don't rule out."""
+        of_b = self.classes.select(
+            F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")
+        )
+        of_a = self.classes.select(
+            F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")
+        )
+        pairs = self.scratch.keep(pairs)
+        often = pairs.groupBy("a").agg(F.count("*").alias("n_pairs")).join(of_a, "a")
+        both = attach(pairs, self.scratch.keep(often), ["a"], "n_pairs", pairs.count(), "inner")
+        return self.scratch.keep(
+            both.drop("n_pairs").join(of_b, "b")
+            .mapInArrow(plausible(self.percent), "a bigint, b bigint")
+        )
 
     def groups(self) -> DataFrame:
         """``doc_id, t, n_shingles, component_id, component, keep_t``, one row per document."""
