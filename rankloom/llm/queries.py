@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .mixing import mix_sources
+from .packing import pack_documents
+from .token_files import read_token_files, write_token_files
 from .tree_dedup import exact_groups
 from .trie_join import near_duplicate_groups
 
@@ -15,10 +19,25 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op4_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = write_token_files(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+    )
+    documents = read_token_files(folder, files)
+    return documents.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op8_trie_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_read(spark, sf_dir, "documents"))
 
@@ -30,7 +49,9 @@ def op9_threshold_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_hierarchical_packing": op2_hierarchical_packing,
     "op4_tree_merge_dedup": op4_tree_merge_dedup,
+    "op7_seekable_token_files": op7_seekable_token_files,
     "op8_trie_jaccard_join": op8_trie_jaccard_join,
     "op9_threshold_mixing": op9_threshold_mixing,
 }
