@@ -8,6 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .forest import search
+from .importance import resample
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
 from .token_files import read_token_files, write_token_files
@@ -19,6 +22,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op1_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(_read(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return cut.select(
+        "doc_id", "removed_chunks", "removed_lines",
+        F.length(text).cast("bigint").alias("kept_chars"), F.sha2(text, 256).alias("kept_sha256"),
+    )
+
+
 def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(
         _read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
@@ -26,6 +38,11 @@ def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "weight", "kept")
+
+
 def op4_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
@@ -48,10 +65,17 @@ def op9_threshold_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_chunk_dedup": op1_line_chunk_dedup,
     "op2_hierarchical_packing": op2_hierarchical_packing,
+    "op3_importance_resampling": op3_importance_resampling,
     "op4_tree_merge_dedup": op4_tree_merge_dedup,
     "op7_seekable_token_files": op7_seekable_token_files,
     "op8_trie_jaccard_join": op8_trie_jaccard_join,
     "op9_threshold_mixing": op9_threshold_mixing,
+    "op10_projection_forest": op10_projection_forest,
 }
