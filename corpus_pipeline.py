@@ -1,12 +1,69 @@
-"""A corpus pipeline of the operators in ``rankloom.llm``."""
+"""A corpus pipeline: documents to packed training sequences, by the operators of ``rankloom.llm``.
+
+Every stage reads the documents its predecessor kept from Parquet, and what it decides takes effect: the
+next stage sees only its rows and texts. Stages but the last return the columns they got.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rankloom.llm.common import Scratch
+from rankloom.llm.importance import resample
+from rankloom.llm.line_dedup import dedup_lines
+from rankloom.llm.mixing import mix_sources
+from rankloom.llm.packing import pack_documents
+from rankloom.llm.trie_join import one_per_group
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling draws; the share is that of good labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return resample(docs, labels).filter("kept").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated chunks of lines; documents of which nothing is left go."""
+    cut = dedup_lines(docs).filter(
+        (F.col("removed_chunks") == 0) | F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    )
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_per_group(docs).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    carried = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    mixed = mix_sources(docs, carry=carried).filter("copies > 0")
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and the sequences they lie in."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources", mixture),
+    ("packing", packing),
+]
 
-STAGES: list = []
+#: Hashes, tokenizers and components have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch, sf_dir = Scratch(spark), sf_dir.rstrip("/")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

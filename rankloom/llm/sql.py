@@ -54,3 +54,41 @@ SELECT d.doc_id, d.size::BIGINT AS size, b.source_size, b.target,
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.ticket = k.ticket
 """
+
+SQL["op6_revisit_resolution"] = r"""
+WITH p AS (
+  SELECT page_id,
+         regexp_extract(url, '^[^/]*//[^/]*') || '/' || (page_id % 20)::VARCHAR AS url,
+         ((page_id * 7919) % 100003) * 10 AS ts,
+         '"' || md5(coalesce(html, '')) || '"' AS tag,
+         strlen(coalesce(html, ''))::VARCHAR AS size
+  FROM pages),
+d AS (SELECT *, 'day ' || floor(ts / 1000)::BIGINT::VARCHAR AS day FROM p),
+responses AS (
+  SELECT page_id * 4 AS record_id, url, ts, CASE WHEN page_id % 5 <> 1 THEN tag END AS tag,
+         day, size
+  FROM d WHERE page_id % 17 <> 3),
+visits AS (
+  SELECT page_id * 4 + 1 AS record_id, url, ts + 5 AS ts,
+         CASE WHEN page_id % 7 = 2 THEN '"other"' ELSE tag END AS bare,
+         CASE WHEN page_id % 7 = 2 THEN '"other"' ELSE 'W/' || tag END AS tag,
+         day || ' later' AS day, 'no-cache' AS cache
+  FROM d
+  UNION ALL
+  SELECT page_id * 4 + 2, url, ts - 5, NULL, NULL, day, NULL FROM d),
+latest AS (
+  SELECT url, ts, max(record_id) AS record_id FROM responses GROUP BY ALL),
+stored AS (SELECT r.* FROM responses r JOIN latest USING (url, ts, record_id)),
+j AS (
+  SELECT v.record_id, v.url, r.record_id AS response_id,
+         CASE WHEN r.record_id IS NULL THEN 'no response'
+              WHEN v.bare IS NOT NULL AND r.tag IS NOT NULL AND v.bare <> r.tag THEN 'mismatch'
+              ELSE 'resolved' END AS outcome,
+         v.cache, v.day, v.tag AS asked_tag, r.tag AS stored_tag, r.day AS stored_day, r.size
+  FROM visits v ASOF LEFT JOIN stored r ON v.url = r.url AND v.ts > r.ts)
+SELECT record_id, url, coalesce(response_id, -1) AS response_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN concat_ws('|',
+         'cache-control=' || cache, 'content-length=' || size, 'content-type=text/html',
+         'date=' || day, 'etag=' || coalesce(asked_tag, stored_tag), 'last-modified=' || stored_day) END AS headers
+FROM j
+"""
