@@ -9,11 +9,11 @@ anchor are one run of consecutive positions.
 1. Runs whose anchor occurs once are past.
 2. Runs that occur elsewhere from their first to their last byte are settled whole.
 3. For the positions of the others, and of one copy of each settled run with the same anchor, the ranks
-   of the first ``LENGTH / 2`` bytes and of as many bytes at that offset make a pair. Spark groups the
-   pairs; positions whose pair is unique are past, the others are repeated.
+   of the first ``LENGTH / 2`` bytes and of as many bytes at that offset make a pair. Positions whose pair
+   is unique are past, the others are repeated. Runs of one anchor are sorted together and paired in one
+   task; where an anchor has over ``GROUP`` runs, Spark groups a row per position instead.
 
-Ranks are hashes, so they need no global sort. Equal texts have equal places, so thousands of copies
-count once; they are removed as what they are. Hashes of texts, anchors, runs and pairs have 64 bits: of
+Ranks are hashes, so they need no global sort. Of equal texts one takes part; all are removed whole. Hashes of texts, anchors, runs and pairs have 64 bits: of
 n different ones about n^2 / 2^65 pairs are expected to be confused.
 """
 
@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from .common import Scratch, attach, column_or_null, mix, roller, text_slices
 
 LENGTH = 200
-GRAM = 64
+GRAM = 32
 #: Texts and runs (20 bytes each) up to which a table of runs is broadcast to the texts.
 BROADCAST_TEXTS, BROADCAST_RUNS = 250_000, 2_000_000
+#: Runs of one anchor, each under 400 bytes, that one task holds at a time.
+GROUP = 4096
 #: Positions of a slice that numpy works on.
 SLICE = 1 << 20
 
@@ -157,27 +159,95 @@ def runs(batches):
             )
 
 
-def rank_pairs(batches):
-    """From ``(t, text, open, runs)`` the pair of ranks at each position of the runs."""
+def pairs_at(one, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pair of ranks at each position: the first half and the half at that offset."""
     half = LENGTH // 2
+    head, tail = one.hashes(sums, at, at + half), one.hashes(sums, at + half, at + LENGTH)
+    return mix(head * np.uint64(3) + mix(tail))
+
+
+def rank_pairs(batches):
+    """From ``(t, text, runs)`` the pair of ranks at each position of the runs."""
     for rows, data, offsets in text_slices(batches, limit=SLICE):
         one = roller(22)
         sums = one.sums(data)
         for k, given in enumerate(rows.column("runs").to_pylist()):
-            at = np.concatenate([np.arange(r["first"], r["first"] + r["n"]) for r in given]) + offsets[k]
-            is_open = np.repeat([r["open"] for r in given], [r["n"] for r in given])
-            head, tail = one.hashes(sums, at, at + half), one.hashes(sums, at + half, at + LENGTH)
-            pair = mix(head * np.uint64(3) + mix(tail))
+            at = np.concatenate([np.arange(r["first"], r["first"] + r["n"]) for r in given])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(pair.view(np.int64)),
+                    pa.array(pairs_at(one, sums, at + offsets[k]).view(np.int64)),
                     rows.column("t").take(pa.array(np.full(len(at), k))),
-                    pa.array((at - offsets[k]).astype(np.int32)), pa.array(is_open),
+                    pa.array(at.astype(np.int32)),
+                    pa.array(np.repeat([r["open"] for r in given], [r["n"] for r in given])),
                 ],
                 ["pair", "t", "at", "open"],
             )
 
 
+def run_bytes(batches):
+    """From ``(t, text, runs)`` the bytes of each run."""
+    for rows, data, offsets in text_slices(batches):
+        out = [
+            (r["anchor"], k, r["first"], r["open"],
+             data[offsets[k] + r["first"] : offsets[k] + r["first"] + r["n"] + LENGTH - 1].tobytes())
+            for k, given in enumerate(rows.column("runs").to_pylist())
+            for r in given
+        ]
+        for a in range(0, len(out), 10_000):
+            anchor, k, first, is_open, text = zip(*out[a : a + 10_000], strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(anchor, pa.int64()), rows.column("t").take(pa.array(k)),
+                    pa.array(first, pa.int32()), pa.array(is_open), pa.array(text, pa.binary()),
+                ],
+                ["anchor", "t", "first", "open", "text"],
+            )
+
+
+def paired(batches):
+    """From the runs sorted by anchor and place, ``(t, first, n)`` of the repeated positions of open runs."""
+
+    def judge(rows: pa.RecordBatch) -> pa.RecordBatch:
+        place = np.stack([rows.column(c).cast(pa.int64()).to_numpy() for c in ("anchor", "t", "first")])
+        again = np.concatenate([[False], (place[:, 1:] == place[:, :-1]).all(axis=0)])
+        rows = rows.filter(pa.array(~again))
+        texts = rows.column("text").to_pylist()
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        n = np.array([len(x) - LENGTH + 1 for x in texts])
+        start = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
+        run, where = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(where, n)
+        one = roller(22)
+        pair = pairs_at(one, one.sums(data), place + np.repeat(start, n))
+        _, group, count = np.unique(pair, return_inverse=True, return_counts=True)
+        is_open = rows.column("open").to_numpy(zero_copy_only=False)
+        hit = np.concatenate([[False], (count[group] > 1) & is_open[run], [False]])
+        # a span of hits ends with its run
+        begins = hit[1:-1] & (~hit[:-2] | (place == 0))
+        ends = hit[1:-1] & (~hit[2:] | (place == n[run] - 1))
+        begins, ends = np.flatnonzero(begins), np.flatnonzero(ends)
+        first = rows.column("first").to_numpy()[run[begins]] + place[begins]
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column("t").take(pa.array(run[begins])),
+                pa.array(first.astype(np.int32)), pa.array((ends - begins + 1).astype(np.int32)),
+            ],
+            ["t", "first", "n"],
+        )
+
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        anchor = batch.column("anchor").to_numpy()
+        cut = int(np.searchsorted(anchor, anchor[-1])) if len(anchor) else 0
+        if cut:
+            yield judge(batch.slice(0, cut))
+        held = batch.slice(cut)
+    if held is not None and held.num_rows:
+        yield judge(held)
+
+
 def cut_out(batches):
     """``doc_id, n_bytes, n_removed, spans, kept`` from texts and the runs of repeated positions."""
     for rows, data, offsets in text_slices(batches):
@@ -207,15 +277,9 @@ def cut_out(batches):
         )
 
 
-def repeated(rows: DataFrame, key: str, place: list[str]) -> DataFrame:
-    """``(key, n)`` of the keys at two places or more; equal texts have equal places."""
-    where = F.xxhash64(*place)
-    return (
-        rows.groupBy(key)
-        .agg(F.min(where).alias("low"), F.max(where).alias("high"), F.count("*").alias("n_key"))
-        .filter("low != high")
-        .select(key, "n_key")
-    )
+def several(rows: DataFrame, key: str) -> DataFrame:
+    """``(key, n_key)`` of the keys that more than one row has."""
+    return rows.groupBy(key).agg(F.count("*").alias("n_key")).filter("n_key > 1")
 
 
 def with_runs(texts: DataFrame, table: DataFrame, scratch: Scratch, keys: list[str], how: str) -> DataFrame:
@@ -240,54 +304,74 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select(
         column_or_null(docs, "doc_id", "bigint").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text")
     )
-    known = scratch.keep(
-        texts.groupBy("t").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("one"))
+    copied = (
+        texts.groupBy("t").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
+        .filter("n > 1").select("t", "one", F.array().cast("array<int>").alias("runs"), F.lit(True).alias("copied"))
+    )
+    copied = scratch.keep(copied)
+    # of equal texts one takes part; rows of one id and text are told apart by their places
+    single = with_runs(texts, copied, scratch, ["t"], "left").filter(
+        F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))
     )
-    every = scratch.keep(texts.select("t", "text").mapInArrow(runs, RUNS))
-    n = every.count()
-    shared = scratch.keep(repeated(every, "anchor", ["t", "first"]))
+    every = scratch.keep(single.select("t", "text").mapInArrow(runs, RUNS))
+    shared = scratch.keep(several(every, "anchor"))
     alive = scratch.keep(
-        attach(every, shared, ["anchor"], "n_key", n, "inner").drop("n_key").distinct()
+        attach(every, shared, ["anchor"], "n_key", every.count(), "inner").drop("n_key").distinct()
     )
-    n = alive.count()
-    settled = scratch.keep(repeated(alive, "whole", ["t", "first"]))
+    settled = scratch.keep(several(alive, "whole"))
+    mine = F.broadcast(copied.select("t", "copied")) if copied.count() <= BROADCAST_TEXTS else copied.select("t", "copied")
     judged = scratch.keep(
-        attach(alive, settled, ["whole"], "n_key", n).withColumn("open", F.col("n_key").isNull())
+        attach(alive, settled, ["whole"], "n_key", alive.count()).join(mine, "t", "left")
+        .withColumn("open", F.col("n_key").isNull() & F.col("copied").isNull())
+        .withColumn("settled", F.col("n_key").isNotNull())
+        .drop("n_key", "copied")
     )
-    # one copy of each settled run whose anchor also has an open run
-    copies = judged.filter("not open").groupBy("whole").agg(F.min(F.struct("anchor", "t", "first", "n")).alias("r"))
+    # with the open runs go the others of their anchors, once for all that are equal
+    others = judged.filter("not open").groupBy("whole").agg(F.min(F.struct("anchor", "t", "first", "n")).alias("r"))
     openly = judged.filter("open").select("anchor").distinct()
-    spare = copies.select("r.*").join(openly, "anchor", "left_semi").withColumn("open", F.lit(False))
-    run = F.struct("first", "n", "open")
-    asked = (
+    spare = others.select("r.*").join(openly, "anchor", "left_semi").withColumn("open", F.lit(False))
+    asked = scratch.keep(
         judged.filter("open").select("anchor", "t", "first", "n", "open").unionByName(spare)
-        .groupBy("t").agg(F.collect_list(run).alias("runs"))
-        .join(known.select("t", F.coalesce("one", F.lit(-1 << 63)).alias("one")), "t")
     )
-    some = texts.withColumn("one", F.coalesce("doc_id", F.lit(-1 << 63))).drop("doc_id")
-    pairs = scratch.keep(
-        with_runs(some, asked, scratch, ["t", "one"], "inner").select("t", "text", "runs")
-        .mapInArrow(rank_pairs, "pair bigint, t bigint, at int, open boolean")
+    sizes = scratch.keep(several(asked, "anchor"))
+    asked = scratch.keep(attach(asked, sizes, ["anchor"], "n_key", asked.count(), "inner"))
+    def emit(rows: DataFrame, mapper, schema: str) -> DataFrame:
+        grouped = rows.groupBy("t").agg(
+            F.collect_list(F.struct("anchor", "first", "n", "open")).alias("runs")
+        )
+        return (
+            with_runs(single.drop("runs"), grouped, scratch, ["t"], "inner")
+            .select("t", "text", "runs").mapInArrow(mapper, schema)
+        )
+
+    small, large = asked.filter(F.col("n_key") <= GROUP), asked.filter(F.col("n_key") > GROUP)
+    in_groups = (
+        emit(small, run_bytes, "anchor bigint, t bigint, first int, open boolean, text binary")
+        .repartition("anchor").sortWithinPartitions("anchor", "t", "first")
+        .mapInArrow(paired, "t bigint, first int, n int")
     )
-    found = attach(
-        pairs.filter("open").drop("open"), scratch.keep(repeated(pairs, "pair", ["t", "at"])),
-        ["pair"], "n_key", pairs.count(), "inner",
+    pairs = scratch.keep(emit(large, rank_pairs, "pair bigint, t bigint, at int, open boolean").distinct())
+    hits = attach(
+        pairs.filter("open").drop("open"), scratch.keep(several(pairs, "pair")), ["pair"], "n_key",
+        pairs.count(), "inner",
     ).select("t", F.col("at").alias("first"))
     # positions in a row are one run again
     row = F.row_number().over(Window.partitionBy("t").orderBy("first"))
-    joined = (
-        found.distinct().withColumn("group", F.col("first") - row)
+    by_row = (
+        hits.withColumn("group", F.col("first") - row)
         .groupBy("t", "group").agg(F.min("first").alias("first"), F.count("*").cast("int").alias("n"))
         .drop("group")
     )
     spans = (
-        joined.unionByName(judged.filter("not open").select("t", "first", "n"))
+        in_groups.unionByName(by_row)
+        .unionByName(judged.filter("settled").select("t", "first", "n"))
         .groupBy("t").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
     )
-    removal = spans.join(known.filter("n_docs > 1").select("t", F.lit(True).alias("copied")), "t", "full").select(
-        "t", F.when(F.col("copied").isNull(), F.col("runs")).otherwise(
-            F.array().cast("array<struct<first:int,n:int>>")).alias("runs"),
-        F.coalesce("copied", F.lit(False)).alias("copied"),
+    removal = spans.join(copied.select("t", "copied"), "t", "full").select(
+        "t",
+        F.when(F.col("copied").isNull(), F.col("runs"))
+        .otherwise(F.array().cast("array<struct<first:int,n:int>>")).alias("runs"),
+        "copied",
     )
     return with_runs(texts, removal, scratch, ["t"], "left").select(
         "doc_id", "text", "runs", F.coalesce("copied", F.lit(False)).alias("copied")
