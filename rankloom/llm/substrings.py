@@ -167,21 +167,24 @@ def pairs_at(one, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def rank_pairs(batches):
-    """From ``(t, text, runs)`` the pair of ranks at each position of the runs."""
-    for rows, data, offsets in text_slices(batches, limit=SLICE):
-        one = roller(22)
-        sums = one.sums(data)
-        for k, given in enumerate(rows.column("runs").to_pylist()):
-            at = np.concatenate([np.arange(r["first"], r["first"] + r["n"]) for r in given])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(pairs_at(one, sums, at + offsets[k]).view(np.int64)),
-                    rows.column("t").take(pa.array(np.full(len(at), k))),
-                    pa.array(at.astype(np.int32)),
-                    pa.array(np.repeat([r["open"] for r in given], [r["n"] for r in given])),
-                ],
-                ["pair", "t", "at", "open"],
-            )
+    """From the bytes of runs ``(pair, t, at, open)``, a row per position."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        one, n = roller(22), np.array([len(x) - LENGTH + 1 for x in texts], np.int64)
+        if not len(n):
+            continue
+        start = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        run = pa.array(np.repeat(np.arange(len(n)), n))
+        at = batch.column("first").take(run).to_numpy() + place
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(pairs_at(one, one.sums(data), place + np.repeat(start, n)).view(np.int64)),
+                batch.column("t").take(run), pa.array(at.astype(np.int32)), batch.column("open").take(run),
+            ],
+            ["pair", "t", "at", "open"],
+        )
 
 
 def run_bytes(batches):
@@ -334,23 +337,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         judged.filter("open").select("anchor", "t", "first", "n", "open").unionByName(spare)
     )
     sizes = scratch.keep(several(asked, "anchor"))
-    asked = scratch.keep(attach(asked, sizes, ["anchor"], "n_key", asked.count(), "inner"))
-    def emit(rows: DataFrame, mapper, schema: str) -> DataFrame:
-        grouped = rows.groupBy("t").agg(
-            F.collect_list(F.struct("anchor", "first", "n", "open")).alias("runs")
-        )
-        return (
-            with_runs(single.drop("runs"), grouped, scratch, ["t"], "inner")
-            .select("t", "text", "runs").mapInArrow(mapper, schema)
-        )
-
-    small, large = asked.filter(F.col("n_key") <= GROUP), asked.filter(F.col("n_key") > GROUP)
+    asked = attach(asked, sizes, ["anchor"], "n_key", asked.count(), "inner")
+    grouped = asked.groupBy("t").agg(F.collect_list(F.struct("anchor", "first", "n", "open")).alias("runs"))
+    strings = scratch.keep(
+        with_runs(single.drop("runs"), grouped, scratch, ["t"], "inner").select("t", "text", "runs")
+        .mapInArrow(run_bytes, "anchor bigint, t bigint, first int, open boolean, text binary")
+    )
+    large = sizes.filter(F.col("n_key") > GROUP).select("anchor")
     in_groups = (
-        emit(small, run_bytes, "anchor bigint, t bigint, first int, open boolean, text binary")
+        strings.join(large, "anchor", "left_anti")
         .repartition("anchor").sortWithinPartitions("anchor", "t", "first")
         .mapInArrow(paired, "t bigint, first int, n int")
     )
-    pairs = scratch.keep(emit(large, rank_pairs, "pair bigint, t bigint, at int, open boolean").distinct())
+    pairs = scratch.keep(
+        strings.join(large, "anchor", "left_semi")
+        .mapInArrow(rank_pairs, "pair bigint, t bigint, at int, open boolean").distinct()
+    )
     hits = attach(
         pairs.filter("open").drop("open"), scratch.keep(several(pairs, "pair")), ["pair"], "n_key",
         pairs.count(), "inner",
@@ -362,9 +364,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("t", "group").agg(F.min("first").alias("first"), F.count("*").cast("int").alias("n"))
         .drop("group")
     )
+    # runs that touch or overlap are one span, so a text has few
+    found = in_groups.unionByName(by_row).unionByName(judged.filter("settled").select("t", "first", "n"))
+    before = Window.partitionBy("t").orderBy("first", "n").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("t").orderBy("first", "n").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("first") > F.max(F.col("first") + F.col("n")).over(before), F.lit(True))
     spans = (
-        in_groups.unionByName(by_row)
-        .unionByName(judged.filter("settled").select("t", "first", "n"))
+        found.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(upto))
+        .groupBy("t", "span")
+        .agg(
+            F.min("first").alias("first"),
+            (F.max(F.col("first") + F.col("n")) - F.min("first")).alias("n"),
+        )
         .groupBy("t").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
     )
     removal = spans.join(copied.select("t", "copied"), "t", "full").select(
