@@ -7,8 +7,8 @@ meet. A probe is then compared with all sets that meet it at once: they arrive i
 depth-first walk of their trie, take over the overlap counted on the path they share with the set
 before, and a subtree is left as soon as what remains of either set can't reach the threshold.
 
-Equal sets are one class from the start. Sets meeting at a key are first compared with one of them;
-only keys that still join different components are then compared in full. So a group of thousands of
+Equal sets are one class from the start. Sets meeting at a key are first compared with a few of them in
+turn; of keys that still join different components, the pairs across components are then compared. So a group of thousands of
 copies costs as many comparisons as it has members, not as it has pairs, and no link is lost.
 
 Hashes have 64 bits: of N distinct sets, about N^2 / 2^65 pairs are expected to be confused.
@@ -35,6 +35,8 @@ RANKED = 1 << 17
 FREQUENT = 1e-3
 #: Sets that are compared with a probe in one task.
 BLOCK = 2048
+#: Members of a key that all others are compared with before pairs are.
+CENTERS = 4
 RARE = np.uint64(1 << 63)
 #: Bins of the count sketch: 100 * sum of the bins' minima can't be below 100 * overlap.
 BINS = 128
@@ -342,19 +344,24 @@ class JaccardJoin:
         """``(a, b)``: links between classes that join exactly the right components."""
         met = self.meetings()
         stars = met.filter("cid != low").select(F.col("low").alias("a"), F.col("cid").alias("b"))
-        stars = self.scratch.keep(stars.distinct())
-        first = self.verify(stars)
-        labels = components(first, self.scratch)
-        labelled = self.scratch.keep(
-            met.drop("low").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
-            .withColumn("label", F.coalesce("label", "cid"))
-            .join(self.classes.select("cid", "n"), "cid")
-        )
-        open_keys = labelled.groupBy("x").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
-        ).filter("low != high").select("x", "n_x")
-        n = labelled.count()
-        rest = self.scratch.keep(attach(labelled, open_keys, ["x"], "n_x", n, "inner").drop("n_x"))
+        tested = self.scratch.keep(stars.distinct())
+        found = self.verify(tested)
+        rest = met.drop("low").join(self.classes.select("cid", "n"), "cid")
+        for turn in range(1, CENTERS + 1):
+            labels = components(found, self.scratch)
+            rest = self.still_open(rest, labels)
+            if turn == CENTERS or rest.isEmpty():
+                break
+            draw = F.struct(F.xxhash64(F.lit(turn), "cid").alias("draw"), "cid", "label")
+            center = rest.groupBy("x").agg(F.min(draw).alias("c"), F.count("*").alias("n_x"))
+            pairs = attach(rest, self.scratch.keep(center), ["x"], "n_x", rest.count(), "inner")
+            pairs = pairs.filter("label != c.label").select(
+                F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")
+            )
+            pairs = self.scratch.keep(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+            tested = tested.unionByName(pairs)
+            found = self.scratch.keep(found.unionByName(self.verify(pairs)))
+            rest = rest.drop("label")
         other = rest.select(
             "x", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b")
         )
@@ -368,8 +375,21 @@ class JaccardJoin:
             .select(F.col("cid").alias("a"), "b")
             .distinct()
         )
-        second = self.verify(pairs.join(stars, ["a", "b"], "left_anti"))
-        return first.unionByName(second)
+        return found.unionByName(self.verify(pairs.join(tested, ["a", "b"], "left_anti")))
+
+    def still_open(self, met: DataFrame, labels: DataFrame) -> DataFrame:
+        """``(x, cid, n, label)`` of the keys at which sets of different components meet."""
+        labelled = self.scratch.keep(
+            met.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
+            .withColumn("label", F.coalesce("label", "cid"))
+        )
+        keys = labelled.groupBy("x").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
+        ).filter("low != high").select("x", "n_x")
+        total = labelled.count()
+        return self.scratch.keep(
+            attach(labelled, self.scratch.keep(keys), ["x"], "n_x", total, "inner").drop("n_x")
+        )
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that lengths and count sketches don't rule out."""
