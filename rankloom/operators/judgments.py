@@ -10,17 +10,21 @@ from .index import Index
 from .joins import BROADCAST_ROWS, lookup_join
 from .scoring import match, query_batch, weigh
 
+# Bytes of passages that are broadcast at a time; more are dealt to several rounds.
+PASSAGE_BYTES = 32 << 20
+
 
 def containing_documents(
     passages: DataFrame, docs: DataFrame, index: Index, workspace: Workspace, field: str = "body"
 ) -> DataFrame:
     """``(qid, doc_id)`` of all documents whose text contains the passage ``query`` verbatim.
 
-    The inner words of a contained passage are words of the document too, so only documents
-    holding the rarest inner word are compared. A passage needs an inner word that is a token
-    and no stop word; others get no judgments.
+    The inner words of a contained passage, all but the first and the last, are words of the
+    document too, so only documents holding the rarest inner word are compared. A passage without
+    an inner word that is a token and no stop word is looked for in every document, in blocks of
+    passages that are small enough to be broadcast. Null passages are contained nowhere.
     """
-    inner = passages.select("qid", F.regexp_replace("query", r"^\S*\s|\s\S*$", " ").alias("query"))
+    inner = passages.select("qid", F.regexp_replace("query", r"^\S*|\S*$", "").alias("query"))
     batch = query_batch(inner, index)
     rarest = (
         weigh(index, batch, field)
@@ -37,9 +41,19 @@ def containing_documents(
         texts = lookup_join(
             candidates, docs.select("doc_id", "text"), ["doc_id"], ["qid"], False, "inner"
         )
-    asked = passages.select("qid", "query")
-    if batch.bounded:
+    asked = passages.select("qid", "query").filter("query is not null")
+    usable = batch.terms.select("qid").distinct()
+    size = asked.agg(F.coalesce(F.sum(F.octet_length("query") + 16), F.lit(0))).first()[0]
+    if batch.bounded and size <= PASSAGE_BYTES:
         pairs = texts.join(F.broadcast(asked), "qid")
     else:
         pairs = lookup_join(texts, asked, ["qid"], ["doc_id"], False, "inner")
-    return pairs.filter(F.contains("text", "query")).select("qid", "doc_id")
+    found = pairs.filter(F.contains("text", "query")).select("qid", "doc_id")
+    plain = workspace.save("judgment_plain", asked.join(usable, "qid", "left_anti"))
+    size = plain.agg(F.coalesce(F.sum(F.octet_length("query") + 16), F.lit(0))).first()[0]
+    blocks = -(-size // PASSAGE_BYTES)
+    for block in range(blocks):
+        part = plain.filter(F.pmod(F.xxhash64("qid", "query"), F.lit(blocks)) == block)
+        held = docs.select("doc_id", "text").join(F.broadcast(part), F.contains("text", "query"))
+        found = found.unionByName(held.select("qid", "doc_id"))
+    return found

@@ -23,6 +23,7 @@ def pagerank(
 ) -> DataFrame:
     """``(doc_id, pagerank)`` for ``vertices(doc_id)`` and distinct ``edges(src, dst)``.
 
+    Links from or to pages that are no vertices don't count, also not for the degree of their source.
     Ranks add up to 1: the rank of pages without links is spread over all pages. One round is a
     join on the source and one aggregation on the target. The links are bucketed by source, so
     only ranks are shuffled to them. The aggregation is combined map-side, so a page with very
@@ -30,6 +31,13 @@ def pagerank(
     of every round are written out, which cuts the lineage.
     """
     buckets = buckets or bucket_count(vertices)
+    known = vertices.select("doc_id").distinct()
+    edges = workspace.save(
+        "pagerank_edges",
+        edges.join(known.withColumnRenamed("doc_id", "src"), "src", "left_semi")
+        .join(known.withColumnRenamed("doc_id", "dst"), "dst", "left_semi")
+        .select("src", "dst"),
+    )
     degrees = count_keys(edges, ["src"])
     hot = hot_keys(degrees, ["src"], "shards", links_per_shard)
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,15 +22,18 @@ from ..sources.workspace import Workspace, bucket_count, spread
 
 POSTINGS = "doc_id bigint, term string, tf int, batch_id bigint, field string, term_bucket int"
 DELTAS = "term string, df bigint, term_total bigint, batch_id bigint, field string, term_bucket int"
-SIZES = "field string, n_docs bigint, batch_id bigint"
+SIZES = "field string, n_docs bigint, merged boolean, batch_id bigint"
+IDS = "doc_id bigint, batch_id bigint, field string"
 
 
 class LiveIndex:
     """Every batch owns one folder per table and replaces it whole.
 
     A batch that is delivered again after a failure therefore counts once. Adding a document
-    again in another batch counts it twice, as a second document. No table is rewritten when
-    documents arrive; statistics are sums over the batches' partial ones.
+    again in another batch counts it twice, as a second document. In a field that was ever appended
+    with ``merge`` all rows of an id are one document instead, also across batches. No table is
+    rewritten when documents arrive; statistics are sums over the batches' partial ones, those of
+    merged fields come from the postings and ids of all batches.
     """
 
     def __init__(self, workspace: Workspace, term_buckets: int = 4):
@@ -62,8 +67,16 @@ class LiveIndex:
             name: (docs.select("doc_id").distinct() if name in merge else docs).count()
             for name, docs in fields.items()
         }
-        corpus_sizes(spark, sizes).write.mode("overwrite").parquet(
-            self._folder("sizes", batch_id)
+        corpus_sizes(spark, sizes).withColumn("merged", F.col("field").isin(list(merge))).write.mode(
+            "overwrite"
+        ).parquet(self._folder("sizes", batch_id))
+        ids = [
+            docs.select("doc_id", F.lit(name).alias("field")).distinct()
+            for name, docs in fields.items()
+            if name in merge
+        ] or [spark.createDataFrame([], "doc_id bigint, field string")]
+        reduce(DataFrame.unionByName, ids).write.mode("overwrite").partitionBy("field").parquet(
+            self._folder("ids", batch_id)
         )
 
     def stream(self, docs: DataFrame, checkpoint: str, field: str = "body") -> StreamingQuery:
@@ -80,27 +93,57 @@ class LiveIndex:
             .start()
         )
 
+    def _merged(self) -> list[str]:
+        """Fields whose rows are gathered by id; one name per field reaches the driver."""
+        sizes = self._read("sizes", SIZES).filter("merged").select("field").distinct()
+        return sorted(r.field for r in sizes.collect())
+
+    def _postings(self, merged: list[str]) -> DataFrame:
+        postings = self._read("postings", POSTINGS).drop("batch_id")
+        if not merged:
+            return postings
+        gathered = (
+            postings.filter(F.col("field").isin(merged))
+            .groupBy("field", "term_bucket", "term", "doc_id")
+            .agg(F.sum("tf").cast("int").alias("tf"))
+        )
+        return postings.filter(~F.col("field").isin(merged)).unionByName(
+            gathered.select(*postings.columns)
+        )
+
+    def _sizes(self, merged: list[str]) -> DataFrame:
+        sizes = self._read("sizes", SIZES).filter(~F.col("field").isin(merged))
+        sums = sizes.groupBy("field").agg(F.sum("n_docs").alias("n_docs"))
+        if not merged:
+            return sums
+        ids = self._read("ids", IDS).filter(F.col("field").isin(merged))
+        distinct = ids.select("field", "doc_id").distinct()
+        return sums.unionByName(distinct.groupBy("field").agg(F.count("*").alias("n_docs")))
+
     def index(self) -> Index:
         """The index over all batches so far, computed when used; see also :meth:`compact`."""
-        postings = self._read("postings", POSTINGS).drop("batch_id")
-        deltas = self._read("term_deltas", DELTAS)
+        merged = self._merged()
+        postings = self._postings(merged)
+        deltas = self._read("term_deltas", DELTAS).filter(~F.col("field").isin(merged))
         terms = deltas.groupBy("field", "term_bucket", "term").agg(
             F.sum("df").cast("bigint").alias("df"),
             F.sum("term_total").cast("bigint").alias("term_total"),
         )
-        sizes = self._read("sizes", SIZES).groupBy("field").agg(F.sum("n_docs").alias("n_docs"))
+        if merged:
+            gathered = term_statistics(postings.filter(F.col("field").isin(merged)))
+            terms = terms.unionByName(gathered.select(*terms.columns))
         return Index(
             postings,
             terms,
             document_lengths(postings),
-            corpus_statistics(terms, sizes),
+            corpus_statistics(terms, self._sizes(merged)),
             term_buckets=self.term_buckets,
         )
 
     def compact(self, workspace: Workspace, buckets: int | None = None) -> Index:
         """Write all batches so far as one index in the layout for fast scoring."""
-        postings = self._read("postings", POSTINGS)
+        merged = self._merged()
+        postings = self._postings(merged)
         buckets = buckets or bucket_count(postings)
         counts = postings.select("field", "doc_id", "term", "tf").repartition(buckets, "doc_id")
-        sizes = self._read("sizes", SIZES).groupBy("field").agg(F.sum("n_docs").alias("n_docs"))
-        return write_index(counts, sizes, workspace, buckets, term_buckets=self.term_buckets)
+        return write_index(counts, self._sizes(merged), workspace, buckets, term_buckets=self.term_buckets)

@@ -84,3 +84,18 @@ def test_merged_field_in_batches(spark):
     live.append({"anchor": anchors}, 0, merge=("anchor",))
     assert rows(live.index().postings, "term", "tf") == [("apple", 2), ("pie", 1)]
     assert live.index().corpus_stats.first().n_docs == 1
+
+
+def test_merged_field_over_batches(spark):
+    live = LiveIndex(Workspace(spark))
+    first = spark.createDataFrame([(1, "alpha beta"), (2, "alpha"), (3, "of")], "doc_id long, text string")
+    again = spark.createDataFrame([(1, "alpha")], "doc_id long, text string")
+    live.append({"anchor": first}, 0, merge=("anchor",))
+    live.append({"anchor": again}, 1, merge=("anchor",))
+    live.append({"anchor": again}, 1, merge=("anchor",))  # delivered twice
+    for index in (live.index(), live.compact(Workspace(spark))):
+        assert rows(index.postings, "term", "doc_id", "tf") == [
+            ("alpha", 1, 2), ("alpha", 2, 1), ("beta", 1, 1)
+        ]
+        assert rows(index.term_stats, "term", "df") == [("alpha", 2), ("beta", 1)]
+        assert index.corpus_stats.first().n_docs == 3
