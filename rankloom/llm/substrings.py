@@ -79,62 +79,6 @@ def leftmost(grams: np.ndarray, least: np.ndarray) -> np.ndarray:
     return out
 
 
-RUNS = 250_000, 2_000_000
-#: Positions of a slice that numpy works on.
-SLICE = 1 << 20
-
-
-def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Least of each ``width`` values in a row, by doubling."""
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        values = np.minimum(values[:-step], values[step:])
-        have += step
-    return values
-
-
-def runs_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First position, number of positions, anchor hash and hash of all bytes of the runs of a text."""
-    one = roller(21)
-    sums = one.sums(data)
-    at = np.arange(len(data) - GRAM + 1)
-    grams = one.hashes(sums, at, at + GRAM)
-    width = LENGTH - GRAM + 1
-    least = sliding_min(grams, width)
-    group = leftmost(grams, least)
-    new = np.flatnonzero(np.diff(group)) + 1
-    first = np.concatenate([[0], new])
-    count = np.diff(np.concatenate([first, [len(least)]]))
-    whole = one.hashes(sums, first, first + count + LENGTH - 1)
-    return first, count, grams[group[first]], whole
-
-
-def _leftmost(grams: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
-    """For each window the first place at or after its start that has the window's least hash."""
-    change = np.concatenate([[True], least[1:] != least[:-1]])
-    out = np.empty(len(least), np.int64)
-    # windows in a row with one least value share its places
-    starts = np.flatnonzero(change)
-    ends = np.concatenate([starts[1:], [len(least)]])
-    is_least = {}
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
-    lo = np.searchsorted(ranked, least[starts], "left")
-    hi = np.searchsorted(ranked, least[starts], "right")
-    single = hi - lo == 1
-    lone = np.repeat(order[lo], ends - starts)
-    out[:] = lone
-    for k in np.flatnonzero(~single).tolist():
-        value = int(least[starts[k]])
-        if value not in is_least:
-            is_least[value] = np.sort(order[lo[k] : hi[k]])
-        place = is_least[value]
-        window = np.arange(starts[k], ends[k])
-        out[starts[k] : ends[k]] = place[np.searchsorted(place, window)]
-    return out
-
-
 RUNS = "t bigint, first int, n int, anchor bigint, whole bigint"
 
 
@@ -390,4 +334,3 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         cut_out,
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",
     )
-
