@@ -49,3 +49,23 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         edges = scratch.keep(edges.filter("a != b").distinct())
         n = edges.count()
     return labels
+
+
+def extended(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """:func:`components` of the links that ``labels(id, label)`` came from and of ``links(a, b)``.
+
+    Only links between different labels are contracted.
+    """
+    for end in ("a", "b"):
+        of_end = labels.select(F.col("id").alias(end), F.col("label").alias(f"label_{end}"))
+        links = links.join(of_end, end, "left").withColumn(end, F.coalesce(f"label_{end}", end))
+    moved = components(links.select("a", "b"), scratch)
+    if moved.isEmpty():
+        return labels
+    fresh = moved.join(labels.select("id"), "id", "left_anti")
+    sizes = labels.groupBy("label").agg(F.count("*").alias("n_ids"))
+    moves = sizes.join(moved.select(F.col("id").alias("label"), F.col("label").alias("to")), "label")
+    kept = attach(labels, moves, ["label"], "n_ids", labels.count()).select(
+        "id", F.coalesce("to", "label").alias("label")
+    )
+    return scratch.keep(kept.unionByName(fresh))

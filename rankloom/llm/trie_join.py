@@ -8,8 +8,8 @@ depth-first walk of their trie, take over the overlap counted on the path they s
 before, and a subtree is left as soon as what remains of either set can't reach the threshold.
 
 Equal sets are one class from the start. Sets meeting at a key are first compared with a few of them in
-turn; of keys that still join different components, the pairs across components are then compared. So a group of thousands of
-copies costs as many comparisons as it has members, not as it has pairs, and no link is lost.
+turn; of keys that still join different components, the pairs across components are then compared, as soon
+as they are no more than that. So a group of thousands of copies costs as many comparisons as it has members, not as it has pairs, and no link is lost.
 
 Hashes have 64 bits: of N distinct sets, about N^2 / 2^65 pairs are expected to be confused.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import (
     Scratch, attach, column_or_null, lower_ascii, mix, roller, shingle_hashes, text_slices, word_bounds,
 )
-from .components import components
+from .components import components, extended
 
 WIDTH = 5
 #: Frequent shingles with a rank of their own, 8 bytes each in a broadcast; the order of the others is their hash.
@@ -315,11 +315,14 @@ class JaccardJoin:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that link; pairs are distinct and ``a`` is the probe."""
         pairs = self.plausible(pairs)
+        n_pairs = pairs.count()
+        if not n_pairs:
+            return pairs
         paths = self.paths(pairs)
         per_probe = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         per_probe = self.scratch.keep(per_probe)
         split = F.broadcast(per_probe.filter("blocks > 1"))  # fewer than pairs / BLOCK
-        if pairs.count() > BLOCK * 1_000_000:
+        if n_pairs > BLOCK * 1_000_000:
             split = per_probe.filter("blocks > 1")
         sets = (
             pairs.join(split, "a", "left")
@@ -340,27 +343,30 @@ class JaccardJoin:
             .mapInArrow(walk(self.percent), "a bigint, b bigint")
         )
 
-    def links(self) -> DataFrame:
-        """``(a, b)``: links between classes that join exactly the right components."""
+    def labels(self) -> DataFrame:
+        """``(id, label)`` of the classes that link with another: equal labels are one component.
+
+        Links are looked for until no key has sets of two components that weren't compared. Centers
+        are taken in turn as long as they cost less than the pairs that are left.
+        """
         met = self.meetings()
         stars = met.filter("cid != low").select(F.col("low").alias("a"), F.col("cid").alias("b"))
         tested = self.scratch.keep(stars.distinct())
-        found = self.verify(tested)
+        labels = components(self.verify(tested), self.scratch)
         rest = met.drop("low").join(self.classes.select("cid", "n"), "cid")
         for turn in range(1, CENTERS + 1):
-            labels = components(found, self.scratch)
-            rest = self.still_open(rest, labels)
-            if turn == CENTERS or rest.isEmpty():
+            rest, rows, n_pairs = self.still_open(rest, labels)
+            if turn == CENTERS or n_pairs <= CENTERS * rows:
                 break
             draw = F.struct(F.xxhash64(F.lit(turn), "cid").alias("draw"), "cid", "label")
             center = rest.groupBy("x").agg(F.min(draw).alias("c"), F.count("*").alias("n_x"))
-            pairs = attach(rest, self.scratch.keep(center), ["x"], "n_x", rest.count(), "inner")
+            pairs = attach(rest, self.scratch.keep(center), ["x"], "n_x", rows, "inner")
             pairs = pairs.filter("label != c.label").select(
                 F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")
             )
             pairs = self.scratch.keep(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
             tested = tested.unionByName(pairs)
-            found = self.scratch.keep(found.unionByName(self.verify(pairs)))
+            labels = extended(labels, self.verify(pairs), self.scratch)
             rest = rest.drop("label")
         other = rest.select(
             "x", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b")
@@ -375,21 +381,24 @@ class JaccardJoin:
             .select(F.col("cid").alias("a"), "b")
             .distinct()
         )
-        return found.unionByName(self.verify(pairs.join(tested, ["a", "b"], "left_anti")))
+        found = self.verify(pairs.join(tested, ["a", "b"], "left_anti"))
+        return extended(labels, found, self.scratch)
 
-    def still_open(self, met: DataFrame, labels: DataFrame) -> DataFrame:
-        """``(x, cid, n, label)`` of the keys at which sets of different components meet."""
+    def still_open(self, met: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
+        """``(x, cid, n, label)`` of the keys at which components meet, its rows and its pairs."""
         labelled = self.scratch.keep(
             met.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
             .withColumn("label", F.coalesce("label", "cid"))
         )
-        keys = labelled.groupBy("x").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
-        ).filter("low != high").select("x", "n_x")
-        total = labelled.count()
-        return self.scratch.keep(
-            attach(labelled, self.scratch.keep(keys), ["x"], "n_x", total, "inner").drop("n_x")
+        keys = self.scratch.keep(
+            labelled.groupBy("x").agg(
+                F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
+            ).filter("low != high").select("x", "n_x")
         )
+        pairs = F.sum(F.col("n_x") * (F.col("n_x") - 1) / 2)
+        rows, n_pairs = keys.agg(F.coalesce(F.sum("n_x"), F.lit(0)), F.coalesce(pairs, F.lit(0.0))).first()
+        opened = attach(labelled, keys, ["x"], "n_x", labelled.count(), "inner").drop("n_x")
+        return self.scratch.keep(opened), rows, n_pairs
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that lengths and count sketches don't rule out."""
@@ -410,7 +419,7 @@ class JaccardJoin:
     def groups(self) -> DataFrame:
         """``doc_id, t, n_shingles, component_id, component, keep_t``, one row per document."""
         self.prepare()
-        labels = components(self.links(), self.scratch)
+        labels = self.labels()
         of_class = self.scratch.keep(
             self.classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
             .withColumn("label", F.coalesce("label", "cid"))
