@@ -8,20 +8,20 @@ from pyspark.sql import functions as F
 from .joins import lookup_join
 
 # Fixed values.
-TITLE_PATTERN = r"(?s)<title>(.*?)</title>"
-ANCHOR_PATTERN = r'(?s)<a href="([^"]*)"[^>]*>(.*?)</a>'
-SCRIPT_PATTERN = r"(?s)<script[^>]*>.*?</script>"
-STYLE_PATTERN = r"(?s)<style[^>]*>.*?</style>"
+TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
+ANCHOR_PATTERN = r'(?is)<a\s(?:[^>]*\s)?href\s*=\s*["\x27]([^"\x27]*)["\x27][^>]*>(.*?)</a>'
+SCRIPT_PATTERN = r"(?is)<script[^>]*>.*?</script>"
+STYLE_PATTERN = r"(?is)<style[^>]*>.*?</style>"
 TAG_PATTERN = r"<[^>]*>"
 ENTITY_PATTERN = r"&[#a-zA-Z0-9]+;"
 # End of fixed values.
 
 
 def titles(pages: DataFrame) -> DataFrame:
-    """``(doc_id, title)``."""
+    """``(doc_id, title)``; the title of a page without one, or with an empty one, is null."""
     return pages.select(
         F.col("page_id").alias("doc_id"),
-        F.regexp_extract("html", TITLE_PATTERN, 1).alias("title"),
+        F.nullif(F.regexp_extract("html", TITLE_PATTERN, 1), F.lit("")).alias("title"),
     )
 
 
@@ -34,7 +34,7 @@ def body_text(pages: DataFrame) -> DataFrame:
 
 
 def anchors(pages: DataFrame) -> DataFrame:
-    """``(page_id, pos, href, text)``, one row per link in page order."""
+    """``(page_id, pos, href, text)``, one row per link in page order; ``href`` may be any attribute."""
     found = F.transform(
         F.regexp_extract_all("html", F.lit(ANCHOR_PATTERN), F.lit(0)),
         lambda link: F.struct(

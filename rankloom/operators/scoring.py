@@ -95,8 +95,6 @@ def match(
     """
     postings = index.field_postings(field)
     keys = ["term_bucket", "term"]
-    if doc_table is not None:
-        doc_table = doc_table.hint("shuffle_hash")
     if batch.bounded:
         matches = postings.join(F.broadcast(terms), keys)
         return matches if doc_table is None else matches.join(doc_table, "doc_id")

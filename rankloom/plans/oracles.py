@@ -37,7 +37,7 @@ for _pattern in (
     pages.SCRIPT_PATTERN, pages.STYLE_PATTERN, pages.TAG_PATTERN, pages.ENTITY_PATTERN
 ):
     PAGE_TEXT = f"regexp_replace({PAGE_TEXT}, {quoted(_pattern)}, ' ', 'g')"
-PAGE_TITLE = f"regexp_extract(html, {quoted(pages.TITLE_PATTERN)}, 1)"
+PAGE_TITLE = f"nullif(regexp_extract(html, {quoted(pages.TITLE_PATTERN)}, 1), '')"
 LINKS = f"""links AS MATERIALIZED (
     SELECT page_id, pos, text,
         ('0x' || substr(md5(href), 1, 8))::BIGINT % (SELECT count(*) FROM pages) AS target
@@ -318,6 +318,14 @@ ORACLES: dict[str, str] = {
         select="""SELECT item_id AS qid, count(DISTINCT doc_id) AS n_results FROM benchmark
             LEFT JOIN q ON qid = item_id LEFT JOIN title_p USING (term) GROUP BY item_id""",
     ),
+    "unusual_queries": statement(
+        Q, TITLES, TITLE,
+        select="""SELECT item_id * 3 + k AS qid,
+                (CASE WHEN k = 2 THEN n ELSE 0 END)::BIGINT AS n_results
+            FROM (SELECT item_id, count(DISTINCT doc_id) AS n FROM benchmark
+                LEFT JOIN q ON qid = item_id LEFT JOIN title_p USING (term) GROUP BY item_id),
+            (SELECT unnest([0, 1, 2]) AS k)""",
+    ),
     "link_edges": statement(
         LINKS,
         select="SELECT DISTINCT page_id AS src, target AS dst FROM links WHERE page_id <> target",
@@ -457,3 +465,6 @@ ORACLES: dict[str, str] = {
         FROM f1s JOIN ap USING (qid)"""
     ),
 }
+# Written to files and read back.
+ORACLES["page_rank_round_trip"] = ORACLES["page_rank"]
+ORACLES["report_round_trip"] = ORACLES["eval_p_at_k_fixed"]

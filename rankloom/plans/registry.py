@@ -13,6 +13,8 @@ from ..operators import evaluation, fusion, lookups, pages, pagerank, ranking, s
 from ..operators import index as indexing
 from ..operators.joins import join_vocabulary
 from ..operators.judgments import containing_documents
+from ..sources.page_rank_files import read_page_rank
+from ..sources.report import write_tables
 from ..sources.workspace import Workspace, bucket_count, spread
 from ..streaming.live_index import LiveIndex
 from .search import Searcher
@@ -340,8 +342,25 @@ def body_search(t: Tables) -> DataFrame:
 @registered
 def results_per_query(t: Tables) -> DataFrame:
     """Queries without any result included."""
-    kept = ranking.keep_all_queries(t.queries, scoring.tfidf(t.page_index, t.page_batch, "title"))
-    return kept.groupBy("qid").agg(F.count("doc_id").alias("n_results"))
+    return _result_counts(t.queries, scoring.tfidf(t.page_index, t.page_batch, "title"))
+
+
+def _result_counts(queries: DataFrame, scores: DataFrame) -> DataFrame:
+    """Counted map-side before the join, so a query with very many results is no hot key."""
+    counts = scores.groupBy("qid").agg(F.count("*").alias("n_results"))
+    kept = ranking.keep_all_queries(queries, counts)
+    return kept.select("qid", F.coalesce("n_results", F.lit(0)).alias("n_results"))
+
+
+@registered
+def unusual_queries(t: Tables) -> DataFrame:
+    """Three queries per item: blank, of stop words only, and with a word no page has."""
+    kinds = F.array(F.lit("   "), F.lit("the of and"), F.concat(F.lit("zzqqxxunknown "), "query"))
+    asked = t.queries.select("qid", F.posexplode(kinds).alias("kind", "_q")).select(
+        (F.col("qid") * 3 + F.col("kind")).alias("qid"), F.col("_q").alias("query")
+    )
+    batch = scoring.query_batch(asked, t.page_index)
+    return _result_counts(asked, scoring.distinct_match(t.page_index, batch, "title"))
 
 
 @registered
@@ -409,6 +428,16 @@ def page_rank(t: Tables) -> DataFrame:
     return t.page_rank.select("doc_id", F.round("pagerank", 9).alias("pagerank"))
 
 
+@registered
+def page_rank_round_trip(t: Tables) -> DataFrame:
+    """Page rank written as gzipped CSV files and read back."""
+    folder = Workspace(t.spark).path("page_rank_files")
+    ranks = t.page_rank.select("doc_id", "pagerank")
+    ranks.write.option("compression", "gzip").csv(folder)
+    back = read_page_rank(t.spark, folder)
+    return back.select("doc_id", F.round("pagerank", 9).alias("pagerank"))
+
+
 @registered
 def pagerank_lookup(t: Tables) -> DataFrame:
     found = lookups.pagerank_of(t.ids, t.page_rank)
@@ -463,6 +492,15 @@ def eval_p_at_k_fixed(t: Tables) -> DataFrame:
     return table.withColumns({c: F.array_join(c, ",") for c in ("hit_ids", "retrieved_ids")})
 
 
+@registered
+def report_round_trip(t: Tables) -> DataFrame:
+    """The per-query records of a report, written as JSON and read back."""
+    table, folder = evaluation.query_report(*t.evaluated), Workspace(t.spark).path("report")
+    write_tables(table, evaluation.summarize(table), folder)
+    back = t.spark.read.schema(table.schema).json(f"{folder}/per_query_json")
+    return back.withColumns({c: F.array_join(c, ",") for c in ("hit_ids", "retrieved_ids")})
+
+
 @registered
 def eval_recall(t: Tables) -> DataFrame:
     return evaluation.recall_at_k(*t.evaluated, 30)

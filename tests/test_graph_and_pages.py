@@ -64,7 +64,7 @@ def html(spark):
 
 def test_fields_of_pages(html):
     assert [r.title for r in pages.titles(html).orderBy("doc_id").collect()] == [
-        "Some\nTitle", "", ""
+        "Some\nTitle", None, None
     ]
     body = pages.body_text(html).orderBy("doc_id").first().text
     assert body.split() == "Some Title first link text more second".split()
@@ -74,6 +74,15 @@ def test_fields_of_pages(html):
     ]
 
 
+def test_tags_in_any_form(spark):
+    text = """<TITLE lang="en">Big</TITLE><a class='x' href="/y">one</a> <A HREF='/z'>two</A>
+        <a data-href="/no">none</a>"""
+    page = spark.createDataFrame([(1, "/u", text)], "page_id long, url string, html string")
+    assert pages.titles(page).first().title == "Big"
+    found = pages.anchors(page).orderBy("pos").collect()
+    assert [(r.href, r.text) for r in found] == [("/y", "one"), ("/z", "two")]
+
+
 def test_links(html):
     links = pages.resolve_links(pages.anchors(html), html)
     assert {(r.doc_id, r.text) for r in pages.anchor_text(links).collect()} == {
