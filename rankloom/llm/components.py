@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach
+from .common import Scratch
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``(id, label)`` for all ends of ``links(a, b)``; the label is one of the component's ids.
 
-    In each round every end points to its smallest neighbour, pointers are followed twice, and the
-    links between what they point to are the links of the next round. Ends with very many links are
-    joined without moving their rows. Every round is written.
+    In each round every end points to its smallest neighbour, pointers are followed once more, and the
+    links between what they point to are the links of the next round. Every join has one row per key
+    on its right, so adaptive execution can split the rows of an end with very many links over tasks.
+    Every round is written.
     """
     edges = scratch.keep(links.filter("a != b").select("a", "b").distinct())
     labels = scratch.keep(
@@ -22,30 +23,16 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     n = edges.count()
     while n:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = scratch.keep(
-            both.groupBy("a").agg(
-                F.least(F.col("a"), F.min("b")).alias("to"), F.count("*").alias("n")
-            )
-        )
-        for _ in range(2):
-            hits = near.groupBy("to").agg(F.count("*").alias("n_to"))
-            onward = near.select(F.col("a").alias("to"), F.col("to").alias("next")).join(hits, "to")
-            near = scratch.keep(
-                attach(near, onward, ["to"], "n_to", n)
-                .select("a", F.coalesce("next", "to").alias("to"), "n")
-            )
-        held = labels.groupBy("label").agg(F.count("*").alias("n_ids"))
-        moves = held.join(near.select(F.col("a").alias("label"), "to"), "label")
+        near = scratch.keep(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
+        onward = near.select(F.col("a").alias("to"), F.col("to").alias("next"))
+        near = scratch.keep(near.join(onward, "to").select("a", F.col("next").alias("to")))
+        of_label = near.withColumnRenamed("a", "label")
         labels = scratch.keep(
-            attach(labels, moves, ["label"], "n_ids", labels.count())
-            .select("id", F.coalesce("to", "label").alias("label"))
+            labels.join(of_label, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
         )
         for end in ("a", "b"):
-            edges = (
-                attach(edges, near.withColumnRenamed("a", end), [end], "n", 2 * n, "inner")
-                .drop("n", end)
-                .withColumnRenamed("to", end)
-            )
+            of_end = near.withColumnRenamed("a", end)
+            edges = edges.join(of_end, end).drop(end).withColumnRenamed("to", end)
         edges = scratch.keep(edges.filter("a != b").distinct())
         n = edges.count()
     return labels
@@ -63,9 +50,6 @@ def extended(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame
     if moved.isEmpty():
         return labels
     fresh = moved.join(labels.select("id"), "id", "left_anti")
-    sizes = labels.groupBy("label").agg(F.count("*").alias("n_ids"))
-    moves = sizes.join(moved.select(F.col("id").alias("label"), F.col("label").alias("to")), "label")
-    kept = attach(labels, moves, ["label"], "n_ids", labels.count()).select(
-        "id", F.coalesce("to", "label").alias("label")
-    )
+    moves = moved.select(F.col("id").alias("label"), F.col("label").alias("to"))
+    kept = labels.join(moves, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
     return scratch.keep(kept.unionByName(fresh))

@@ -359,9 +359,8 @@ class JaccardJoin:
             if turn == CENTERS or n_pairs <= CENTERS * rows:
                 break
             draw = F.struct(F.xxhash64(F.lit(turn), "cid").alias("draw"), "cid", "label")
-            center = rest.groupBy("x").agg(F.min(draw).alias("c"), F.count("*").alias("n_x"))
-            pairs = attach(rest, self.scratch.keep(center), ["x"], "n_x", rows, "inner")
-            pairs = pairs.filter("label != c.label").select(
+            center = rest.groupBy("x").agg(F.min(draw).alias("c"))
+            pairs = rest.join(self.scratch.keep(center), "x").filter("label != c.label").select(
                 F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")
             )
             pairs = self.scratch.keep(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
@@ -397,7 +396,7 @@ class JaccardJoin:
         )
         pairs = F.sum(F.col("n_x") * (F.col("n_x") - 1) / 2)
         rows, n_pairs = keys.agg(F.coalesce(F.sum("n_x"), F.lit(0)), F.coalesce(pairs, F.lit(0.0))).first()
-        opened = attach(labelled, keys, ["x"], "n_x", labelled.count(), "inner").drop("n_x")
+        opened = labelled.join(keys.select("x"), "x")
         return self.scratch.keep(opened), rows, n_pairs
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
@@ -408,12 +407,8 @@ class JaccardJoin:
         of_a = self.classes.select(
             F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")
         )
-        pairs = self.scratch.keep(pairs)
-        often = pairs.groupBy("a").agg(F.count("*").alias("n_pairs")).join(of_a, "a")
-        both = attach(pairs, self.scratch.keep(often), ["a"], "n_pairs", pairs.count(), "inner")
         return self.scratch.keep(
-            both.drop("n_pairs").join(of_b, "b")
-            .mapInArrow(plausible(self.percent), "a bigint, b bigint")
+            pairs.join(of_a, "a").join(of_b, "b").mapInArrow(plausible(self.percent), "a bigint, b bigint")
         )
 
     def groups(self) -> DataFrame:
@@ -425,11 +420,10 @@ class JaccardJoin:
             .withColumn("label", F.coalesce("label", "cid"))
         )
         whole = of_class.groupBy("label").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("least"),
-            F.count("*").alias("n_classes"),
-        ).select("label", F.col("least.doc_id").alias("component_id"), F.col("least.t").alias("keep_t"), "n_classes")
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("least")
+        ).select("label", F.col("least.doc_id").alias("component_id"), F.col("least.t").alias("keep_t"))
         of_class = self.scratch.keep(
-            attach(of_class, whole, ["label"], "n_classes", of_class.count(), "inner")
+            of_class.join(whole, "label")
             .select("cid", F.col("label").alias("component"), "component_id", "keep_t", "copies")
         )
         joined = attach(self.rows, of_class, ["cid"], "copies", self.rows.count())
