@@ -5,7 +5,7 @@ come from a bounded sample, every row gets a leaf in every tree. A query walks a
 priority queue ordered by the largest distance to a plane it has crossed, and takes the leaves that
 come first. How many is measured: the neighbours of some queries are found by brute force, and the
 number of leaves is the smallest that finds the wanted share of them. Rows and queries meet in their
-leaf, the exact distances are taken there, and only a query's best of each leaf go on.
+leaf, the exact distances are taken there, and only a query's best of each task's leaves go on.
 
 Equal vectors are one class, which keeps its smallest ids; so a vector that a third of the rows hold is
 one row in the trees.
@@ -32,6 +32,8 @@ MEASURED = 64
 RECALL = 0.96
 #: Rows and queries of a leaf that meet in one task.
 BLOCK = 4096
+#: Results, 32 bytes each, that a task gathers before it cuts them to the best of each query.
+GATHERED = 1 << 20
 
 
 class Tree:
@@ -192,11 +194,51 @@ def probe(forest, n_leaves: int):
     return run
 
 
+class Best:
+    """The ``k`` best rows of each query over the leaves of one task, bounded in memory."""
+
+    NAMES = ("query", "cls", "least", "score")
+
+    def __init__(self, k: int):
+        self.k, self.parts, self.size = k, [], 0
+
+    def add(self, *columns: np.ndarray) -> pa.RecordBatch | None:
+        """Takes results; gives some back if those of all queries together are too many to hold."""
+        self.parts.append(columns)
+        self.size += len(columns[0])
+        if self.size < GATHERED:
+            return None
+        self._cut()
+        return self.take() if self.size > GATHERED // 2 else None
+
+    def _cut(self) -> None:
+        query, cls, least, score = map(np.concatenate, zip(*self.parts, strict=True))
+        order = np.lexsort((score, least, query))  # a class met in several trees counts once
+        q, x = query[order], least[order]
+        order = order[np.r_[True, (q[1:] != q[:-1]) | (x[1:] != x[:-1])]]
+        order = order[np.lexsort((least[order], score[order], query[order]))]
+        q = query[order]
+        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+        rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+        order = order[rank < self.k]
+        self.parts = [(query[order], cls[order], least[order], score[order])]
+        self.size = len(order)
+
+    def take(self) -> pa.RecordBatch | None:
+        if not self.size:
+            return None
+        self._cut()
+        out = pa.RecordBatch.from_arrays([pa.array(c) for c in self.parts[0]], list(self.NAMES))
+        self.parts, self.size = [], 0
+        return out
+
+
 def search_leaves(k: int):
     """Mapper over leaves, sorted so that a leaf's queries come before its rows."""
 
     def run(batches):
         now, queries, vectors, matrix = None, [], [], None
+        found = Best(k)
         for batch in batches:
             names = ("tree", "leaf", "row_block", "query_block", "is_row")
             keys = np.stack([batch.column(n).cast(pa.int64()).to_numpy(zero_copy_only=False) for n in names])
@@ -223,13 +265,12 @@ def search_leaves(k: int):
                     best = [nearest(s, ids, k) for s in scores]
                     at = np.concatenate(best)
                     of = np.repeat(np.arange(len(best)), [len(x) for x in best])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(numbers[first + of]), pa.array(cls[at]),
-                            pa.array(ids[at]), pa.array(scores[of, at]),
-                        ],
-                        ["query", "cls", "least", "score"],
-                    )
+                    full = found.add(numbers[first + of], cls[at], ids[at], scores[of, at])
+                    if full is not None:
+                        yield full
+        rest = found.take()
+        if rest is not None:
+            yield rest
 
     return run
 

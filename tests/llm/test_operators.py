@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from rankloom.llm import forest
 from rankloom.llm import substrings
 from rankloom.llm.forest import search
 from rankloom.llm.importance import kth_largest, resample
@@ -313,3 +314,22 @@ def test_search(spark):
         found += len({k for _, k in near} & {k for _, k in want})
     assert found >= 0.9 * 70
     assert search(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_best_of_a_task(monkeypatch):
+    monkeypatch.setattr(forest, "GATHERED", 500)
+    rng = np.random.default_rng(3)
+    best, given, rows = forest.Best(5), [], []
+    for _ in range(60):
+        n = int(rng.integers(1, 40))
+        query, row = rng.integers(0, 70, n), rng.integers(0, 90, n)
+        score = (query * 7 + row * 3) % 11 / 2.0
+        rows += zip(query.tolist(), score.tolist(), row.tolist())
+        given.append(best.add(query, row + 1000, row, score))
+    given.append(best.take())
+    got = [r for b in given if b is not None for r in b.to_pylist()]
+    assert len([b for b in given if b is not None]) > 1 and best.take() is None
+    for q in range(70):
+        want = sorted({r for r in rows if r[0] == q})[:5]
+        mine = sorted({(r["query"], r["score"], r["least"]) for r in got if r["query"] == q})[:5]
+        assert mine == want and all(r["cls"] == r["least"] + 1000 for r in got)
