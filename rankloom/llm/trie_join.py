@@ -257,7 +257,8 @@ class JaccardJoin:
         self.order = self.spark.sparkContext.broadcast(Order(ranked))
         self.classes = self.scratch.keep(
             seen.filter("n > 0").groupBy("cid", "n").agg(
-                F.min(F.struct("doc_id", "t")).alias("one"),
+                # nulls sort first, so a row without id would hide the class's least id
+                F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("one"),
                 F.count("*").alias("copies"),
                 F.min("sketch").alias("sketch"),
             ).select("cid", "n", "copies", "sketch", "one.doc_id", "one.t")

@@ -108,6 +108,18 @@ def test_near_duplicates(spark, docs, none):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 5, 6, 7, 9, 10]
 
 
+def test_near_duplicates_without_id(spark):
+    near = words(8, 90)
+    rows = [
+        (5, LONG, "a", "x"), (None, LONG, "a", "x"), (9, NEAR, "a", "x"), (12, LONG, "b", "x"),
+        (None, near, "a", "x"), (7, near, "b", "x"), (None, words(9, 30), "a", "x"), (None, words(9, 30), "b", "x"),
+    ]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert counted(tuple(r) for r in near_duplicate_groups(table).collect()) == brute_groups(rows)
+    kept = counted((r.doc_id, r.text) for r in one_per_group(table).collect())
+    assert kept == {(5, LONG): 1, (7, near): 1, (None, words(9, 30)): 1}
+
+
 def test_near_duplicates_of_many(spark):
     rng, rows = np.random.default_rng(5), []
     base = [words(100 + k, 60).split() for k in range(5)]
