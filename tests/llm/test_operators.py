@@ -170,6 +170,40 @@ def test_lines(docs, none):
     assert dedup_lines(none).count() == 0
 
 
+def brute_lines(rows):
+    """(doc_id, text, removed_chunks, removed_lines) of rows of different ids; equal rows count as one."""
+    seen, out = {}, {}
+    for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0])):
+        lines = re.findall(r"[^\n]*\n|[^\n]+", text or "")
+        full = [k for k, x in enumerate(lines) if x.strip(" \t\n")]
+        gone = set()
+        for a, b in zip(full, full[1:]):
+            first = seen.setdefault("".join(lines[a : b + 1]).removesuffix("\n"), (doc_id, a, b))
+            if first[0] != doc_id or a > first[2]:
+                gone.update(range(a, b + 1))
+        kept = "".join(x for k, x in enumerate(lines) if k not in gone)
+        out[doc_id] = (doc_id, text and kept, sum(k - 1 not in gone for k in gone), len(gone))
+    return counted(out[r[0]] for r in rows)
+
+
+def test_lines_of_many(spark):
+    rng, rows = np.random.default_rng(7), []
+    pool = [f"line é {k}" for k in range(12)] + ["", " \t", ""]
+    for k in range(60):
+        own = [f"only {k} {j}" for j in range(rng.integers(0, 4))]
+        lines = list(rng.permutation(own + list(rng.choice(pool, rng.integers(0, 9)))))
+        rows.append((k, "\n".join(lines) + "\n" * int(rng.integers(0, 2))))
+    # runs of two lines between others, a run at the end of a text, lines repeated in a row, copies
+    rows += [(100 + k, f"a{k}\nfirst shared\nsecond shared\nb{k}") for k in range(40)]
+    rows += [(200 + k, f"c{k}\nshared\n\nat the end" + "\n" * k) for k in range(2)]
+    rows += [(300, "same\n" * 2), (301, "same\nsame\nsame"), (302, "x\n" * 3), (303, "y\n" * 5 + "z")]
+    rows += [rows[5], rows[5], (None, "own\nfirst shared\nsecond shared"), (400, None), (401, ""), (402, "\n\n")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = counted((r.doc_id, r.text, r.removed_chunks, r.removed_lines) for r in dedup_lines(table).collect())
+    assert got == brute_lines(rows)
+    assert got[(100, "a0\nfirst shared\nsecond shared\nb0", 0, 0)] == 1 and got[(139, "a39\nb39", 1, 2)] == 1
+
+
 def test_resample(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (10, 1, 0), (7, 0, 0), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     rows = resample(docs, labels, keep_share=0.5).collect()
