@@ -7,7 +7,7 @@ next stage sees only its rows and texts. Stages but the last return the columns
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import Scratch
@@ -18,30 +18,48 @@ from rankloom.llm.packing import pack_documents
 from rankloom.llm.trie_join import one_per_group
 
 
+#: The input row beside what an operator reads and adds, so that none of its columns clashes.
+ROW = "_input_row"
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """``doc_id, source, text`` and all columns but the text as one struct."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select("doc_id", "source", "text", rest.alias(ROW))
+
+
+def restored(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of the input, the text as ``rows`` has it, others as they were or ``changed``."""
+    row = {c: F.col("text") if c == "text" else F.col(f"{ROW}.`{c}`") for c in columns} | {
+        c: value for c, value in changed.items() if c in columns
+    }
+    return rows.select(*[row[c].alias(c) for c in columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling draws; the share is that of good labels."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return resample(docs, labels).filter("kept").select(*docs.columns)
+    return restored(resample(carried(docs), labels).filter("kept"), docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated chunks of lines; documents of which nothing is left go."""
-    cut = dedup_lines(docs).filter(
+    cut = dedup_lines(carried(docs)).filter(
         (F.col("removed_chunks") == 0) | F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     )
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return restored(cut, docs.columns, n_chars=F.length("text").cast("bigint"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return one_per_group(docs).select(*docs.columns)
+    return restored(one_per_group(carried(docs)), docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    carried = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    mixed = mix_sources(docs, carry=carried).filter("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    mixed = mix_sources(carried(docs), carry=("text", ROW)).filter("copies > 0")
+    copies = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return restored(copies, docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,7 +85,7 @@ def mix_sources(
             column_or_null(docs, "doc_id", "bigint").alias("doc_id"),
             column_or_null(docs, "source", "string").alias("source"),
             word_count(column_or_null(docs, "text", "string")).alias("size"),
-            *[F.col(f"`{c}`").alias(f"_{c}") for c in carry],
+            *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carried")] if carry else []),
         )
         .withColumn("ticket", ticket(F.col("doc_id"), seed))
         .withColumn(
@@ -159,6 +159,6 @@ def mix_sources(
         .select(
             "doc_id", "source", "size", "source_size", "target", "copies",
             (F.col("size") * F.col("copies")).alias("taken"),
-            *[F.col(f"_{c}").alias(c) for c in carry],
+            *[F.col(f"_carried.`{c}`").alias(c) for c in carry],
         )
     )
