@@ -75,7 +75,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Hashes, tokenizers and components have no SQL form; tests compare the stages with brute force.
+#: Hashes, tokenizers and components have no SQL form; tests check what the stages must keep.
 ORACLE_SQL = None
 
 
