@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from .forest import search
 from .importance import resample
+from .lexical import ranked_search
 from .line_dedup import dedup_lines
+from .mining import mine_negatives
 from .mixing import mix_sources
 from .packing import pack_documents
 from .revisits import resolve_revisits
+from .simhash import simhash_groups
 from .substrings import remove_repeats
 from .token_files import read_token_files, write_token_files
 from .tree_dedup import exact_groups
@@ -142,6 +145,19 @@ def op10_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(_read(spark, sf_dir, "documents"))
+
+
+def op12_geometric_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_chunk_dedup": op1_line_chunk_dedup,
     "op2_hierarchical_packing": op2_hierarchical_packing,
@@ -153,4 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_trie_jaccard_join": op8_trie_jaccard_join,
     "op9_threshold_mixing": op9_threshold_mixing,
     "op10_projection_forest": op10_projection_forest,
+    "op11_simhash_bk_trees": op11_simhash_bk_trees,
+    "op12_geometric_block_search": op12_geometric_block_search,
+    "op13_threshold_negatives": op13_threshold_negatives,
 }

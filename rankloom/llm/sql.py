@@ -92,3 +92,54 @@ SELECT record_id, url, coalesce(response_id, -1) AS response_id, outcome,
          'date=' || day, 'etag=' || coalesce(asked_tag, stored_tag), 'last-modified=' || stored_day) END AS headers
 FROM j
 """
+
+TERMS = r"""regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SQL["op12_geometric_block_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {TERMS} AS terms FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, {TERMS} AS terms FROM benchmark),
+q AS (SELECT DISTINCT item, item_id, unnest(terms) AS term FROM i),
+c AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, greatest(sum(len(terms)), 1)::BIGINT AS n_terms FROM d),
+p AS (
+  SELECT row, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY row, doc_id, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM p, c GROUP BY term, n_docs),
+x AS (
+  SELECT row, doc_id, term,
+         w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))) AS share
+  FROM p JOIN w USING (term), c),
+s AS (
+  SELECT item, item_id, row, doc_id, sum(share)::BIGINT AS score
+  FROM q JOIN x USING (term) GROUP BY ALL HAVING sum(share) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+       doc_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+SQL["op13_threshold_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE s.label <> p.own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

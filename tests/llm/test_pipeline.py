@@ -57,7 +57,7 @@ def test_clashing_columns(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     got, want = QUERIES[name](spark, FOLDER).toPandas(), con.execute(SQL[name]).df()
     columns = sorted(got.columns)
