@@ -58,7 +58,7 @@ def max_normalize(scores: DataFrame, by: str = "qid", bounded: bool = False) ->
     if bounded:
         joined = scores.join(F.broadcast(best), by)
     else:
-        joined = lookup_join(scores, best, [by], ["doc_id"], bounded=False)
+        joined = lookup_join(scores, best, [by], bounded=False)
     return joined.withColumn("score", normalized("score", "_best")).drop("_best")
 
 
@@ -92,8 +92,8 @@ def with_signals(candidates: DataFrame, signals: Signals, bounded: bool) -> Data
     ranks, views = signals.page_rank, signals.page_views
     best_rank = ranks.agg(F.max("pagerank").cast("double")).scalar()
     best_views = views.agg(F.max("views").cast("double")).scalar()
-    joined = lookup_join(candidates, ranks, ["doc_id"], ["qid"], bounded)
-    joined = lookup_join(joined, views, ["doc_id"], ["qid"], bounded)
+    joined = lookup_join(candidates, ranks, ["doc_id"], bounded)
+    joined = lookup_join(joined, views, ["doc_id"], bounded)
     zero = F.lit(0.0)
     return joined.select(
         *candidates.columns,

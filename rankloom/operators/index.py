@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from ..sources.workspace import Workspace, bucket_count
 from .joins import join_vocabulary
 
 POSTING_BLOCK = 65_536
+LEAST_TERM_BUCKETS = 4
 TERM_STATS = "term string, df bigint, term_total bigint, field string, term_bucket int"
 
 
@@ -155,15 +157,20 @@ def build_index(
     n_docs: dict[str, int] | None = None,
     merge: tuple[str, ...] = (),
     analyzer: str = "plain",
-    term_buckets: int = 4,
+    term_buckets: int | None = None,
     buckets: int | None = None,
 ) -> Index:
     """Analyze documents and write their index; parameters as in :func:`count_terms`.
 
-    ``n_docs`` are the corpus sizes, by default the numbers of rows.
+    ``n_docs`` are the corpus sizes, by default the numbers of rows. By default there are as many
+    directories of terms as a bucket of documents has splits of text, so that a file, which a query
+    reads in part or not at all, stays below a split's bytes however large the corpus is.
     """
     n_docs = n_docs or {name: docs.count() for name, docs in fields.items()}
     buckets = buckets or max(bucket_count(docs) for docs in fields.values())
+    if term_buckets is None:
+        splits = max(docs.rdd.getNumPartitions() for docs in fields.values())
+        term_buckets = max(LEAST_TERM_BUCKETS, -(-splits // buckets))
     counts = count_terms(fields, merge, buckets)
     if analyzer == "stemmed":
         counts = stem_counts(counts, workspace, buckets)
@@ -216,10 +223,11 @@ def write_index(
 def open_index(spark: SparkSession, root: str) -> Index:
     """Open the tables :func:`build_index` wrote below ``root``, also in a later application."""
     manifest = spark.read.json(f"{root}/manifest").first()
-    prefix = root.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    # the whole root, as folders of different roots may have the same name
+    prefix = hashlib.sha256(root.rstrip("/").encode()).hexdigest()[:16]
 
     def bucketed(name: str, columns: str, partitions: str, sort: str) -> DataFrame:
-        table = f"{prefix}_{name}"
+        table = f"rankloom_{prefix}_{name}"
         if not spark.catalog.tableExists(table):
             spark.sql(
                 f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({partitions}) "

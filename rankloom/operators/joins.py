@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import Workspace
+
 # Rows allowed in a broadcast. Terms are at most 49 characters, ids and weights 8 bytes,
 # so a broadcast stays under about 100 MB.
 BROADCAST_ROWS = 250_000
@@ -75,23 +80,39 @@ def spread_join(
     return left.join(right, [*keys, *names], how).drop(*names)
 
 
+def frequent_keys(left: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Written keys, nulls included, that hold so many rows of written ``left`` that a task had too many.
+
+    There are fewer than ``BROADCAST_ROWS`` of them.
+    """
+    least = max(ROWS_PER_TASK, left.count() / BROADCAST_ROWS)
+    hot = Workspace(left.sparkSession).save(
+        "hot", count_keys(left, keys).filter(F.col("n") > least).select(*keys)
+    )
+    return None if hot.isEmpty() else hot
+
+
 def lookup_join(
-    left: DataFrame,
-    table: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    bounded: bool,
-    how: str = "left",
+    left: DataFrame, table: DataFrame, keys: list[str], bounded: bool, how: str = "left"
 ) -> DataFrame:
-    """Join with a large table holding one row per key.
+    """Join with a large table holding one row per key, which does not move if it is bucketed on it.
 
-    ``bounded`` says that ``left`` was counted and is small. Then it goes to where the rows of
-    ``table`` lie, which does not move if it is bucketed on the key. Otherwise keys that ``left``
-    repeats very often are spread.
+    ``bounded`` says that ``left`` was counted and is small. Otherwise it is written, so that it is
+    computed once, and its keys are counted. Of those that it repeats very often the table's rows are
+    broadcast and the rows of ``left`` stay where they are; the others go to the table's buckets.
     """
     if bounded:
         return left.join(table, keys, how)
-    return spread_join(left, table, keys, spread_by, count_keys(left, keys), how=how)
+    left = Workspace(left.sparkSession).save("left", left)
+    hot = frequent_keys(left, keys)
+    if hot is None:
+        return left.join(table, keys, how)
+    named = F.broadcast(hot.select(*[F.col(c).alias(f"_hot_{c}") for c in keys]))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in keys])
+    their_rows = F.broadcast(table.join(F.broadcast(hot), keys, "left_semi"))
+    near = left.join(named, same, "left_semi").join(their_rows, keys, how)
+    far = left.join(named, same, "left_anti").join(table, keys, how)
+    return near.unionByName(far)
 
 
 def join_vocabulary(

@@ -39,7 +39,7 @@ def containing_documents(
         texts = docs.select("doc_id", "text").join(F.broadcast(candidates), "doc_id")
     else:
         texts = lookup_join(
-            candidates, docs.select("doc_id", "text"), ["doc_id"], ["qid"], False, "inner"
+            candidates, docs.select("doc_id", "text"), ["doc_id"], False, "inner"
         )
     asked = passages.select("qid", "query").filter("query is not null")
     usable = batch.terms.select("qid").distinct()
@@ -47,7 +47,7 @@ def containing_documents(
     if batch.bounded and size <= PASSAGE_BYTES:
         pairs = texts.join(F.broadcast(asked), "qid")
     else:
-        pairs = lookup_join(texts, asked, ["qid"], ["doc_id"], False, "inner")
+        pairs = lookup_join(texts, asked, ["qid"], False, "inner")
     found = pairs.filter(F.contains("text", "query")).select("qid", "doc_id")
     plain = workspace.save("judgment_plain", asked.join(usable, "qid", "left_anti"))
     size = plain.agg(F.coalesce(F.sum(F.octet_length("query") + 16), F.lit(0))).first()[0]

@@ -19,7 +19,7 @@ def lookup(
     ids: DataFrame, table: DataFrame, column: str, default: Column | None, bounded: bool = False
 ) -> DataFrame:
     """``(pos, doc_id, column)`` for ``ids(pos, doc_id)``, in the order of ``pos``."""
-    found = lookup_join(ids, table.select("doc_id", column), ["doc_id"], ["pos"], bounded)
+    found = lookup_join(ids, table.select("doc_id", column), ["doc_id"], bounded)
     value = F.col(column) if default is None else F.coalesce(F.col(column), default)
     return found.select("pos", "doc_id", value.alias(column)).orderBy("pos")
 

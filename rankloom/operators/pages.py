@@ -67,7 +67,7 @@ def synthetic_links(pages: DataFrame) -> DataFrame:
 def resolve_links(links: DataFrame, pages: DataFrame) -> DataFrame:
     """``(page_id, pos, target, text)`` by URL; links to unknown pages are dropped."""
     urls = pages.groupBy(F.col("url").alias("href")).agg(F.min("page_id").alias("target"))
-    found = lookup_join(links, urls, ["href"], ["page_id", "pos"], bounded=False, how="inner")
+    found = lookup_join(links, urls, ["href"], bounded=False, how="inner")
     return found.select("page_id", "pos", "target", "text")
 
 

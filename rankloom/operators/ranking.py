@@ -39,7 +39,7 @@ def attach_titles(
     results: DataFrame, titles: DataFrame, bounded: bool, placeholder: bool = False
 ) -> DataFrame:
     """Title per result, null (or ``Article <id>``) if unknown. Apply after the cut."""
-    titled = lookup_join(results, titles.select("doc_id", "title"), ["doc_id"], ["qid"], bounded)
+    titled = lookup_join(results, titles.select("doc_id", "title"), ["doc_id"], bounded)
     if placeholder:
         name = F.concat(F.lit("Article "), F.col("doc_id").cast("string"))
         titled = titled.withColumn("title", F.coalesce("title", name))

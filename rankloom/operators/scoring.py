@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 from ..functions.stemming import stem_vocabulary
 from ..functions.text import idf, term_bucket, term_counts
 from .index import Index
+from ..sources.workspace import Workspace
+from . import joins
 from .joins import BROADCAST_ROWS, count_keys, lookup_join, spread_join
 
+#: Terms that a scan is told by name; with more, only the join selects.
+NAMED_TERMS = 64
+
 
 @dataclass(frozen=True)
 class QueryBatch:
@@ -33,6 +38,24 @@ class QueryBatch:
         row = self.terms.agg(F.count("*").alias("rows"), F.count_distinct("qid").alias("n")).first()
         return row["rows"], row["n"]
 
+    @cached_property
+    def rows(self) -> DataFrame:
+        """The terms; those of a batch that can't be broadcast are computed once and written."""
+        return self.terms if self.bounded else Workspace(self.terms.sparkSession).save("terms", self.terms)
+
+    @cached_property
+    def named(self) -> list[tuple[int, str]] | None:
+        """Directory and name of the different terms, or None if there are many."""
+        rows = self.terms.select("term_bucket", "term").distinct().limit(NAMED_TERMS + 1).collect()
+        return None if len(rows) > NAMED_TERMS else sorted(map(tuple, rows))
+
+    def reaches(self, postings: DataFrame) -> DataFrame:
+        """Only directories and row groups of ``postings`` that can hold a term of a small batch."""
+        if self.named is None:
+            return postings
+        buckets, terms = sorted({b for b, _ in self.named}), sorted({t for _, t in self.named})
+        return postings.filter(F.col("term_bucket").isin(buckets) & F.col("term").isin(terms))
+
     @property
     def bounded(self) -> bool:
         """Whether the terms are few enough to broadcast."""
@@ -73,7 +96,7 @@ def weigh(index: Index, batch: QueryBatch, field: str, n: Column | None = None)
     if batch.bounded:
         found = terms.join(F.broadcast(batch.terms), keys)
     else:
-        found = lookup_join(batch.terms, terms, keys, ["qid"], bounded=False, how="inner")
+        found = lookup_join(batch.rows, terms, keys, bounded=False, how="inner")
     return found.select(
         "qid", "term_bucket", "term", "qtf", "df", idf(n, "df").alias("idf")
     )
@@ -90,25 +113,33 @@ def match(
 
     ``doc_table``, one row per document, is attached on the way; postings of documents it does
     not have are dropped. A batch within its limit is broadcast and the postings are read where
-    they lie. A larger one is shuffled, with frequent terms, of documents as well as of queries,
-    spread over several tasks.
+    they lie, those of a few terms from their directories only. Of a larger one the query rows of
+    terms with very many postings are broadcast, if need be in blocks; the other postings, few of
+    each term, are shuffled.
     """
     postings = index.field_postings(field)
     keys = ["term_bucket", "term"]
     if batch.bounded:
-        matches = postings.join(F.broadcast(terms), keys)
+        matches = batch.reaches(postings).join(F.broadcast(terms), keys)
         return matches if doc_table is None else matches.join(doc_table, "doc_id")
     if doc_table is not None:
         postings = postings.join(doc_table, "doc_id")
-    return spread_join(
-        postings,
-        terms,
-        keys,
-        left_by=["doc_id"],
-        left_counts=index.field_terms(field).select(*keys, F.col("df").alias("n")),
-        right_by=["qid"],
-        right_counts=count_keys(batch.terms, keys),
-    )
+    workspace = Workspace(terms.sparkSession)
+    terms = workspace.save("weighed", terms)
+    total = index.corpus_stats.filter(F.col("field") == field).select("n_postings").first()
+    least = max(joins.ROWS_PER_TASK, (total["n_postings"] if total else 0) / BROADCAST_ROWS)
+    wide = index.field_terms(field).filter(F.col("df") > least).select(*keys)  # fewer than BROADCAST_ROWS
+    wide = workspace.save("wide", wide.join(terms.select(*keys), keys, "left_semi"))
+    asked = workspace.save("asked", terms.join(F.broadcast(wide), keys))
+    blocks = -(-asked.count() // BROADCAST_ROWS)
+    if not blocks:
+        return postings.join(terms, keys)
+    narrow = terms.join(F.broadcast(wide), keys, "left_anti")
+    matches = postings.join(F.broadcast(wide), keys, "left_anti").join(narrow, keys)
+    block = F.pmod(F.xxhash64("qid", "term"), F.lit(blocks))
+    for number in range(blocks):
+        matches = matches.unionByName(postings.join(F.broadcast(asked.filter(block == number)), keys))
+    return matches
 
 
 def accumulate(matches: DataFrame, contribution: Column) -> DataFrame:
@@ -187,20 +218,29 @@ def cosine_of_vectors(left: DataFrame, right: DataFrame, left_id: str, right_id:
         square = F.col("weight") * F.col("weight")
         return vectors.groupBy(key).agg(F.sqrt(F.sum(square)).alias(name))
 
-    dots = spread_join(
-        left.withColumnRenamed("weight", "_l"),
-        right.withColumnRenamed("weight", "_r"),
-        ["term"],
-        left_by=[left_id],
-        left_counts=count_keys(left, ["term"]),
-        right_by=[right_id],
-        right_counts=count_keys(right, ["term"]),
+    # a vector's norm goes with its components, so no later join meets all pairs of one vector
+    left = Workspace(left.sparkSession).save(
+        "left", left.join(norms(left, left_id, "_ln"), left_id).withColumnRenamed("weight", "_l")
+    )
+    weighed = right.withColumnRenamed("weight", "_r")
+    if left.count() <= BROADCAST_ROWS:
+        pairs = weighed.join(F.broadcast(left), "term")
+    else:
+        pairs = spread_join(
+            left,
+            weighed,
+            ["term"],
+            left_by=[left_id],
+            left_counts=count_keys(left, ["term"]),
+            right_by=[right_id],
+            right_counts=count_keys(right, ["term"]),
+        )
+    dots = pairs.groupBy(right_id, left_id).agg(
+        F.sum(F.col("_l") * F.col("_r")).alias("_dot"), F.first("_ln").alias("_ln")
     )
-    dots = dots.groupBy(left_id, right_id).agg(F.sum(F.col("_l") * F.col("_r")).alias("_dot"))
     product = F.col("_ln") * F.col("_rn")
     return (
-        dots.join(norms(left, left_id, "_ln"), left_id)
-        .join(norms(right, right_id, "_rn"), right_id)
+        dots.join(norms(right, right_id, "_rn"), right_id)
         .select(
             left_id,
             right_id,
@@ -211,15 +251,15 @@ def cosine_of_vectors(left: DataFrame, right: DataFrame, left_id: str, right_id:
 
 def word_count(index: Index, batch: QueryBatch, field: str) -> DataFrame:
     """Query tokens found in the document, repetitions in the query included."""
-    return accumulate(match(index, batch, field, batch.terms), F.col("qtf"))
+    return accumulate(match(index, batch, field, batch.rows), F.col("qtf"))
 
 
 def distinct_match(index: Index, batch: QueryBatch, field: str) -> DataFrame:
     """Distinct query words found in the document."""
-    matches = match(index, batch, field, batch.terms)
+    matches = match(index, batch, field, batch.rows)
     return accumulate(matches, F.lit(1).cast("bigint"))
 
 
 def tf_count(index: Index, batch: QueryBatch, field: str) -> DataFrame:
     """Occurrences of query tokens in the document."""
-    return accumulate(match(index, batch, field, batch.terms), F.col("qtf") * F.col("tf"))
+    return accumulate(match(index, batch, field, batch.rows), F.col("qtf") * F.col("tf"))

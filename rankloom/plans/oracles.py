@@ -468,3 +468,8 @@ ORACLES: dict[str, str] = {
 # Written to files and read back.
 ORACLES["page_rank_round_trip"] = ORACLES["page_rank"]
 ORACLES["report_round_trip"] = ORACLES["eval_p_at_k_fixed"]
+
+# Other ways to the same rows
+ORACLES["query_postings_from_blocks"] = ORACLES["query_postings"]
+ORACLES["tfidf_topk_pruned"] = ORACLES["tfidf_topk"]
+ORACLES["bm25_topk_pruned"] = ORACLES["bm25_topk"]

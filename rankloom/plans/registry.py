@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stemming, text
-from ..operators import evaluation, fusion, lookups, pages, pagerank, ranking, scoring
+from ..operators import blocks, evaluation, fusion, lookups, pages, pagerank, ranking, scoring
 from ..operators import index as indexing
 from ..operators.joins import join_vocabulary
 from ..operators.judgments import containing_documents
@@ -63,6 +63,10 @@ class Tables:
     def doc_index(self) -> indexing.Index:
         return indexing.build_index({"body": self.docs}, Workspace(self.spark))
 
+    @cached_property
+    def doc_blocks(self) -> blocks.BlockIndex:
+        return blocks.build_blocks(self.doc_index, Workspace(self.spark))
+
     @cached_property
     def links(self) -> DataFrame:
         return Workspace(self.spark).save("links", pages.synthetic_links(spread(self.pages)))
@@ -232,6 +236,13 @@ def query_postings(t: Tables) -> DataFrame:
     return found.select("qid", "term", "doc_id", F.col("tf").cast("bigint"))
 
 
+@registered
+def query_postings_from_blocks(t: Tables) -> DataFrame:
+    """As ``query_postings``, reading only the parts that the terms lie in."""
+    found = blocks.matching_postings(t.doc_blocks, t.doc_batch, "body", Workspace(t.spark))
+    return found.withColumn("tf", F.col("tf").cast("bigint"))
+
+
 @registered
 def stemmed_terms(t: Tables) -> DataFrame:
     terms = _doc_counts(t).groupBy("term").agg(F.count("*").alias("df"))
@@ -270,6 +281,19 @@ def tfidf_topk(t: Tables) -> DataFrame:
     return ranked(ranking.top_k(scoring.tfidf(t.doc_index, t.doc_batch, "body"), 10))
 
 
+@registered
+def tfidf_topk_pruned(t: Tables) -> DataFrame:
+    """As ``tfidf_topk``, without reading blocks that can't hold any of the best."""
+    found = blocks.tfidf_top_k(t.doc_blocks, t.doc_batch, "body", 10, Workspace(t.spark))
+    return ranked(found.ranked)
+
+
+@registered
+def bm25_topk_pruned(t: Tables) -> DataFrame:
+    found = blocks.bm25_top_k(t.doc_blocks, t.doc_batch, "body", 100, Workspace(t.spark))
+    return ranked(found.ranked)
+
+
 @registered
 def cosine_per_term(t: Tables) -> DataFrame:
     scores = scoring.cosine(t.doc_index, t.doc_batch, "body", mode="per_term")

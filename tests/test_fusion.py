@@ -155,3 +155,29 @@ def test_services(setting):
     assert searcher.search_three_field(asked, k=1).filter("rank > 1").count() == 0
     with pytest.raises(ValueError):
         searcher.search_title(asked, "other")
+
+
+def test_large_batch_reads_postings_a_few_times(setting, monkeypatch):
+    """Beyond every limit: equal results, and a plan that doesn't repeat its inputs."""
+    from rankloom.operators import joins
+
+    index, signals, asked, _ = setting
+    small = scoring.query_batch(asked, index)
+    expected = sorted(map(tuple, fusion.two_field_search(index, small, signals).collect()))
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 1)
+    monkeypatch.setattr(fusion, "SHUFFLE_ROWS", 0)
+    large = scoring.query_batch(asked, index, limit=0)
+    wide = fusion.side_by_side(
+        {
+            name: fusion.best_candidates(scoring.bm25(index, large, field, 1.2, 0.6))
+            for name, field in (("text", "body"), ("title", "title"))
+        }
+    )
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("_postings[") <= 4 and plan.count("Exchange hashpartitioning") < 20
+    found = fusion.two_field_search(index, large, signals)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") < 20 and plan.count("FileScan") < 20
+    got = sorted(map(tuple, found.collect()))
+    assert [g[:3] for g in got] == [e[:3] for e in expected]
+    assert [g[3] for g in got] == pytest.approx([e[3] for e in expected])
