@@ -473,3 +473,7 @@ ORACLES["report_round_trip"] = ORACLES["eval_p_at_k_fixed"]
 ORACLES["query_postings_from_blocks"] = ORACLES["query_postings"]
 ORACLES["tfidf_topk_pruned"] = ORACLES["tfidf_topk"]
 ORACLES["bm25_topk_pruned"] = ORACLES["bm25_topk"]
+
+ORACLES["replaced_documents"] = statement(
+    DOCS, stats("s", "d"), select=f"SELECT term, df, term_total, {N_DOCS} AS n_docs FROM s"
+)

@@ -251,15 +251,38 @@ def stemmed_terms(t: Tables) -> DataFrame:
 
 @registered
 def stream_index(t: Tables) -> DataFrame:
+    """Documents arrive in files, one in each batch; one batch is delivered twice."""
     workspace = Workspace(t.spark)
-    live = LiveIndex(workspace)
-    stream = t.spark.readStream.schema(t.read("documents").schema).parquet(
-        f"{t.sf_dir}/documents.parquet*"
-    )
-    live.stream(stream, workspace.path("stream_checkpoint")).awaitTermination()
+    live = LiveIndex(workspace, fan=3)
+    t.docs.repartition(4, "doc_id").write.parquet(workspace.path("arriving"))
+    stream = t.spark.readStream.schema(t.docs.schema).option("maxFilesPerTrigger", 1)
+    take = live.take()
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        take(batch, batch_id)
+        if batch_id == 1:
+            take(batch, batch_id)
+
+    live.stream(
+        stream.parquet(workspace.path("arriving")), workspace.path("stream_checkpoint"), take=twice
+    ).awaitTermination()
+    live.retire()
     return live.index().term_stats.select("term", "df", "term_total")
 
 
+@registered
+def replaced_documents(t: Tables) -> DataFrame:
+    """Documents that are first indexed with a foreign text and then replaced by id."""
+    live = LiveIndex(Workspace(t.spark), fan=2)
+    old = t.docs.filter("doc_id % 2 = 0").withColumn("text", F.concat(F.lit("outdated words "), F.md5("text")))
+    live.append({"body": old}, 0)
+    live.append({"body": t.docs.filter("doc_id % 2 = 1")}, 1)
+    live.fold()
+    live.append({"body": t.docs.filter("doc_id % 2 = 0")}, 2, replace=True)
+    index = live.index()
+    return index.term_stats.select("term", "df", "term_total", index.corpus("body", "n_docs").alias("n_docs"))
+
+
 # Scores
 
 

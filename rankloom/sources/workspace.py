@@ -24,6 +24,23 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _in_store(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _in_store(spark, path)
+    return store.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds."""
+    store, at = _in_store(spark, path)
+    store.delete(at, True)
+
+
 class Workspace:
     """A fresh sub-folder of the shared root; tables in it survive the loss of executors."""
 

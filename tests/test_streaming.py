@@ -99,3 +99,46 @@ def test_merged_field_over_batches(spark):
         ]
         assert rows(index.term_stats, "term", "df") == [("alpha", 2), ("beta", 1)]
         assert index.corpus_stats.first().n_docs == 3
+
+
+def test_folding_keeps_results_and_retires_segments(spark, bulk):
+    live = LiveIndex(Workspace(spark), fan=2)
+    take = live.take()
+    for batch in range(5):
+        take(table(spark, range(batch * 4, batch * 4 + 4)), batch)
+    assert 1 <= len(live.segments()) <= 2
+    assert sorted(b for s in live.segments() for b in s.batches) == list(range(5))
+    same(live.index(), bulk)
+    # delivered again after it was folded
+    take(table(spark, range(4, 8)), 1)
+    assert not live.append({"body": table(spark, range(4, 8))}, 1)
+    gone = live.retire()
+    assert set(gone).isdisjoint(s.name for s in live.segments()) and "batch0" in gone
+    same(live.index(), bulk)
+    assert live.retire() == []
+
+
+def test_half_written_batch_is_written_anew(spark, bulk):
+    live = LiveIndex(Workspace(spark))
+    live.append({"body": table(spark, range(10))}, 0)
+    # a batch that failed before the manifest named it
+    live._write("batch1", "postings", live.index().postings, ("field", "term_bucket"))
+    assert live.index().corpus_stats.first().n_docs == 10
+    live.append({"body": table(spark, range(10, 20))}, 1)
+    same(live.index(), bulk)
+
+
+@pytest.mark.parametrize("fan", [2, 99])
+def test_replaced_by_id(spark, bulk, fan):
+    live = LiveIndex(Workspace(spark), fan=fan)
+    outdated = spark.createDataFrame(
+        [(i, "outdated common") for i in (1, 2, 3, 3)] + [(18, "gone")], "doc_id long, text string"
+    )
+    live.append({"body": outdated}, 0)
+    live.append({"body": table(spark, [i for i in range(20) if i not in (1, 2, 3, 18)])}, 1)
+    live.fold()
+    live.append({"body": table(spark, [1, 3])}, 2, replace=True)
+    live.append({"body": table(spark, [2, 18])}, 3, replace=True)
+    live.fold()
+    for index in (live.index(), live.compact(Workspace(spark))):
+        same(index, bulk)
