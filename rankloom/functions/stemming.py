@@ -1,17 +1,18 @@
-"""Porter stemming of a vocabulary. Only distinct terms pass through Python, in Arrow batches."""
+"""Porter stemming of a vocabulary as column expressions.
 
-from __future__ import annotations
+The rules are written as layers of SQL expressions, each over the columns of the layers before, in the part
+of SQL that Spark shares with other engines: ``CASE``, ``LIKE``, ``left`` and ``length``. Only the fold over
+the letters of a word differs by dialect. A word's shape is a string of ``v`` and ``c``, one for each letter;
+a measure over 0 is then ``LIKE '%vc%'``, over 1 ``LIKE '%vc%vc%'``, and the shape of a word without its
+suffix is the shape without as many letters.
+"""
 
-import re
-import sys
+from __future__ import annotations
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Executors need not have this package installed: ship the functions below by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from ..sources.workspace import Workspace
 
 # Irregular forms and the rules of Porter (1980) with the usual later amendments.
 IRREGULAR = {
@@ -37,111 +38,108 @@ STEP_4 = [
 ]
 # End of fixed values.
 
-_VOWEL_RUN_THEN_CONSONANT = re.compile("v+c+")
-
-
-def _shape(word: str) -> str:
-    """The word as a string of ``c`` and ``v``; y counts as a vowel after a consonant."""
-    shape = ""
-    for letter in word:
-        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
-
-
-def _measure(stem: str) -> int:
-    return len(_VOWEL_RUN_THEN_CONSONANT.findall(_shape(stem)))
-
-
-def _short_end(word: str) -> bool:
-    """Ends consonant-vowel-consonant (last not w, x, y), or is exactly vowel-consonant."""
-    shape = _shape(word)
-    return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
-
-
-def _double_consonant(word: str) -> bool:
-    return len(word) > 1 and word[-1] == word[-2] and _shape(word).endswith("c")
-
-
-def _plural(w: str) -> str:
-    if w.endswith("ies"):
-        return w[:-1] if len(w) == 4 else w[:-2]
-    if w.endswith("s") and not w.endswith("ss"):
-        return w[:-2] if w.endswith("sses") else w[:-1]
-    return w
-
-
-def _past_and_gerund(w: str) -> str:
-    if w.endswith("ied"):
-        return w[:-1] if len(w) == 4 else w[:-2]
-    if w.endswith("eed"):
-        return w[:-1] if _measure(w[:-3]) > 0 else w
-    cut = next((len(s) for s in ("ed", "ing") if w.endswith(s) and "v" in _shape(w[: -len(s)])), 0)
-    if not cut:
-        return w
-    w = w[:-cut]
-    if w.endswith(("at", "bl", "iz")):
-        return w + "e"
-    if _double_consonant(w):
-        return w if w[-1] in "lsz" else w[:-1]
-    return w + "e" if _measure(w) == 1 and _short_end(w) else w
-
-
-def _replace_suffix(w: str, rules: list[tuple[str, str]]) -> str:
-    """Apply the longest matching suffix if a measure is left before it."""
-    matching = [rule for rule in rules if w.endswith(rule[0])]
-    if not matching:
-        return w
-    suffix, new = max(matching, key=lambda rule: len(rule[0]))
-    stem = w[: -len(suffix)]
-    return stem + new if _measure(stem) > 0 else w
-
-
-def _derivational(w: str) -> str:
-    if w.endswith("alli") and _measure(w[:-4]) > 0:
-        return _derivational(w[:-2])
-    if w.endswith("logi"):
-        return w[:-1] if _measure(w[:-3]) > 0 else w
-    return _replace_suffix(w, STEP_2)
-
-
-def _long_suffix(w: str) -> str:
-    matching = [s for s in STEP_4 if w.endswith(s)]
-    if not matching:
-        return w
-    stem = w[: -len(max(matching, key=len))]
-    if w.endswith("ion") and not stem.endswith(("s", "t")):
-        return w
-    return stem if _measure(stem) > 1 else w
-
-
-def _final_letters(w: str) -> str:
-    if w.endswith("e"):
-        m = _measure(w[:-1])
-        if m > 1 or (m == 1 and not _short_end(w[:-1])):
-            w = w[:-1]
-    return w[:-1] if w.endswith("ll") and _measure(w[:-1]) > 1 else w
-
-
-def stem_word(word: str) -> str:
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
-    w = _past_and_gerund(_plural(word))
-    if w.endswith("y") and len(w) > 2 and _shape(w[:-1]).endswith("c"):
-        w = w[:-1] + "i"
-    return _final_letters(_long_suffix(_replace_suffix(_derivational(w), STEP_3)))
-
-
-def stem(term: Column | str) -> Column:
-    @F.pandas_udf("string")
-    def porter(terms: pd.Series) -> pd.Series:
-        return terms.map(stem_word)
-
-    return porter(term)
-
-
-def stem_vocabulary(terms: DataFrame) -> DataFrame:
-    """``(term, ...)`` with distinct terms to ``(term, ..., stem)``."""
-    return terms.withColumn("stem", stem("term"))
+#: Kind of the letter ``ch`` after the letters of shape ``acc``: y is a vowel after a consonant.
+LETTER = (
+    "CASE WHEN ch IN ('a', 'e', 'i', 'o', 'u') OR (ch = 'y' AND acc LIKE '%c') THEN 'v' "
+    "WHEN ch = '' THEN '' ELSE 'c' END"
+)
+
+
+def spark_shape(word: str) -> str:
+    return f"aggregate(split({word}, ''), '', (acc, ch) -> concat(acc, {LETTER}))"
+
+
+def cut(column: str, letters: int | str) -> str:
+    """The column without its last letters."""
+    return f"left({column}, CAST(length({column}) - {letters} AS INT))"
+
+
+def positive(shape: str, letters: int) -> str:
+    """The measure before a suffix is over 0."""
+    return f"{cut(shape, letters)} LIKE '%vc%'"
+
+
+def short_end(word: str, shape: str) -> str:
+    """Ends consonant-vowel-consonant, the last not w, x or y, or is exactly vowel-consonant."""
+    last = " AND ".join(f"{word} NOT LIKE '%{x}'" for x in "wxy")
+    return f"({shape} = 'vc' OR ({shape} LIKE '%cvc' AND {last}))"
+
+
+def replaced(word: str, shape: str, rules: list[tuple[str, str]], more: str = "") -> str:
+    """The longest matching suffix replaced if a measure is left before it."""
+    cases = [
+        f"WHEN {word} LIKE '%{old}' THEN CASE WHEN {positive(shape, len(old))} "
+        f"THEN concat({cut(word, len(old))}, '{new}') ELSE {word} END"
+        for old, new in sorted(rules, key=lambda rule: -len(rule[0]))
+    ]
+    return f"CASE {more} {' '.join(cases)} ELSE {word} END"
+
+
+def _without_long_suffix() -> str:
+    cases = []
+    for old in sorted(STEP_4, key=lambda suffix: -len(suffix)):
+        stem, left = cut("w5", len(old)), cut("s5", len(old))
+        allowed = f"{left} LIKE '%vc%vc%'"
+        if old == "ion":
+            allowed += f" AND ({stem} LIKE '%s' OR {stem} LIKE '%t')"
+        cases.append(f"WHEN w5 LIKE '%{old}' THEN CASE WHEN {allowed} THEN {stem} ELSE w5 END")
+    return f"CASE {' '.join(cases)} ELSE w5 END"
+
+
+def layers(shape) -> list[tuple[str, str]]:
+    """Columns after ``term``, in order; the last one is ``stem``. ``shape`` is the fold of the dialect."""
+    irregular = " ".join(f"WHEN term = '{word}' THEN '{stem}'" for word, stem in IRREGULAR.items())
+    alone = " OR ".join(f"w1c LIKE '%{x}'" for x in "lsz")
+    doubled = "length(w1c) > 1 AND right(w1c, 1) = left(right(w1c, 2), 1) AND s1c LIKE '%c'"
+    return [
+        # plural
+        ("w0", f"""CASE WHEN term LIKE '%ies' THEN CASE WHEN length(term) = 4 THEN {cut("term", 1)}
+            ELSE {cut("term", 2)} END WHEN term LIKE '%sses' THEN {cut("term", 2)}
+            WHEN term LIKE '%s' AND term NOT LIKE '%ss' THEN {cut("term", 1)} ELSE term END"""),
+        ("s0", shape("w0")),
+        # past and gerund: what is cut, and what ends otherwise
+        ("gone", f"""CASE WHEN w0 LIKE '%ied' OR w0 LIKE '%eed' THEN 0
+            WHEN w0 LIKE '%ed' AND {cut("s0", 2)} LIKE '%v%' THEN 2
+            WHEN w0 LIKE '%ing' AND {cut("s0", 3)} LIKE '%v%' THEN 3 ELSE 0 END"""),
+        ("w1c", cut("w0", "gone")),
+        ("s1c", cut("s0", "gone")),
+        ("w1", f"""CASE WHEN gone > 0 THEN CASE
+                WHEN w1c LIKE '%at' OR w1c LIKE '%bl' OR w1c LIKE '%iz' THEN concat(w1c, 'e')
+                WHEN {doubled} THEN CASE WHEN {alone} THEN w1c ELSE {cut("w1c", 1)} END
+                WHEN s1c LIKE '%vc%' AND s1c NOT LIKE '%vc%vc%' AND {short_end("w1c", "s1c")}
+                THEN concat(w1c, 'e') ELSE w1c END
+            WHEN w0 LIKE '%ied' THEN CASE WHEN length(w0) = 4 THEN {cut("w0", 1)} ELSE {cut("w0", 2)} END
+            WHEN w0 LIKE '%eed' AND {positive("s0", 3)} THEN {cut("w0", 1)} ELSE w0 END"""),
+        ("s1", shape("w1")),
+        ("w2", f"""CASE WHEN w1 LIKE '%y' AND length(w1) > 2 AND {cut("s1", 1)} LIKE '%c'
+            THEN concat({cut("w1", 1)}, 'i') ELSE w1 END"""),
+        ("s2", shape("w2")),
+        # derivational suffixes; one in -alli loses its adverb first
+        ("w3", f"CASE WHEN w2 LIKE '%alli' AND {positive('s2', 4)} THEN {cut('w2', 2)} ELSE w2 END"),
+        ("s3", shape("w3")),
+        ("w4", replaced("w3", "s3", STEP_2, f"""WHEN w3 LIKE '%logi' THEN CASE WHEN {positive("s3", 3)}
+            THEN {cut("w3", 1)} ELSE w3 END""")),
+        ("s4", shape("w4")),
+        ("w5", replaced("w4", "s4", STEP_3)),
+        ("s5", shape("w5")),
+        ("w6", _without_long_suffix()),
+        ("s6", shape("w6")),
+        ("w7", f"""CASE WHEN w6 LIKE '%e' AND ({cut("s6", 1)} LIKE '%vc%vc%' OR ({cut("s6", 1)} LIKE '%vc%'
+            AND NOT {short_end(cut("w6", 1), cut("s6", 1))})) THEN {cut("w6", 1)} ELSE w6 END"""),
+        ("s7", shape("w7")),
+        ("stem", f"""CASE {irregular} WHEN length(term) <= 2 THEN term
+            WHEN w7 LIKE '%ll' AND {cut("s7", 1)} LIKE '%vc%vc%' THEN {cut("w7", 1)} ELSE w7 END"""),
+    ]
+
+
+def stem_vocabulary(terms: DataFrame, workspace: Workspace | None = None) -> DataFrame:
+    """``(term, ...)`` with distinct terms to ``(term, ..., stem)``, without leaving the JVM.
+
+    The result is written: a filter on the stem, pushed down through the layers, would repeat each in the
+    next and grow beyond any plan.
+    """
+    stems = terms.select(*[F.col(c).alias(f"_{c}" if c != "term" else c) for c in terms.columns])
+    for name, expression in layers(spark_shape):
+        stems = stems.withColumn(name, F.expr(expression))
+    stems = stems.select(*[F.col(f"_{c}" if c != "term" else c).alias(c) for c in terms.columns], "stem")
+    return (workspace or Workspace(terms.sparkSession)).save("vocabulary", stems)

@@ -81,9 +81,9 @@ def stem_counts(counts: DataFrame, workspace: Workspace, buckets: int) -> DataFr
 
     The result stays partitioned by document, which is enough to add up equal stems.
     """
-    vocabulary = workspace.save(
-        "vocabulary",
-        stem_vocabulary(counts.groupBy("field", "term").agg(F.count("*").alias("df"))),
+    counts = workspace.save("plain_counts", counts)  # texts are analyzed once
+    vocabulary = stem_vocabulary(
+        counts.groupBy("field", "term").agg(F.count("*").alias("df")), workspace
     )
     size = vocabulary.agg(F.count("*").alias("terms"), F.sum("df").alias("postings")).first()
     stems = join_vocabulary(counts, vocabulary, size.terms, size.postings or 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions import stemming
 from ..functions.text import STOP_WORDS, TOKEN_PATTERN
 from ..operators import pages
 from ..operators.index import POSTING_BLOCK
@@ -477,3 +478,30 @@ ORACLES["bm25_topk_pruned"] = ORACLES["bm25_topk"]
 ORACLES["replaced_documents"] = statement(
     DOCS, stats("s", "d"), select=f"SELECT term, df, term_total, {N_DOCS} AS n_docs FROM s"
 )
+
+
+def stem_ctes(terms: str) -> str:
+    """CTE ``stems(term, stem)`` of the different terms of a relation, one layer of rules in each."""
+
+    def shape(word: str) -> str:
+        letters = f"list_prepend('', string_split({word}, ''))"
+        return f"list_reduce({letters}, lambda acc, ch: acc || {stemming.LETTER})"
+
+    ctes, before = [f"layer0 AS MATERIALIZED (SELECT DISTINCT term FROM {terms})"], "layer0"
+    for k, (name, expression) in enumerate(stemming.layers(shape), 1):
+        ctes.append(f"layer{k} AS MATERIALIZED (SELECT *, {expression} AS {name} FROM {before})")
+        before = f"layer{k}"
+    return ",\n".join([*ctes, f"stems AS (SELECT term, stem FROM {before})"])
+
+
+ORACLES["stemmed_terms"] = statement(
+    DOCS, stem_ctes("d"),
+    select="SELECT term, df, stem FROM stems JOIN (SELECT term, count(*) AS df FROM d GROUP BY term) USING (term)",
+)
+ORACLES["stemmed_search"] = statement(
+    Q.split(", q AS")[0], DOCS, stem_ctes("(SELECT term FROM d UNION SELECT term FROM q0)"),
+    "ds AS MATERIALIZED (SELECT doc_id, stem AS term, sum(tf)::BIGINT AS tf FROM d JOIN stems USING (term)"
+    " GROUP BY doc_id, stem)",
+    "q AS (SELECT qid, stem AS term, sum(tf)::BIGINT AS qtf FROM q0 JOIN stems USING (term) GROUP BY qid, stem)",
+    tfidf_cte("s", "ds", N_DOCS), select=show("s", 10),
+)

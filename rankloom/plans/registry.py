@@ -63,6 +63,10 @@ class Tables:
     def doc_index(self) -> indexing.Index:
         return indexing.build_index({"body": self.docs}, Workspace(self.spark))
 
+    @cached_property
+    def stemmed_index(self) -> indexing.Index:
+        return indexing.build_index({"body": self.docs}, Workspace(self.spark), analyzer="stemmed")
+
     @cached_property
     def doc_blocks(self) -> blocks.BlockIndex:
         return blocks.build_blocks(self.doc_index, Workspace(self.spark))
@@ -249,6 +253,13 @@ def stemmed_terms(t: Tables) -> DataFrame:
     return stemming.stem_vocabulary(terms)
 
 
+@registered
+def stemmed_search(t: Tables) -> DataFrame:
+    """TF-IDF of stemmed queries on stemmed documents."""
+    batch = scoring.query_batch(t.queries, t.stemmed_index)
+    return ranked(ranking.top_k(scoring.tfidf(t.stemmed_index, batch, "body"), 10))
+
+
 @registered
 def stream_index(t: Tables) -> DataFrame:
     """Documents arrive in files, one in each batch; one batch is delivered twice."""

@@ -4,7 +4,7 @@ import pytest
 from brute import Corpus
 from pyspark.sql import functions as F
 
-from rankloom.functions.stemming import stem_word
+from brute_stemmer import stem_word
 from rankloom.operators import index as ix
 from rankloom.operators import joins
 from rankloom.operators.joins import join_vocabulary, lookup_join, spread_join
