@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.urls import canonical_url, resolve_url
 from .joins import lookup_join
 
 # Fixed values.
@@ -65,9 +66,16 @@ def synthetic_links(pages: DataFrame) -> DataFrame:
 
 
 def resolve_links(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(page_id, pos, target, text)`` by URL; links to unknown pages are dropped."""
-    urls = pages.groupBy(F.col("url").alias("href")).agg(F.min("page_id").alias("target"))
-    found = lookup_join(links, urls, ["href"], bounded=False, how="inner")
+    """``(page_id, pos, target, text)``: links are resolved against the URL of their page and joined with
+    the pages by canonical URL. Of pages with the same one the lowest id is the target. Links to unknown
+    pages, or to what is no web address, are dropped; on a page without a URL only whole ones count.
+    """
+    base = pages.select("page_id", F.coalesce("url", F.lit("")).alias("_base"))
+    known = pages.select(canonical_url(F.col("url")).alias("_url"), "page_id").filter("_url is not null")
+    known = known.groupBy("_url").agg(F.min("page_id").alias("target"))
+    based = lookup_join(links, base, ["page_id"], bounded=False, how="inner")
+    named = based.withColumn("_url", resolve_url(F.col("_base"), F.col("href"))).filter("_url is not null")
+    found = lookup_join(named, known, ["_url"], bounded=False, how="inner")
     return found.select("page_id", "pos", "target", "text")
 
 

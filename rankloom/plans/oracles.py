@@ -505,3 +505,16 @@ ORACLES["stemmed_search"] = statement(
     "q AS (SELECT qid, stem AS term, sum(tf)::BIGINT AS qtf FROM q0 JOIN stems USING (term) GROUP BY qid, stem)",
     tfidf_cte("s", "ds", N_DOCS), select=show("s", 10),
 )
+
+# What the links were written for, known without resolving any of them.
+ORACLES["resolved_links"] = r"""
+WITH p AS (SELECT page_id, regexp_replace(url, '#.*', '') AS url, split_part(url, ':', 1) AS scheme FROM pages),
+t AS (SELECT url, min(page_id) AS target FROM p GROUP BY url),
+b AS (SELECT p.page_id, p.url, p.scheme, n.url AS next, n.scheme AS next_scheme
+      FROM p JOIN p n ON n.page_id = p.page_id + 1),
+l AS (
+  SELECT page_id, unnest([0, 2]) AS pos, next AS url FROM b
+  UNION ALL SELECT page_id, 1, scheme || substr(next, length(next_scheme) + 1) FROM b
+  UNION ALL SELECT page_id, unnest([3, 4]), url FROM b)
+SELECT page_id, pos::BIGINT AS pos, target FROM l JOIN t USING (url)
+"""

@@ -476,6 +476,30 @@ def anchors_extract(t: Tables) -> DataFrame:
     return links.select("page_id", F.col("pos").cast("bigint"), "target", "text")
 
 
+def written_links(all_pages: DataFrame) -> DataFrame:
+    """Six links on every page, to it and to another page, in the forms that links are written in."""
+    after = all_pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next"))
+    both = all_pages.select("page_id", "url").join(after, "page_id")
+    scheme, host = F.regexp_extract("next", "^([a-z]+):", 1), F.regexp_extract("next", "//([^/]*)", 1)
+    rest, own = (F.regexp_extract(c, "^[a-z]+://[^/]*(/[^#]*)", 1) for c in ("next", "url"))
+    port = F.when(scheme == "http", ":80").otherwise(":443")
+    hrefs = F.array(
+        F.concat(F.upper(scheme), F.lit("://"), F.upper(host), port, rest, F.lit("#part")),
+        F.concat(F.lit("//"), host, rest),
+        F.concat(F.lit(" "), scheme, F.lit("://"), host, F.lit("./none/&#46;&#x2e;"), F.replace(rest, F.lit("&"), F.lit("&amp;"))),
+        F.lit("#here"),
+        F.concat(F.lit("../../../.."), own),
+        F.lit("mailto:someone@example.org"),
+    )
+    return both.select("page_id", F.posexplode(hrefs).alias("pos", "href"), F.lit("text").alias("text"))
+
+
+@registered
+def resolved_links(t: Tables) -> DataFrame:
+    found = pages.resolve_links(written_links(t.pages), t.pages)
+    return found.select("page_id", F.col("pos").cast("bigint"), "target")
+
+
 @registered
 def link_edges(t: Tables) -> DataFrame:
     return pages.link_edges(t.links)

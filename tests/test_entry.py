@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -40,3 +44,15 @@ def test_query_equals_sql(spark, con, name):
     )
     assert [str(k) for k in got.dtypes] == [str(k) for k in expected.dtypes]
     assert got.equals(expected)
+
+
+def test_entry_without_a_library_of_the_subpackage():
+    """A library that only the optional subpackage needs is missing: the other queries are there."""
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore'); sys.modules['zstandard'] = None\n"
+        "sys.modules['public_tokenizers'] = None\n"
+        "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    )
+    root = Path(entry_module.__file__).parent
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert said.stdout.split()[-2:] == [str(len(REGISTRY)), str(len(ORACLES))]
