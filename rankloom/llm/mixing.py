@@ -19,15 +19,43 @@ TICKET_BITS = 60
 LEVEL_BITS = 12
 #: Sources whose state is broadcast (some 100 bytes each); more are joined by :func:`attach`.
 BROADCAST_SOURCES = 100_000
+#: Rows of a key that are numbered in one task: a part is 2 ** PART_SHIFT numbers of written rows.
+PART_SHIFT = 16
 
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
 
 
-def ticket(doc_id: Column, seed: int) -> Column:
-    name = F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(name), 1, TICKET_BITS // 4), 16, 10).cast("bigint")
+def ticket(name: Column, occurrence: Column, seed: int) -> Column:
+    named = F.concat(F.lit(f"{seed}|"), name, F.lit("|"), occurrence.cast("string"))
+    return F.conv(F.substring(F.md5(named), 1, TICKET_BITS // 4), 16, 10).cast("bigint")
+
+
+def with_occurrences(items: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """Written rows with an ``occurrence`` that numbers those of equal ``keys`` from 0.
+
+    Keys of one row, most of them, need no numbers. The others are numbered within the parts that the
+    rows were written in, and the numbers of a part begin after those of the parts before: a key that
+    holds a third of all rows is numbered in many tasks.
+    """
+    often = scratch.keep(
+        items.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys)
+    )
+    first = F.lit(0).cast("bigint")
+    if often.isEmpty():
+        return items.withColumn("occurrence", first)
+    alone = items.join(often, keys, "left_anti").withColumn("occurrence", first)
+    part = [*keys, "_part"]
+    equal = items.join(often, keys, "left_semi").withColumn("_part", F.shiftright("_number", PART_SHIFT))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = equal.groupBy(*part).agg(F.count("*").alias("_n")).withColumn(
+        "_start", F.coalesce(F.sum("_n").over(before), first)
+    )
+    within = F.row_number().over(Window.partitionBy(*part).orderBy("_number")) - 1
+    numbered = equal.withColumn("_within", within).join(starts.drop("_n"), part)
+    numbered = numbered.withColumn("occurrence", F.col("_start") + F.col("_within"))
+    return scratch.keep(alone.unionByName(numbered.select(*alone.columns)))
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...], max_repeat: int) -> DataFrame:
@@ -75,23 +103,32 @@ def mix_sources(
 
     Sources take the weights in turn, in order of their names, null last, and share the words of all
     documents. ``copies`` is 0 to ``max_repeat``, ``taken = size * copies``. A source misses its
-    target by at most half the document at its threshold. Null text has size 0. Rows with one and
-    the same doc_id share a ticket and go together; a null doc_id has a ticket too. An empty table
-    gives an empty one. Only the columns doc_id, source, text and ``carry`` are read.
+    target by at most half the document at its threshold. Null text has size 0. The ticket hashes
+    doc_id, text and, for rows equal in both and in their source, an occurrence number: rows of no id and
+    repeated rows are taken one by one. An empty table gives an empty one. Only the columns doc_id,
+    source, text and ``carry`` are read.
     """
     scratch = Scratch(docs.sparkSession)
+    text = column_or_null(docs, "text", "string")
+    name = F.concat_ws(
+        "|", F.coalesce(column_or_null(docs, "doc_id", "bigint").cast("string"), F.lit("null")),
+        F.md5(F.coalesce(text, F.lit(""))),
+    )
     items = scratch.keep(
         docs.select(
             column_or_null(docs, "doc_id", "bigint").alias("doc_id"),
             column_or_null(docs, "source", "string").alias("source"),
-            word_count(column_or_null(docs, "text", "string")).alias("size"),
+            word_count(text).alias("size"),
+            name.alias("_name"),
             *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carried")] if carry else []),
         )
-        .withColumn("ticket", ticket(F.col("doc_id"), seed))
         .withColumn(
             "_key", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
         )
+        .withColumn("_number", F.monotonically_increasing_id())
     )
+    items = with_occurrences(items, ["_key", "_name"], scratch)
+    items = items.withColumn("ticket", ticket(F.col("_name"), F.col("occurrence"), seed))
     sources = items.groupBy("_key", "source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("_rows")
     )

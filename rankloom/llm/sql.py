@@ -19,7 +19,9 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r
 SQL["op9_threshold_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS ticket
+         coalesce(doc_id::VARCHAR, 'null') || '|' || md5(coalesce(text, '')) AS name,
+         row_number() OVER (PARTITION BY source, name) - 1 AS occurrence,
+         ('0x' || substr(md5('0|' || name || '|' || occurrence::VARCHAR), 1, 15))::BIGINT AS ticket
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (
