@@ -135,8 +135,8 @@ def packer(path: str, end_id: int, spaced: bool, tiers: tuple[int, ...], step_to
                 )
 
         for rows, _, _ in text_slices(batches):
-            for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True):
-                ids = code.document(text)
+            coded = code.documents(rows.column("text").to_pylist())
+            for doc_id, ids in zip(rows.column("doc_id").to_pylist(), coded, strict=True):
                 docs.append((doc_id, ids, 0, len(ids) // width))
                 held += len(ids) // width
                 if held >= BUFFER:

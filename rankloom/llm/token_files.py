@@ -140,11 +140,11 @@ def writer(folder: str, path: str, end_id: int, spaced: bool):
             out = None
 
         for rows, _, _ in text_slices(batches):
-            for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True):
+            coded = code.documents(rows.column("text").to_pylist())
+            for doc_id, ids in zip(rows.column("doc_id").to_pylist(), coded, strict=True):
                 if out is None:
                     name = f"part-{part:07d}-{len(done):05d}-{task.taskAttemptId()}.ids.zst"
                     out, n_docs, n_ids = FrameWriter(store.open_output_stream(f"{root}/_{name}", compression=None), width), 0, 0
-                ids = code.document(text)
                 out.add(doc_id, ids)
                 n_docs, n_ids = n_docs + 1, n_ids + len(ids) // width
                 if out.written >= FILE_BYTES:

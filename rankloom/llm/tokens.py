@@ -4,39 +4,30 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
-#: Entries of a worker's cache, some 150 bytes each; a full cache starts anew.
-CACHED = 400_000
-#: Longer pieces between blanks are not cached.
+#: Pieces that a worker remembers, some 150 bytes each; beyond them the older half is forgotten.
+CACHED = 1_000_000
+#: Longer pieces between blanks are not remembered.
 CACHED_CHARS = 64
+#: Characters of new pieces that are tokenized in one call.
+CALL_CHARS = 1 << 16
 #: The next blank or the end after a space: there the run of blanks has to be seen whole.
 _RUN = re.compile(r" (?:\s|$)")
-
-
-class _Pieces(dict):
-    """Ids of the pieces between spaces as little-endian bytes, by the tokenizer on first sight."""
-
-    def __init__(self, encode, prefix: str):
-        super().__init__()
-        self.encode, self.prefix = encode, prefix
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(self.prefix + piece)
-        if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = ids
-        return ids
+#: Between a Latin letter or a digit and the marks that end its piece; every vocabulary splits there.
+_END = re.compile(r"(?<=[A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])(?=[.,;:!?#$%&*]+(?:\s|$))")
 
 
 class Encoder:
     """Ids as the tokenizers library gives them with ``add_special_tokens=False``.
 
-    Pieces between spaces are tokenized by themselves and remembered. That changes nothing: byte-level
-    vocabularies split before a space that stands alone (``spaced``), the others drop blanks. A text
-    with longer runs of blanks in the first case, or with the mark of special tokens, is encoded whole.
+    Pieces between spaces, without the marks at their end, are tokenized by themselves and remembered. That changes nothing: byte-level
+    vocabularies split before a space that stands alone (``spaced``), the others drop blanks. The new
+    pieces of some texts are tokenized in few calls, with a special token between them, as it splits a text
+    before all else. A text with longer runs of blanks in the first case, or with the mark of a special
+    token, is encoded whole.
     """
 
     def __init__(self, path: str, end_id: int, spaced: bool):
@@ -46,10 +37,12 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [str(t.content) for t in added]
-        self.first = _Pieces(self._whole, "")
-        self.rest = _Pieces(self._whole, " ") if spaced else self.first
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [str(t.content) for t in added.values()]
+        cuts = [(n, str(t.content)) for n, t in added.items() if t.special and not (t.normalized or t.lstrip or t.rstrip)]
+        self.cut = cuts[0] if cuts else None
+        #: ids of pieces, those after a space with it
+        self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         if not text:
@@ -57,15 +50,63 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
-    def document(self, text: str | None) -> bytes:
-        """Ids of the text and the end id."""
-        text = text or ""
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of different pieces, none of which holds a special token."""
+        if self.cut is None:
+            return {p: self._whole(p) for p in pieces}
+        found, (number, mark), first = {}, self.cut, 0
+        while first < len(pieces):
+            end, chars = first, 0
+            while end < len(pieces) and (end == first or chars < CALL_CHARS):
+                chars += len(pieces[end])
+                end += 1
+            part = pieces[first:end]
+            (encoded,) = self.tokenizer.encode_batch_fast([mark.join(part)], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            cuts = np.flatnonzero(ids == number)
+            if len(cuts) != len(part) - 1:
+                raise ValueError("a piece holds a special token")
+            width, raw = self.dtype.itemsize, ids.astype(self.dtype).tobytes()
+            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+            found |= {p: raw[a * width : b * width] for p, a, b in zip(part, starts, ends, strict=True)}
+            first = end
+        return found
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """The text cut before its single spaces, or at blanks that count for nothing, and before marks.
+
+        None if it can't be.
+        """
         if any(s in text for s in self.special) or (self.spaced and _RUN.search(text)):
-            return self._whole(text) + self.end
+            return None
+        if "\0" in text:
+            return None
+        text = _END.sub("\0", text)
         if self.spaced:
-            first, *rest = text.split(" ")
-            return self.first[first] + b"".join(map(self.rest.__getitem__, rest)) + self.end
-        return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" "))) + self.end
+            return text.replace(" ", "\0 ").split("\0")
+        return text.replace("\n", "\0").replace(" ", "\0").split("\0")
+
+    def documents(self, texts: list[str | None]) -> list[bytes]:
+        """For each text its ids and the end id."""
+        cut = [self._pieces(text or "") for text in texts]
+        known = self.known
+        new = list({p for pieces in cut if pieces for p in pieces if p not in known})
+        learned = self._learn(new)
+        known.update(learned)
+        out = [
+            (self._whole(text) if pieces is None else b"".join(map(known.__getitem__, pieces))) + self.end
+            for text, pieces in zip(texts, cut, strict=True)
+        ]
+        for piece in new:
+            if len(piece) > CACHED_CHARS:
+                del known[piece]
+        if len(known) > CACHED:
+            for piece in list(islice(known, len(known) // 2)):
+                del known[piece]
+        return out
+
+    def document(self, text: str | None) -> bytes:
+        return self.documents([text])[0]
 
 
 @lru_cache(maxsize=2)

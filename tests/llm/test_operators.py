@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rankloom.llm import forest
-from rankloom.llm import substrings
+from rankloom.llm import substrings, tokens
 from rankloom.llm.forest import search
 from rankloom.llm.importance import kth_largest, resample
 from rankloom.llm.line_dedup import dedup_lines
@@ -232,6 +232,19 @@ def test_mixing(docs, none):
     assert abs(sum({r.source: r.target for r in rows}.values()) - sum(r.size for r in rows)) < 1e-6
 
 
+def test_mixing_without_ids(spark):
+    """Rows of no id, and equal rows, are taken one by one, so a source comes near its target."""
+    rows = [(None, f"text {k} " + "w " * 48, "a", "x") for k in range(50)]
+    rows += [(None, "w " * 50, "b", "x") for _ in range(50)] + [(7, "w " * 50, "c", "x") for _ in range(50)]
+    rows += [(k, "w " * 50, "d", "x") for k in range(50)] + [(7, "w " * 50, "d", "y"), (7, None, "d", "x"), (7, "", "d", "x")]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = mix_sources(table).collect()
+    assert len(got) == len(rows)
+    for source in "abcd":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 25, source
+
+
 def check_pieces(rows, ids):
     pieces, sequences = {}, {}
     for r in rows:
@@ -271,13 +284,29 @@ def test_encoder(name, spaced):
     path = public_tokenizers.path(name)
     ours, theirs = Encoder(path, 2, spaced), Tokenizer.from_file(path)
     rng = np.random.default_rng(4)
-    parts = [" ", "  ", "\n", " \n", "\t", "word", "Don't", "é", "é", "12", "!?", " ", "\x1c", "<|endoftext|>", "日本", "Σ"]
+    parts = [" ", "  ", "\n", " \n", "\t", "word", "Don't", "é", "é", "12", "!?", " ", "\x1c", "<|endoftext|>", "日本", "Σ", ",", ". ", "\0", "'s", "é."]
     texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(400)] + [None, LONG]
     for text in texts:
         want = [*theirs.encode(text or "", add_special_tokens=False).ids, 2]
         assert np.frombuffer(ours.document(text), ours.dtype).tolist() == want
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_encoder_forgets(monkeypatch, name, spaced):
+    """Equal ids when pieces are forgotten, tokenized in many calls, or too long to be remembered."""
+    monkeypatch.setattr(tokens, "CACHED", 20)
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 6)
+    monkeypatch.setattr(tokens, "CALL_CHARS", 10)
+    path = public_tokenizers.path(name)
+    ours, theirs = Encoder(path, 2, spaced), Tokenizer.from_file(path)
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        texts = [" ".join(f"w{k}." if k % 3 else f"long-{k}-word" for k in rng.integers(0, 40, rng.integers(0, 9))) for _ in range(6)]
+        want = [[*theirs.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert [np.frombuffer(x, ours.dtype).tolist() for x in ours.documents(texts)] == want
+        assert len(ours.known) <= 20
+
+
 def test_token_files(docs, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
