@@ -72,12 +72,17 @@ def _composed(scheme: Column, authority: Column, path: Column, query: Column) ->
     scheme = F.lower(scheme)
     for code, sign in UNRESERVED.items():
         path = F.regexp_replace(path, f"(?i)%{code}", sign)
-    url = F.concat(scheme, F.lit("://"), _authority(scheme, authority), _without_dots(path), query)
-    return F.when(scheme.isin(*DEFAULT_PORTS), url)
+    local = F.concat(_without_dots(path), query)
+    url = F.concat(scheme, F.lit("://"), _authority(scheme, authority), local)
+    within = (scheme == "") & (authority == "") & path.startswith("/")
+    return F.when(scheme.isin(*DEFAULT_PORTS), url).when(within, local)
 
 
 def canonical_url(url: Column) -> Column:
-    """One form of equal web addresses, without the fragment; null for what is no http or https URL."""
+    """One form of equal web addresses, without the fragment; null for what is no http or https URL.
+
+    A path from the root is an address within a site that isn't named.
+    """
     return _composed(_part(url, 1), _part(url, 2), _part(url, 3), _part(url, 4))
 
 

@@ -18,7 +18,7 @@ REFERENCES = {
 CANONICAL = {
     "http://User:Pw@Host.Org.:80": "http://User:Pw@host.org/", "https://h:/a": "https://h/a",
     "https://h:80/a": "https://h:80/a", "http://h/%7euser/%2E%2e/x": "http://h/x", "http:///x": None,
-    "http://h/a/../../b/": "http://h/b/", "ftp://h/x": None, "x": None, None: None,
+    "http://h/a/../../b/": "http://h/b/", "ftp://h/x": None, "x": None, None: None, "/a/./b?q#f": "/a/b?q",
     "http://h?q#f": "http://h/?q", "http://[::1]:80/": "http://[::1]/",
 }
 
