@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.workspace import Workspace
+from ..sources.workspace import Workspace, delete
 
 #: Keys that ``attach`` broadcasts at most, as only keys with more than 1 / HOT_KEYS of all rows are.
 HOT_KEYS = 1000
@@ -24,11 +24,21 @@ class Scratch(Workspace):
     def __init__(self, spark: SparkSession):
         super().__init__(spark)
         self._n = 0
+        self._kept: list[tuple[DataFrame, str]] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write and read back: cuts the lineage, so a lost executor costs a read."""
         self._n += 1
-        return self.save(f"t{self._n}", df)
+        kept = self.save(f"t{self._n}", df)
+        self._kept.append((kept, self.path(f"t{self._n}")))
+        return kept
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of :meth:`keep` that nothing reads any more; other frames are left alone."""
+        gone = [path for kept, path in self._kept if any(kept is t for t in tables)]
+        self._kept = [(kept, path) for kept, path in self._kept if path not in gone]
+        for path in gone:
+            delete(self.spark, path)
 
 
 def column_or_null(df: DataFrame, name: str, kind: str) -> Column:

@@ -3,13 +3,15 @@
 A document is the set of its word shingles. Shingles get a global order, frequent ones first; a set
 is the sorted list of its codes, a path in a trie. Two sets that reach the threshold share one of
 the last ``n - ceil(t n) + 1`` codes of either, the rarest ones, so these are the keys by which sets
-meet. A probe is then compared with all sets that meet it at once: they arrive in the order of a
-depth-first walk of their trie, take over the overlap counted on the path they share with the set
-before, and a subtree is left as soon as what remains of either set can't reach the threshold.
+meet. A probe walks the trie of the sets that meet it: they arrive in the order of a depth-first walk,
+take over the overlap counted on the path they share with the set before, and a subtree is skipped as
+soon as what remains of the probe can't reach the threshold with a set of any length.
 
-Equal sets are one class from the start. Sets meeting at a key are first compared with a few of them in
-turn; of keys that still join different components, the pairs across components are then compared, as soon
-as they are no more than that. So a group of thousands of copies costs as many comparisons as it has members, not as it has pairs, and no link is lost.
+Equal sets are one class from the start. In each round a class is compared with one set only, the center
+of its fullest key that still joins different components, so a group of thousands of copies costs as many
+comparisons as it has members. When rounds stop paying, the sets of the keys that are still open meet in
+tasks that hold a bounded part of one key each, and only pairs whose lengths and count sketches allow a
+link leave the task. Keys are never joined with themselves, and no link is lost.
 
 Hashes have 64 bits: of N distinct sets, about N^2 / 2^65 pairs are expected to be confused.
 """
@@ -33,10 +35,12 @@ WIDTH = 5
 RANKED = 1 << 17
 #: A shingle in this share of a batch's documents is reported for ranking.
 FREQUENT = 1e-3
-#: Sets that are compared with a probe in one task.
+#: Sets that are compared with a probe in one task, and sets of one block of a key.
 BLOCK = 2048
-#: Members of a key that all others are compared with before pairs are.
-CENTERS = 4
+#: Rounds of centers end when fewer than one in so many comparisons finds a link.
+PAYS = 4
+#: Rows whose keys are looked through at a time, and pairs of a batch that leaves.
+CHUNK = 1 << 16
 RARE = np.uint64(1 << 63)
 #: Bins of the count sketch: 100 * sum of the bins' minima can't be below 100 * overlap.
 BINS = 128
@@ -122,9 +126,12 @@ def rarest(order, percent: int):
     def run(batches):
         for _, sets in shingle_sets(batches):
             ids = np.array([class_id(s) for s in sets], np.uint64).view(np.int64)
-            keys = [c[needed(len(c), percent) - 1 :] for c in order.value.codes(sets) if len(c)]
-            ids = ids[[len(s) > 0 for s in sets]]
-            if keys:
+            # equal sets of a slice are one
+            first = np.sort(np.unique(ids, return_index=True)[1])
+            first = [k for k in first.tolist() if len(sets[k])]
+            ids, sets = ids[first], [sets[k] for k in first]
+            if sets:
+                keys = [c[needed(len(c), percent) - 1 :] for c in order.value.codes(sets)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "x": pa.array(np.concatenate(keys).view(np.int64)),
@@ -135,29 +142,111 @@ def rarest(order, percent: int):
     return run
 
 
+def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(x, cid)`` sorted by both: each once, and rare keys (below zero) only if two classes have them."""
+    last, out = None, False  # the last row so far, and whether it has left
+    for batch in batches:
+        x, cid = (batch.column(c).to_numpy() for c in ("x", "cid"))
+        if last is not None:
+            x, cid = np.concatenate([[last[0]], x]), np.concatenate([[last[1]], cid])
+        if not len(x):
+            continue
+        fresh = np.ones(len(x), bool)
+        fresh[1:] = (x[1:] != x[:-1]) | (cid[1:] != cid[:-1])
+        x, cid = x[fresh], cid[fresh]
+        leaves = x >= 0
+        again = x[1:] == x[:-1]
+        leaves[1:] |= again
+        leaves[:-1] |= again
+        gone = bool(leaves[-1]) or (len(x) == 1 and out)
+        if out:
+            leaves[0] = False
+        last, out = (x[-1], cid[-1]), gone
+        yield pa.RecordBatch.from_pydict({"x": pa.array(x[leaves]), "cid": pa.array(cid[leaves])})
+
+
+def needed_of_both(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    return -(-percent * (n_a + n_b) // (100 + percent))
+
+
+def sketches(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bins of each row, and whether it has any."""
+    known = column.is_valid().to_numpy(False)
+    bins = np.zeros((len(column), BINS), np.uint8)
+    if known.any():
+        bins[known] = np.frombuffer(b"".join(column.drop_null().to_pylist()), np.uint8).reshape(-1, BINS)
+    return bins, known
+
+
 def plausible(percent: int):
     """Mapper from ``(a, b, n_a, n_b, sketch_a, sketch_b)`` to the pairs that may still link."""
 
     def run(batches):
         for batch in batches:
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            need = -(-percent * (n_a + n_b) // (100 + percent))
+            need = needed_of_both(n_a, n_b, percent)
             least = np.minimum(n_a, n_b)
-            one, two = batch.column("sketch_a"), batch.column("sketch_b")
-            known = np.flatnonzero(
-                (one.is_valid().to_numpy(False)) & (two.is_valid().to_numpy(False)) & (least >= need)
-            )
-            if len(known):
-                both = [
-                    np.frombuffer(b"".join(c.take(pa.array(known)).to_pylist()), np.uint8).reshape(-1, BINS)
-                    for c in (one, two)
-                ]
-                least[known] = np.minimum(*both).sum(axis=1, dtype=np.int64)
+            (one, known), (two, other) = (sketches(batch.column(c)) for c in ("sketch_a", "sketch_b"))
+            known &= other
+            least[known] = np.minimum(one[known], two[known]).sum(axis=1, dtype=np.int64)
             yield batch.select(["a", "b"]).filter(pa.array(least >= need))
 
     return run
 
 
+def pairs_of_keys(rows: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of whole groups that may link, by growing distance in the group.
+
+    Groups are sorted by length: where the next set is too long for one, all further ones are, too.
+    """
+    x, u, v, own, label, n = (rows.column(c).to_numpy() for c in ("x", "u", "v", "own", "label", "n"))
+    bins, known = sketches(rows.column("sketch").combine_chunks())
+    at, step = np.arange(len(x)), 1
+    while len(at):
+        at = at[at + step < len(x)]
+        to = at + step
+        near = (x[at] == x[to]) & (u[at] == u[to]) & (v[at] == v[to]) & (n[at] * 100 >= n[to] * percent)
+        at, to = at[near], to[near]
+        # pairs within a block meet where the block meets itself only
+        open_ = (label[at] != label[to]) & ((own[at] != own[to]) | (u[at] == v[at]))
+        a, b = at[open_], to[open_]
+        for k in range(0, len(a), CHUNK):
+            one, two = a[k : k + CHUNK], b[k : k + CHUNK]
+            least = np.minimum(bins[one], bins[two]).sum(axis=1, dtype=np.int64)
+            least[~(known[one] & known[two])] = np.iinfo(np.int64).max
+            may = np.minimum(least, n[one]) >= needed_of_both(n[one], n[two], percent)
+            yield one[may], two[may]
+        step += 1
+
+
+def meet(percent: int):
+    """Mapper from ``(x, u, v, own, cid, label, n, sketch)``, sorted by x, u, v, n, to pairs ``(a, b)``."""
+
+    def pairs(rows):
+        cid = rows.column("cid").to_numpy()
+        for one, two in pairs_of_keys(rows, percent):
+            a, b = np.minimum(cid[one], cid[two]), np.maximum(cid[one], cid[two])
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < CHUNK:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            x, u, v = (rows.column(c).to_numpy() for c in ("x", "u", "v"))
+            starts = np.flatnonzero((x[1:] != x[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1
+            if len(starts):  # the last group may go on
+                yield from pairs(rows.slice(0, starts[-1]))
+                rows = rows.slice(starts[-1])
+            held = rows.to_batches()
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+
+    return run
+
+
 def trie_paths(order):
     """Mapper to ``(cid, path)``: the codes of a set, big-endian, so that paths sort as in the trie."""
 
@@ -172,31 +261,38 @@ def trie_paths(order):
 
 
 class TrieWalk:
-    """Overlaps of one probe with sets that come in the order of their trie."""
+    """A probe's walk through sets that come in the depth-first order of their trie."""
 
     def __init__(self, probe: np.ndarray, percent: int):
         self.probe, self.percent = probe, percent
         self.path = np.zeros(0, np.uint64)
         self.count = np.zeros(1, np.int64)
-
-    def overlap(self, path: np.ndarray) -> int:
-        """Codes shared with ``path``, or -1 if they can't reach the threshold."""
-        probe, n, m = self.probe, len(self.probe), len(path)
-        need = -(-self.percent * (n + m) // (100 + self.percent))
-        if need > min(n, m):
-            return -1
-        same = min(len(self.path), m)
+        #: Big-endian prefix of the subtree that is skipped.
+        self.cut: bytes | None = None
+
+    def links(self, path: bytes) -> bool:
+        """Whether the set reaches the threshold; ``path`` is big-endian."""
+        if self.cut is not None and path.startswith(self.cut):
+            return False
+        self.cut = None
+        path, n = np.frombuffer(path, ">u8").astype(np.uint64), len(self.probe)
+        same = min(len(self.path), len(path))
         differs = np.flatnonzero(self.path[:same] != path[:same])
         depth = int(differs[0]) if len(differs) else same
-        rest = n - int(np.searchsorted(probe, path[depth - 1], "right")) if depth else n
-        if self.count[depth] + min(m - depth, rest) < need:
-            return -1
+        # the overlap at each depth of the path, and how much of the probe lies behind it
         tail = path[depth:]
-        at = np.minimum(np.searchsorted(probe, tail), n - 1)
-        grown = self.count[depth] + np.cumsum(probe[at] == tail)
-        self.path, self.count = path, np.concatenate([self.count[: depth + 1], grown])
-        total = int(self.count[-1])
-        return total if total >= need else -1
+        behind = np.searchsorted(self.probe, tail, "right")
+        hit = (behind > 0) & (self.probe[behind - 1] == tail)
+        overlap = self.count[depth] + np.cumsum(hit)
+        self.path, self.count = path, np.concatenate([self.count[: depth + 1], overlap])
+        # a set that goes on with all the rest of the probe, and nothing else, is the best of the subtree
+        rest = n - behind
+        at = np.arange(depth + 1, len(path) + 1)
+        lost = np.flatnonzero(overlap + rest < needed_of_both(np.int64(n), at + rest, self.percent))
+        if len(lost):
+            self.cut = path[: depth + 1 + int(lost[0])].astype(">u8").tobytes()
+            return False
+        return int(self.count[-1]) >= needed_of_both(np.int64(n), np.int64(len(path)), self.percent)
 
 
 def walk(percent: int):
@@ -206,15 +302,15 @@ def walk(percent: int):
         now, probe = None, None
         for batch in batches:
             found = []
-            columns = [batch.column(c).to_pylist() for c in ("a", "block", "b", "path")]
+            columns = [batch.column(c) for c in ("a", "block", "b", "path")]
             for a, block, b, path in zip(*columns, strict=True):
-                path = np.frombuffer(path, ">u8").astype(np.uint64)
+                a, block, b, path = a.as_py(), block.as_py(), b.as_py(), path.as_py()
                 if b is None:
-                    now, probe = (a, block), TrieWalk(path, percent)
+                    now, probe = (a, block), TrieWalk(np.frombuffer(path, ">u8").astype(np.uint64), percent)
                 else:
                     if now != (a, block):
                         raise ValueError("sets without their probe")
-                    if probe.overlap(path) >= 0:
+                    if probe.links(path):
                         found.append((a, b))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -265,38 +361,19 @@ class JaccardJoin:
         )
 
     def meetings(self) -> DataFrame:
-        """``(x, cid, low)``: sets of different classes that share a key; low is the key's least class.
+        """``(x, cid)``: the keys of classes. Of rare keys only those that several classes have.
 
-        Keys are shuffled once, into a bucketed table, where they are counted and joined in place.
-        Ranked codes, the only ones that very many sets can have, are spread by class and take the
-        way that splits hot keys.
+        Keys are shuffled and sorted once; a task drops the rare ones of one class as they stream by.
+        Ranked codes, the only ones that very many sets can have, are spread by class.
         """
         salt = F.when(F.col("x") < 0, 0).otherwise(F.pmod("cid", F.lit(64))).cast("int")
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        keys = self.scratch.save_bucketed(
-            "keys",
+        return self.scratch.keep(
             self.docs.select("text")
             .mapInArrow(rarest(self.order, self.percent), "x bigint, cid bigint")
-            .withColumn("salt", salt)
-            .repartition(n, "x", "salt"),
-            n,
-            keys=("x", "salt"),
-            sort_by=("x", "salt"),
-        )
-
-        def shared(rows: DataFrame, by: list[str]) -> DataFrame:
-            ends = rows.groupBy(*by).agg(
-                F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("n_x")
-            )
-            return ends.filter("low != high").drop("high")
-
-        rare, ranked = keys.filter("x < 0"), self.scratch.keep(keys.filter("x >= 0").drop("salt"))
-        met = rare.join(shared(rare, ["x", "salt"]), ["x", "salt"]).unionByName(
-            attach(
-                ranked, self.scratch.keep(shared(ranked, ["x"])), ["x"], "n_x", ranked.count(), "inner"
-            ).withColumn("salt", F.lit(0))
+            .repartition("x", salt)
+            .sortWithinPartitions("x", "cid")
+            .mapInArrow(shared_keys, "x bigint, cid bigint")
         )
-        return self.scratch.keep(met.select("x", "cid", "low").distinct())
 
     def paths(self, pairs: DataFrame) -> DataFrame:
         """``(cid, path)`` of the classes in ``pairs(a, b)``, from one document of each."""
@@ -309,13 +386,13 @@ class JaccardJoin:
             wanted = F.broadcast(wanted)
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
         texts = self.docs.join(wanted, same).select("cid", "text")
+        # rows of one id and text are one class's, and hold the same path
         return self.scratch.keep(
-            texts.mapInArrow(trie_paths(self.order), "cid bigint, path binary").dropDuplicates(["cid"])
+            texts.dropDuplicates(["cid"]).mapInArrow(trie_paths(self.order), "cid bigint, path binary")
         )
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs(a, b)`` that link; pairs are distinct and ``a`` is the probe."""
-        pairs = self.plausible(pairs)
+        """Those of ``pairs(a, b)`` that link; pairs are written, distinct, and ``a`` is the probe."""
         n_pairs = pairs.count()
         if not n_pairs:
             return pairs
@@ -336,69 +413,101 @@ class JaccardJoin:
             .select("a", "block", F.lit(None).cast("bigint").alias("b"))
             .join(paths.withColumnRenamed("cid", "a"), "a")
         )
-        return self.scratch.keep(
+        found = self.scratch.keep(
             sets.select("a", "block", "b", "path")
             .unionByName(probes.select("a", "block", "b", "path"))
             .repartition("a", "block")
             .sortWithinPartitions("a", "block", F.col("b").isNotNull(), "path")
             .mapInArrow(walk(self.percent), "a bigint, b bigint")
         )
+        self.scratch.drop(paths, per_probe)
+        return found
 
     def labels(self) -> DataFrame:
         """``(id, label)`` of the classes that link with another: equal labels are one component.
 
-        Links are looked for until no key has sets of two components that weren't compared. Centers
-        are taken in turn as long as they cost less than the pairs that are left.
+        Links are looked for until no key has sets of two components that weren't compared.
         """
-        met = self.meetings()
-        stars = met.filter("cid != low").select(F.col("low").alias("a"), F.col("cid").alias("b"))
-        tested = self.scratch.keep(stars.distinct())
-        labels = components(self.verify(tested), self.scratch)
-        rest = met.drop("low").join(self.classes.select("cid", "n"), "cid")
-        for turn in range(1, CENTERS + 1):
-            rest, rows, n_pairs = self.still_open(rest, labels)
-            if turn == CENTERS or n_pairs <= CENTERS * rows:
+        rest, labels, tested = self.meetings(), None, None
+        turn = 0
+        while True:
+            turn += 1
+            rest = self.still_open(rest, labels)
+            pairs = self.centers(rest, tested, turn)
+            links, n_pairs = self.verify(pairs), pairs.count()
+            labels = components(links, self.scratch) if labels is None else extended(labels, links, self.scratch)
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            if links.count() * PAYS <= n_pairs:
                 break
-            draw = F.struct(F.xxhash64(F.lit(turn), "cid").alias("draw"), "cid", "label")
-            center = rest.groupBy("x").agg(F.min(draw).alias("c"))
-            pairs = rest.join(self.scratch.keep(center), "x").filter("label != c.label").select(
-                F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")
+        rest = self.still_open(rest, labels)
+        return extended(labels, self.verify(self.remaining(rest, tested)), self.scratch)
+
+    def still_open(self, met: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """``(x, cid, label, n_x)`` of the keys at which components meet; n_x are a key's rows."""
+        rows, total = met.select("x", "cid"), met.count()
+        if labels is None:
+            labelled = rows.withColumn("label", F.col("cid"))
+        else:
+            labelled = rows.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
+            labelled = self.scratch.keep(labelled.withColumn("label", F.coalesce("label", "cid")))
+        keys = self.scratch.keep(
+            labelled.groupBy("x").agg(
+                F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
+            ).filter("low != high").select("x", "n_x")
+        )
+        opened = self.scratch.keep(attach(labelled, keys, ["x"], "n_x", total, "inner"))
+        self.scratch.drop(keys, labelled, met)
+        return opened
+
+    def centers(self, rest: DataFrame, tested: DataFrame | None, turn: int) -> DataFrame:
+        """``(a, b)`` that may link and weren't tested: for a class b the center a of its fullest key.
+
+        The first center of a key is the set whose keys have the most rows, as what others were copied from
+        has; later ones are drawn.
+        """
+        draw = F.xxhash64(F.lit(turn), "cid")
+        drawn = rest.withColumn("score", draw)
+        if turn == 1:
+            drawn = rest.join(rest.groupBy("cid").agg(F.sum("n_x").alias("score")), "cid")
+        best = F.max(F.struct("score", draw.alias("draw"), "cid", "label")).alias("c")
+        center = self.scratch.keep(
+            drawn.groupBy("x").agg(best, F.count("*").alias("_n")).select(
+                "x", "_n", F.col("c.cid").alias("a"), F.col("c.label").alias("label_a")
             )
-            pairs = self.scratch.keep(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-            tested = tested.unionByName(pairs)
-            labels = extended(labels, self.verify(pairs), self.scratch)
-            rest = rest.drop("label")
-        other = rest.select(
-            "x", F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("n_b")
         )
-        near = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (
-            F.col("n_b") * 100 >= F.col("n") * self.percent
+        met = attach(rest, center, ["x"], "_n", rest.count(), "inner").filter("label != label_a")
+        met = self.untested(met.select("a", F.col("cid").alias("b"), "n_x"), tested)
+        fullest = met.groupBy("b").agg(F.max(F.struct("n_x", "a")).alias("c")).select("c.a", "b")
+        return self.plausible(fullest)
+
+    def untested(self, pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+        """Rows of ``pairs(a, b)`` that aren't among ``tested``, whichever of both was the probe."""
+        if tested is None:
+            return pairs
+        ends = F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")
+        return pairs.select("*", *ends).join(tested.select(*ends), ["low", "high"], "left_anti").drop("low", "high")
+
+    def remaining(self, rest: DataFrame, tested: DataFrame) -> DataFrame:
+        """``(a, b)`` of different components that meet at a key, may link and weren't tested.
+
+        A key's sets are dealt over blocks, and every two blocks meet in a task of their own.
+        """
+        blocks = F.ceil(F.col("n_x") / BLOCK)
+        dealt = (
+            rest.join(self.classes.select("cid", "n", "sketch"), "cid")
+            .withColumn("blocks", blocks)
+            .withColumn("own", F.pmod(F.xxhash64("cid"), "blocks"))
+            .withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+            .withColumn("u", F.least("own", "k")).withColumn("v", F.greatest("own", "k"))
         )
         pairs = (
-            rest.join(other, "x")
-            .filter("label != label_b and cid < b")
-            .filter(near)
-            .select(F.col("cid").alias("a"), "b")
+            dealt.select("x", "u", "v", "own", "cid", "label", "n", "sketch")
+            .repartition("x", "u", "v")
+            .sortWithinPartitions("x", "u", "v", "n")
+            .mapInArrow(meet(self.percent), "a bigint, b bigint")
             .distinct()
         )
-        found = self.verify(pairs.join(tested, ["a", "b"], "left_anti"))
-        return extended(labels, found, self.scratch)
-
-    def still_open(self, met: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
-        """``(x, cid, n, label)`` of the keys at which components meet, its rows and its pairs."""
-        labelled = self.scratch.keep(
-            met.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
-            .withColumn("label", F.coalesce("label", "cid"))
-        )
-        keys = self.scratch.keep(
-            labelled.groupBy("x").agg(
-                F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n_x")
-            ).filter("low != high").select("x", "n_x")
-        )
-        pairs = F.sum(F.col("n_x") * (F.col("n_x") - 1) / 2)
-        rows, n_pairs = keys.agg(F.coalesce(F.sum("n_x"), F.lit(0)), F.coalesce(pairs, F.lit(0.0))).first()
-        opened = labelled.join(keys.select("x"), "x")
-        return self.scratch.keep(opened), rows, n_pairs
+        return self.scratch.keep(self.untested(pairs, tested))
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that lengths and count sketches don't rule out."""

@@ -6,12 +6,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rankloom.llm import forest
-from rankloom.llm import substrings, tokens
+from rankloom.llm import forest, substrings, tokens, trie_join
 from rankloom.llm.forest import search
 from rankloom.llm.importance import kth_largest, resample
 from rankloom.llm.line_dedup import dedup_lines
@@ -120,7 +120,11 @@ def test_near_duplicates_without_id(spark):
     assert kept == {(5, LONG): 1, (7, near): 1, (None, words(9, 30)): 1}
 
 
-def test_near_duplicates_of_many(spark):
+@pytest.mark.parametrize("block, pays, broadcast", [(2048, 4, 250_000), (4, 0, 0), (7, 1000, 250_000)])
+def test_near_duplicates_of_many(spark, monkeypatch, block, pays, broadcast):
+    monkeypatch.setattr(trie_join, "BLOCK", block)
+    monkeypatch.setattr(trie_join, "PAYS", pays)
+    monkeypatch.setattr(trie_join, "BROADCAST_CLASSES", broadcast)
     rng, rows = np.random.default_rng(5), []
     base = [words(100 + k, 60).split() for k in range(5)]
     for k in range(150):
@@ -132,6 +136,47 @@ def test_near_duplicates_of_many(spark):
     assert got == brute_groups(rows)
 
 
+def test_near_copies_of_a_long_text(spark):
+    """A group of copies that differ from each other, beside texts that share half of it."""
+    rng, base = np.random.default_rng(6), words(41, 120).split()
+    rows = [(0, words(42, 200_000), "s", "x"), (1, words(42, 199_000), "s", "x"), (5, " ".join(base), "s", "x")]
+    for k in range(300):
+        text = list(base)
+        text[int(rng.integers(0, 110))] = f"y{k}"
+        text[int(rng.integers(0, 110))] = f"z{k}"
+        rows.append((10 + k, " ".join(text if k % 3 else text[:60] + words(1000 + k, 60).split()), "s", "x"))
+    got = counted(tuple(r) for r in near_duplicate_groups(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == brute_groups(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_walk_of_a_trie(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for _ in range(60):
+        one = np.sort(rng.choice(40, int(rng.integers(1, 30)), replace=False))
+        sets += [one, np.unique(np.append(one[rng.random(len(one)) < 0.9], rng.integers(0, 40)))]
+    paths = sorted(s.astype(">u8").tobytes() for s in sets)
+    for probe in sets:
+        walked = trie_join.TrieWalk(probe.astype(np.uint64), percent)
+        for path in paths:
+            other = set(np.frombuffer(path, ">u8").tolist())
+            both = len(other & set(probe.tolist()))
+            assert walked.links(path) == (100 * both >= percent * (len(other) + len(probe) - both))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 1000])
+def test_shared_keys(size):
+    rng = np.random.default_rng(3)
+    rows = sorted(zip(rng.integers(-40, 5, 90).tolist(), rng.integers(0, 6, 90).tolist(), strict=True))
+    table = pa.table({"x": [r[0] for r in rows], "cid": [r[1] for r in rows]})
+    got = [
+        (r["x"], r["cid"]) for b in trie_join.shared_keys(iter(table.to_batches(size))) for r in b.to_pylist()
+    ]
+    classes = {x: {c for y, c in rows if y == x} for x, _ in rows}
+    assert got == [(x, c) for x in sorted(classes) for c in sorted(classes[x]) if x >= 0 or len(classes[x]) > 1]
+
+
 def brute_repeats(texts, length=200):
     seen = {}
     for b in texts:
