@@ -3,7 +3,8 @@
 A document is the set of its word shingles. Shingles get a global order, frequent ones first; a set
 is the sorted list of its codes, a path in a trie. Two sets that reach the threshold share one of
 the last ``n - ceil(t n) + 1`` codes of either, the rarest ones, so these are the keys by which sets
-meet. A probe walks the trie of the sets that meet it: they arrive in the order of a depth-first walk,
+meet. At the rarest code that they share, both have as many codes up to there as the overlap needs, which
+bounds the length of a partner by the place of the key. A probe walks the trie of the sets that meet it: they arrive in the order of a depth-first walk,
 take over the overlap counted on the path they share with the set before, and a subtree is skipped as
 soon as what remains of the probe can't reach the threshold with a set of any length.
 
@@ -44,6 +45,8 @@ CHUNK = 1 << 16
 RARE = np.uint64(1 << 63)
 #: Bins of the count sketch: 100 * sum of the bins' minima can't be below 100 * overlap.
 BINS = 128
+KEY_COLUMNS = ("x", "cid", "n", "most")
+KEYS = "x bigint, cid bigint, n int, most int"
 #: Classes whose texts are found by a broadcast (32 bytes each); more are found by a shuffle of the texts.
 BROADCAST_CLASSES = 250_000
 
@@ -121,7 +124,11 @@ def needed(n: int, percent: int) -> int:
 
 
 def rarest(order, percent: int):
-    """Mapper to ``(x, cid)``: the keys by which a set meets its partners."""
+    """Mapper to ``(x, cid, n, most)``: the keys by which a set meets its partners.
+
+    ``most`` is the length of the longest partner whose rarest shared code is the key: the overlap is at
+    most the number of codes up to the key, and has to be ``percent / (100 + percent)`` of both lengths.
+    """
 
     def run(batches):
         for _, sets in shingle_sets(batches):
@@ -132,37 +139,68 @@ def rarest(order, percent: int):
             ids, sets = ids[first], [sets[k] for k in first]
             if sets:
                 keys = [c[needed(len(c), percent) - 1 :] for c in order.value.codes(sets)]
+                lengths, of = np.array([len(s) for s in sets]), [len(k) for k in keys]
+                upto = np.concatenate([np.arange(needed(len(s), percent), len(s) + 1) for s in sets])
+                n = np.repeat(lengths, of)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "x": pa.array(np.concatenate(keys).view(np.int64)),
-                        "cid": pa.array(np.repeat(ids, [len(k) for k in keys])),
+                        "cid": pa.array(np.repeat(ids, of)),
+                        "n": pa.array(n.astype(np.int32)),
+                        "most": pa.array((upto * (100 + percent) // percent - n).astype(np.int32)),
                     }
                 )
 
     return run
 
 
-def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(x, cid)`` sorted by both: each once, and rare keys (below zero) only if two classes have them."""
-    last, out = None, False  # the last row so far, and whether it has left
-    for batch in batches:
-        x, cid = (batch.column(c).to_numpy() for c in ("x", "cid"))
-        if last is not None:
-            x, cid = np.concatenate([[last[0]], x]), np.concatenate([[last[1]], cid])
-        if not len(x):
-            continue
-        fresh = np.ones(len(x), bool)
-        fresh[1:] = (x[1:] != x[:-1]) | (cid[1:] != cid[:-1])
-        x, cid = x[fresh], cid[fresh]
-        leaves = x >= 0
-        again = x[1:] == x[:-1]
-        leaves[1:] |= again
-        leaves[:-1] |= again
-        gone = bool(leaves[-1]) or (len(x) == 1 and out)
-        if out:
-            leaves[0] = False
-        last, out = (x[-1], cid[-1]), gone
-        yield pa.RecordBatch.from_pydict({"x": pa.array(x[leaves]), "cid": pa.array(cid[leaves])})
+def kept_keys(rows: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Which rows of whole keys stay: ranked keys all, of rare ones those that a row of the key may link with."""
+    x, n, most = rows["x"], rows["n"].astype(np.int64), rows["most"]
+    same = x[1:] == x[:-1]
+    near = same & (n[:-1] * 100 >= n[1:] * percent)
+    starts = np.flatnonzero(np.concatenate([[True], ~same]))
+    two = starts[np.diff(np.append(starts, len(x))) == 2]
+    near[two] &= (n[two + 1] <= most[two]) & (n[two] <= most[two + 1])
+    stays = x >= 0
+    stays[1:] |= near
+    stays[:-1] |= near
+    return stays
+
+
+def shared_keys(percent: int):
+    """Mapper over rows ``(x, cid, n, most)`` sorted by x, n, cid: each once, and only those of :func:`kept_keys`.
+
+    Of a key with over ``CHUNK`` rows all stay, so that no key is held whole.
+    """
+
+    def run(batches):
+        held, hot = None, None
+        for batch in batches:
+            rows = {c: batch.column(c).to_numpy() for c in KEY_COLUMNS}
+            if held is not None:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in KEY_COLUMNS}
+            x, cid = rows["x"], rows["cid"]
+            if not len(x):
+                continue
+            fresh = np.ones(len(x), bool)
+            fresh[1:] = (x[1:] != x[:-1]) | (cid[1:] != cid[:-1])
+            rows = {c: rows[c][fresh] for c in KEY_COLUMNS}
+            x = rows["x"]
+            first = int(np.searchsorted(x, x[-1]))
+            stays = kept_keys(rows, percent)
+            if hot is not None:
+                stays[x == hot] = True
+            if len(x) - first < CHUNK and x[-1] != hot:
+                held, stays[first:] = {c: rows[c][first:] for c in KEY_COLUMNS}, False
+            else:
+                held, hot, stays[first:] = None, x[-1], True
+            yield pa.RecordBatch.from_pydict({c: pa.array(rows[c][stays]) for c in KEY_COLUMNS})
+        if held is not None:
+            stays = kept_keys(held, percent)
+            yield pa.RecordBatch.from_pydict({c: pa.array(held[c][stays]) for c in KEY_COLUMNS})
+
+    return run
 
 
 def needed_of_both(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
@@ -199,7 +237,8 @@ def pairs_of_keys(rows: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np
 
     Groups are sorted by length: where the next set is too long for one, all further ones are, too.
     """
-    x, u, v, own, label, n = (rows.column(c).to_numpy() for c in ("x", "u", "v", "own", "label", "n"))
+    x, u, v, own, label = (rows.column(c).to_numpy() for c in ("x", "u", "v", "own", "label"))
+    n, most = (rows.column(c).to_numpy().astype(np.int64) for c in ("n", "most"))
     bins, known = sketches(rows.column("sketch").combine_chunks())
     at, step = np.arange(len(x)), 1
     while len(at):
@@ -209,6 +248,7 @@ def pairs_of_keys(rows: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np
         at, to = at[near], to[near]
         # pairs within a block meet where the block meets itself only
         open_ = (label[at] != label[to]) & ((own[at] != own[to]) | (u[at] == v[at]))
+        open_ &= (n[to] <= most[at]) & (n[at] <= most[to])
         a, b = at[open_], to[open_]
         for k in range(0, len(a), CHUNK):
             one, two = a[k : k + CHUNK], b[k : k + CHUNK]
@@ -220,7 +260,7 @@ def pairs_of_keys(rows: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np
 
 
 def meet(percent: int):
-    """Mapper from ``(x, u, v, own, cid, label, n, sketch)``, sorted by x, u, v, n, to pairs ``(a, b)``."""
+    """Mapper from ``(x, u, v, own, cid, label, n, most, sketch)``, sorted by x, u, v, n, to pairs ``(a, b)``."""
 
     def pairs(rows):
         cid = rows.column("cid").to_numpy()
@@ -361,18 +401,18 @@ class JaccardJoin:
         )
 
     def meetings(self) -> DataFrame:
-        """``(x, cid)``: the keys of classes. Of rare keys only those that several classes have.
+        """``(x, cid, n, most)``: the keys of classes. Of rare keys only those by which two may link.
 
-        Keys are shuffled and sorted once; a task drops the rare ones of one class as they stream by.
+        Keys are shuffled and sorted once; a task drops the others as they stream by.
         Ranked codes, the only ones that very many sets can have, are spread by class.
         """
         salt = F.when(F.col("x") < 0, 0).otherwise(F.pmod("cid", F.lit(64))).cast("int")
         return self.scratch.keep(
             self.docs.select("text")
-            .mapInArrow(rarest(self.order, self.percent), "x bigint, cid bigint")
+            .mapInArrow(rarest(self.order, self.percent), KEYS)
             .repartition("x", salt)
-            .sortWithinPartitions("x", "cid")
-            .mapInArrow(shared_keys, "x bigint, cid bigint")
+            .sortWithinPartitions("x", "n", "cid")
+            .mapInArrow(shared_keys(self.percent), KEYS)
         )
 
     def paths(self, pairs: DataFrame) -> DataFrame:
@@ -443,8 +483,8 @@ class JaccardJoin:
         return extended(labels, self.verify(self.remaining(rest, tested)), self.scratch)
 
     def still_open(self, met: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """``(x, cid, label, n_x)`` of the keys at which components meet; n_x are a key's rows."""
-        rows, total = met.select("x", "cid"), met.count()
+        """``(x, cid, n, most, label, n_x)`` of the keys at which components meet; n_x are a key's rows."""
+        rows, total = met.select(*KEY_COLUMNS), met.count()
         if labels is None:
             labelled = rows.withColumn("label", F.col("cid"))
         else:
@@ -469,16 +509,18 @@ class JaccardJoin:
         drawn = rest.withColumn("score", draw)
         if turn == 1:
             drawn = rest.join(rest.groupBy("cid").agg(F.sum("n_x").alias("score")), "cid")
-        best = F.max(F.struct("score", draw.alias("draw"), "cid", "label")).alias("c")
+        best = F.max(F.struct("score", draw.alias("draw"), "cid", "label", "n", "most")).alias("c")
         center = self.scratch.keep(
             drawn.groupBy("x").agg(best, F.count("*").alias("_n")).select(
-                "x", "_n", F.col("c.cid").alias("a"), F.col("c.label").alias("label_a")
+                "x", "_n", F.col("c.cid").alias("a"), F.col("c.label").alias("label_a"),
+                F.col("c.n").alias("n_a"), F.col("c.most").alias("most_a"),
             )
         )
-        met = attach(rest, center, ["x"], "_n", rest.count(), "inner").filter("label != label_a")
-        met = self.untested(met.select("a", F.col("cid").alias("b"), "n_x"), tested)
-        fullest = met.groupBy("b").agg(F.max(F.struct("n_x", "a")).alias("c")).select("c.a", "b")
-        return self.plausible(fullest)
+        met = attach(rest, center, ["x"], "_n", rest.count(), "inner").filter(
+            "label != label_a and n <= most_a and n_a <= most"
+        )
+        fullest = met.groupBy(F.col("cid").alias("b")).agg(F.max(F.struct("n_x", "a")).alias("c"))
+        return self.plausible(self.untested(fullest.select("c.a", "b"), tested))
 
     def untested(self, pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
         """Rows of ``pairs(a, b)`` that aren't among ``tested``, whichever of both was the probe."""
@@ -494,14 +536,14 @@ class JaccardJoin:
         """
         blocks = F.ceil(F.col("n_x") / BLOCK)
         dealt = (
-            rest.join(self.classes.select("cid", "n", "sketch"), "cid")
+            rest.join(self.classes.select("cid", "sketch"), "cid")
             .withColumn("blocks", blocks)
             .withColumn("own", F.pmod(F.xxhash64("cid"), "blocks"))
             .withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
             .withColumn("u", F.least("own", "k")).withColumn("v", F.greatest("own", "k"))
         )
         pairs = (
-            dealt.select("x", "u", "v", "own", "cid", "label", "n", "sketch")
+            dealt.select("x", "u", "v", "own", "cid", "label", "n", "most", "sketch")
             .repartition("x", "u", "v")
             .sortWithinPartitions("x", "u", "v", "n")
             .mapInArrow(meet(self.percent), "a bigint, b bigint")

@@ -166,15 +166,32 @@ def test_walk_of_a_trie(percent):
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 1000])
-def test_shared_keys(size):
+@pytest.mark.parametrize("chunk", [3, 1000])
+def test_shared_keys(monkeypatch, size, chunk):
+    """Rows by which two classes may link stay; of the others, those of rare keys of one class go."""
+    monkeypatch.setattr(trie_join, "CHUNK", chunk)
     rng = np.random.default_rng(3)
-    rows = sorted(zip(rng.integers(-40, 5, 90).tolist(), rng.integers(0, 6, 90).tolist(), strict=True))
-    table = pa.table({"x": [r[0] for r in rows], "cid": [r[1] for r in rows]})
+    lengths = {c: (int(rng.integers(50, 100)), int(rng.integers(-8, 20))) for c in range(9)}
+    rows = {(int(x), int(c)) for x, c in zip(rng.integers(-40, 5, 150), rng.integers(0, 9, 150), strict=True)}
+    rows = sorted((x, lengths[c][0], c) for x, c in rows for _ in range(1 + c % 2))
+    table = pa.table({
+        "x": [r[0] for r in rows], "cid": [r[2] for r in rows],
+        "n": pa.array([r[1] for r in rows], pa.int32()),
+        "most": pa.array([r[1] + lengths[r[2]][1] for r in rows], pa.int32()),
+    })
     got = [
-        (r["x"], r["cid"]) for b in trie_join.shared_keys(iter(table.to_batches(size))) for r in b.to_pylist()
+        (r["x"], r["cid"]) for b in trie_join.shared_keys(80)(iter(table.to_batches(size))) for r in b.to_pylist()
     ]
-    classes = {x: {c for y, c in rows if y == x} for x, _ in rows}
-    assert got == [(x, c) for x in sorted(classes) for c in sorted(classes[x]) if x >= 0 or len(classes[x]) > 1]
+    must = {(x, c) for x, _, c in rows if x >= 0}
+    for x, n, c in rows:
+        for y, m, d in rows:
+            if (x, 1) == (y, int(c != d)) and n <= m + lengths[d][1] and m <= n + lengths[c][1]:
+                if 100 * min(n, m) >= 80 * max(n, m):
+                    must.add((x, c))
+    assert must <= set(got) <= {(x, c) for x, _, c in rows}
+    if chunk > 3:
+        classes = {x: {c for y, _, c in rows if y == x} for x, _, _ in rows}
+        assert len(got) == len(set(got)) and all(x >= 0 or len(classes[x]) > 1 for x, _ in got)
 
 
 def brute_repeats(texts, length=200):
