@@ -520,7 +520,9 @@ class JaccardJoin:
             "label != label_a and n <= most_a and n_a <= most"
         )
         fullest = met.groupBy(F.col("cid").alias("b")).agg(F.max(F.struct("n_x", "a")).alias("c"))
-        return self.plausible(self.untested(fullest.select("c.a", "b"), tested))
+        pairs = self.plausible(self.untested(fullest.select("c.a", "b"), tested))
+        self.scratch.drop(center)
+        return pairs
 
     def untested(self, pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
         """Rows of ``pairs(a, b)`` that aren't among ``tested``, whichever of both was the probe."""
@@ -549,7 +551,9 @@ class JaccardJoin:
             .mapInArrow(meet(self.percent), "a bigint, b bigint")
             .distinct()
         )
-        return self.scratch.keep(self.untested(pairs, tested))
+        pairs = self.scratch.keep(self.untested(pairs, tested))
+        self.scratch.drop(rest)
+        return pairs
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that lengths and count sketches don't rule out."""
