@@ -57,15 +57,16 @@ def _authority(scheme: Column, authority: Column) -> Column:
 def _without_dots(path: Column) -> Column:
     """The path after its segments ``.`` and ``..``, from the root."""
     segments = F.split(F.regexp_replace(path, "^/", ""), "/")
-    empty = F.slice(segments, 1, 0)
     kept = F.aggregate(
-        segments, empty,
+        segments, F.lit(""),
         lambda acc, s: F.when(s == ".", acc)
-        .when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-        .otherwise(F.concat(acc, F.array(s))),
+        .when(s == "..", F.regexp_replace(acc, "/[^/]*$", ""))
+        .otherwise(F.concat(acc, F.lit("/"), s)),
     )
-    ends_open = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
-    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends_open, "/").otherwise(""))
+    open_end = (kept == "") | F.element_at(segments, -1).isin(".", "..")
+    dotted = path.rlike(r"(^|/)\.\.?(/|$)")
+    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    return F.when(dotted, F.concat(kept, F.when(open_end, "/").otherwise(""))).otherwise(rooted)
 
 
 def _composed(scheme: Column, authority: Column, path: Column, query: Column) -> Column:
