@@ -11,23 +11,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.urls import canonical_url as web_form
 from .common import Scratch
 
 #: Headers that a not-modified answer may change in what is stored (fixed values).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 
 
+def _unescaped(url: Column) -> Column:
+    """Escapes of letters, digits and ``-._~`` as these characters, other escapes in upper case."""
+    escapes = F.array_distinct(F.regexp_extract_all(url, F.lit("%[0-9A-Fa-f]{2}"), F.lit(0)))
+
+    def form(escape: Column) -> Column:
+        sign = F.char(F.conv(F.substring(escape, 2, 2), 16, 10).cast("bigint"))
+        return F.when(sign.rlike(r"^[A-Za-z0-9._~-]$"), sign).otherwise(F.upper(escape))
+
+    spelled = F.aggregate(escapes, url, lambda done, e: F.replace(done, e, form(e)))
+    return F.when(url.contains("%"), spelled).otherwise(url)
+
+
 def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, no default port, no fragment, a path at least; else null."""
-    part = lambda n: F.regexp_extract(F.trim(url), r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)", n)
-    scheme, host, rest = F.lower(part(1)), F.lower(part(2)), part(3)
-    host = (
-        F.when(scheme == "http", F.regexp_replace(host, ":80$", ""))
-        .when(scheme == "https", F.regexp_replace(host, ":443$", ""))
-        .otherwise(host)
-    )
+    """One form of equal addresses, a path at least and no fragment; null without scheme and host.
+
+    Of http and https the host is in lower case without a last dot, the user is as it was, an empty or
+    default port and the segments ``.`` and ``..`` are gone, and escapes that need none are characters.
+    Of other schemes only scheme and host change.
+    """
+    url = _unescaped(F.trim(url))
+    part = lambda n: F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^#]*)", n)
+    scheme, host, rest = F.lower(part(1)), part(2), part(3)
     path = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when(host != "", F.concat(scheme, F.lit("://"), host, path))
+    user = F.regexp_extract(host, "^(.*@)?", 1)
+    site = F.lower(F.regexp_replace(host, "^.*@", ""))
+    other = F.concat(scheme, F.lit("://"), user, site, path)
+    return F.when(host == "", None).when(scheme.isin("http", "https"), web_form(url)).otherwise(other)
 
 
 def lower_names(headers: Column) -> Column:

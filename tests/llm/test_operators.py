@@ -17,7 +17,7 @@ from rankloom.llm.importance import kth_largest, resample
 from rankloom.llm.line_dedup import dedup_lines
 from rankloom.llm.mixing import mix_sources
 from rankloom.llm.packing import pack, pack_documents, step_groups
-from rankloom.llm.revisits import resolve_revisits
+from rankloom.llm.revisits import canonical_url, resolve_revisits
 from rankloom.llm.substrings import remove_repeats
 from rankloom.llm.token_files import read_token_files, write_token_files
 from rankloom.llm.tokens import Encoder
@@ -432,6 +432,40 @@ def test_revisits(spark):
     assert resolve_revisits(table.limit(0)).count() == 0
 
 
+def test_canonical_url(spark):
+    forms = {
+        "http://User:Pw@Host:80/a/./b/../c?q=1#top": "http://User:Pw@host/a/c?q=1",
+        " HTTPS://host.:443 ": "https://host/",
+        "https://host:?q": "https://host/?q",
+        "http://host/%7Eme/%2fx/%41": "http://host/~me/%2Fx/A",
+        "http://host/../../x/": "http://host/x/",
+        "FTP://Me@Host/a/../b": "ftp://Me@host/a/../b",
+        "http://host/" + "y/" * 50_000: "http://host/" + "y/" * 50_000,
+        "http:///x": None, "/x": None, "": None, "no address": None, None: None,
+    }
+    table = spark.createDataFrame([(u,) for u in forms], "url string")
+    got = {r.url: r.form for r in table.select("url", canonical_url(F.col("url")).alias("form")).collect()}
+    assert got == forms
+    again = spark.createDataFrame([(u,) for u in forms.values() if u], "url string")
+    assert all(r.url == r.form for r in again.select("url", canonical_url(F.col("url")).alias("form")).collect())
+
+
+def test_revisits_of_one_address(spark):
+    """Spellings of one address meet; own columns that are called like the operator's play no part."""
+    schema = "record_id bigint, kind string, url string, ts bigint, status int, headers map<string,string>"
+    rows = [
+        (1, "response", "http://Me@a.org./x/../~y", 10, 200, None),
+        (2, "revisit", "http://Me@A.org:80/%7ey#z", 20, 304, None),
+        (3, "revisit", "http://me@a.org/~y", 20, 304, None),
+        (4, "revisit", "http://a.org/" + "z" * 2_000_000, 20, 304, {}),
+    ]
+    table = spark.createDataFrame(rows, schema)
+    names = ("part", "found", "handed", "several", "end", "is_response", "response_id", "outcome")
+    for records in (table, table.select("*", *[F.lit(c).alias(c) for c in names])):
+        got = {r.record_id: r.response_id for r in resolve_revisits(records).collect()}
+        assert got == {2: 1, 3: None, 4: None}
+
+
 def test_search(spark):
     rng = np.random.default_rng(6)
     points = rng.normal(size=(700, 8)).astype(float)
