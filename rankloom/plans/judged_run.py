@@ -28,7 +28,7 @@ def run_judged_queries(
 
     All queries are scored in one job; those without results count with precision 0.
     """
-    queries, judgments = read_judged_queries(workspace.spark, queries_path)
+    queries, judgments = read_judged_queries(workspace.spark, queries_path, workspace)
     scores = tfidf(index, query_batch(queries, index), field)
     runs = workspace.save("judged_runs", top_k(scores, k))
     per_query = evaluation.query_report(runs, judgments, queries, k)

@@ -22,11 +22,33 @@ def test_judged_queries(spark, tmp_path):
     assert found == {(0, 5), (0, 7), (1, 9), (1, None)}
 
 
-def test_bad_judged_queries_fail(spark, tmp_path):
+def test_judged_queries_in_many_splits(spark, tmp_path):
+    """Brackets, quotes and escapes in queries, null lists, and cuts of the file at any place."""
+    odd = ['a] "b', "\\", 'x\\"], "y": [1', "]]", "[", "}", "é ] \n{", "", "no list", "z" * 3000 + "]"]
+    asked = {f"{q}{k}": None if q == "no list" else [str(k), f"{k}1"] for k in range(12) for q in odd}
+    path = tmp_path / "many.json"
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for indent, split in ((None, "1000"), (2, "7000"), (None, size)):
+            path.write_text(json.dumps(asked, indent=indent))
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            queries, judgments = read_judged_queries(spark, str(path))
+            assert [tuple(r) for r in queries.orderBy("qid").collect()] == list(enumerate(asked))
+            want = sorted((k, int(i)) for k, ids in enumerate(asked.values()) for i in ids or [])
+            assert sorted(map(tuple, judgments.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+@pytest.mark.parametrize("text", ["", "{not json", '{"a": ["1"]', '{"a": ["1"] "b": []}', '"a": []}', '{"a": [1], "b'])
+def test_bad_judged_queries_fail(spark, tmp_path, text):
     path = tmp_path / "broken.json"
-    path.write_text("{not json")
+    path.write_text(text)
     with pytest.raises(Exception, match="not a JSON object"):
         read_judged_queries(spark, str(path))[0].collect()
+
+
+def test_missing_judged_queries_fail(spark, tmp_path):
     with pytest.raises(Exception):
         read_judged_queries(spark, str(tmp_path / "missing.json"))[0].collect()
 
