@@ -470,6 +470,19 @@ ORACLES: dict[str, str] = {
 ORACLES["page_rank_round_trip"] = ORACLES["page_rank"]
 ORACLES["report_round_trip"] = ORACLES["eval_p_at_k_fixed"]
 
+ORACLES["page_rank_normalized"] = statement(
+    LINKS, RANKS,
+    select="SELECT doc_id, round(pagerank / max(pagerank) OVER (), 9) AS pagerank FROM page_rank",
+)
+# A file of judged queries numbers them by their place.
+PLACED = """(SELECT item_id, coalesce(text, '') AS query, row_number() OVER (ORDER BY item_id) - 1 AS pos
+    FROM benchmark)"""
+ORACLES["judged_query_run"] = f"""SELECT p.pos AS qid, r.* EXCLUDE (qid)
+    FROM ({ORACLES["eval_p_at_k_fixed"]}) r JOIN {PLACED} p ON p.item_id = r.qid"""
+ORACLES["judged_queries_round_trip"] = f"""SELECT p.pos AS qid, p.query,
+        coalesce(string_agg(j.doc_id::VARCHAR, ',' ORDER BY j.doc_id), '') AS ids
+    FROM {PLACED} p LEFT JOIN ({ORACLES["judgments"]}) j ON j.qid = p.item_id GROUP BY ALL"""
+
 # Other ways to the same rows
 ORACLES["query_postings_from_blocks"] = ORACLES["query_postings"]
 ORACLES["tfidf_topk_pruned"] = ORACLES["tfidf_topk"]

@@ -13,10 +13,12 @@ from ..operators import blocks, evaluation, fusion, lookups, pages, pagerank, ra
 from ..operators import index as indexing
 from ..operators.joins import join_vocabulary
 from ..operators.judgments import containing_documents
+from ..sources.judged_queries import read_judged_queries, write_judged_queries
 from ..sources.page_rank_files import read_page_rank
 from ..sources.report import write_tables
 from ..sources.workspace import Workspace, bucket_count, spread
 from ..streaming.live_index import LiveIndex
+from .judged_run import run_judged_queries
 from .search import Searcher
 
 MONTH = ("2024-01-01", "2024-02-01")
@@ -520,6 +522,15 @@ def page_rank_round_trip(t: Tables) -> DataFrame:
     return back.select("doc_id", F.round("pagerank", 9).alias("pagerank"))
 
 
+@registered
+def page_rank_normalized(t: Tables) -> DataFrame:
+    """Page rank from files, as a share of the largest one."""
+    folder = Workspace(t.spark).path("page_rank_files")
+    t.page_rank.select("doc_id", "pagerank").write.option("compression", "gzip").csv(folder)
+    back = read_page_rank(t.spark, folder, normalize=True)
+    return back.select("doc_id", F.round("pagerank", 9).alias("pagerank"))
+
+
 @registered
 def pagerank_lookup(t: Tables) -> DataFrame:
     found = lookups.pagerank_of(t.ids, t.page_rank)
@@ -583,6 +594,27 @@ def report_round_trip(t: Tables) -> DataFrame:
     return back.withColumns({c: F.array_join(c, ",") for c in ("hit_ids", "retrieved_ids")})
 
 
+@registered
+def judged_queries_round_trip(t: Tables) -> DataFrame:
+    """The benchmark and its judgments written as one JSON object and read back."""
+    folder = Workspace(t.spark).path("judged_queries")
+    write_judged_queries(t.queries, t.judgments, folder)
+    queries, judgments = read_judged_queries(t.spark, folder)
+    ids = judgments.groupBy("qid").agg(F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("ids"))
+    return queries.join(ids, "qid", "left").select("qid", "query", F.coalesce("ids", F.lit("")).alias("ids"))
+
+
+@registered
+def judged_query_run(t: Tables) -> DataFrame:
+    """The whole test: a judged-query file is read, searched, evaluated and reported."""
+    workspace = Workspace(t.spark)
+    write_judged_queries(t.queries, t.judgments, workspace.path("judged_queries"))
+    per_query, _ = run_judged_queries(
+        t.doc_index, workspace.path("judged_queries"), workspace, workspace.path("report")
+    )
+    return per_query.withColumns({c: F.array_join(c, ",") for c in ("hit_ids", "retrieved_ids")})
+
+
 @registered
 def eval_recall(t: Tables) -> DataFrame:
     return evaluation.recall_at_k(*t.evaluated, 30)

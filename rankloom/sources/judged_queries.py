@@ -1,4 +1,4 @@
-"""Reader of judged queries: a JSON object that maps a query to a list of document ids.
+"""Judged queries: a JSON object that maps a query to a list of document ids, read and written.
 
 The file is cut at its closing brackets, so that many tasks read it. A bracket within a string is told
 from the end of a list by the quotes before it in the whole file; those are counted in every block of the
@@ -42,14 +42,15 @@ def read_judged_queries(
 ) -> tuple[DataFrame, DataFrame]:
     """``queries(qid, query)`` in file order and ``judgments(qid, doc_id)``.
 
-    The file is read when this is called. A missing file or invalid JSON fails; so does an empty file. Ids
+    ``path`` is a file, or a folder of part files that make one object in the order of their names, as
+    :func:`write_judged_queries` leaves it. It is read when this is called. A missing file or invalid JSON fails; so does an empty file. Ids
     that are no numbers become null; a null list holds no ids. An entry is in one task as a whole.
     """
     workspace = workspace or Workspace(spark)
     pieces = workspace.save(
         "judged_pieces",
         spark.read.text(path, lineSep="]").select(
-            F.col("_metadata.file_block_start").alias("block"),
+            F.concat("_metadata.file_path", F.format_string(":%020d", "_metadata.file_block_start")).alias("block"),
             F.monotonically_increasing_id().alias("seq"),
             "value",
             F.length(F.regexp_replace("value", r'(?s)\\.|[^"\\]', "")).cast("bigint").alias("quotes"),
@@ -59,6 +60,8 @@ def read_judged_queries(
         raise ValueError(f"{path}: not a JSON object of id lists")
     opens = (F.col("quotes_before") % 2 == 0).cast("bigint")
     placed = _with_earlier(pieces, F.col("quotes"), "quotes_before").withColumn("opens", opens)
+    # a part file ends with a line break behind its last list
+    placed = placed.filter((F.col("opens") == 0) | F.col("value").rlike(r"[^ \t\r\n]"))
     numbered = _with_earlier(placed, F.col("opens"), "opened")
     # an entry is a piece and those behind it that begin within a string
     texts = numbered.groupBy((F.col("opened") + F.col("opens")).alias("number")).agg(
@@ -94,3 +97,30 @@ def read_judged_queries(
         "qid", F.expr("try_cast(_id AS bigint)").alias("doc_id")
     )
     return listed.select("qid", "query"), judgments
+
+
+def write_judged_queries(queries: DataFrame, judgments: DataFrame, path: str) -> None:
+    """Write ``queries(qid, query)`` with the ids of ``judgments(qid, doc_id)`` as one JSON object.
+
+    Each qid has one row. The object is cut into part files in ascending order of qid, an entry a line; put one behind the other
+    they are a JSON file. A query without judgments has an empty list, a null query the empty text; repeated
+    queries stay apart. Ids are ascending strings.
+    """
+    ids = judgments.groupBy("qid").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    entries = queries.join(ids, "qid", "left").select(
+        "qid",
+        F.coalesce("query", F.lit("")).alias("query"),
+        F.coalesce(F.col("ids").cast("array<string>"), F.array().cast("array<string>")).alias("ids"),
+    )
+    entry = F.to_json(F.create_map("query", "ids"))
+    ends = queries.agg(F.min("qid").alias("first"), F.max("qid").alias("last")).first()
+    if ends["first"] is None:
+        queries.sparkSession.createDataFrame([("{}",)], "line string").write.text(path)
+        return
+    line = F.concat(
+        F.when(F.col("qid") == ends["first"], "{").otherwise(","),
+        F.substr(entry, F.lit(2), F.length(entry) - 2),
+        F.when(F.col("qid") == ends["last"], "}").otherwise(""),
+    )
+    in_order = entries.repartitionByRange("qid").sortWithinPartitions("qid")
+    in_order.select(line.alias("line")).write.text(path)

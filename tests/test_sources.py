@@ -6,7 +6,7 @@ import pytest
 
 from rankloom.operators import evaluation as ev
 from rankloom.sources import workspace as ws
-from rankloom.sources.judged_queries import read_judged_queries
+from rankloom.sources.judged_queries import read_judged_queries, write_judged_queries
 from rankloom.sources.page_rank_files import read_page_rank
 from rankloom.sources.report import write_report
 
@@ -48,6 +48,22 @@ def test_bad_judged_queries_fail(spark, tmp_path, text):
         read_judged_queries(spark, str(path))[0].collect()
 
 
+def test_judged_queries_written_in_parts(spark, tmp_path):
+    asked = [(5 * k, None if k == 7 else f'q] {k}", \n') for k in range(40)]
+    queries = spark.createDataFrame(asked, "qid long, query string").repartition(8)
+    judged = [(q, d) for q, _ in asked for d in range(q % 4)]
+    judgments = spark.createDataFrame(judged, "qid long, doc_id long")
+    write_judged_queries(queries, judgments, str(tmp_path / "parts"))
+    parts = sorted((tmp_path / "parts").glob("part-*"))
+    whole = json.loads("".join(p.read_text() for p in parts))
+    assert list(whole) == [q or "" for _, q in asked]
+    back, ids = read_judged_queries(spark, str(tmp_path / "parts"))
+    assert [tuple(r) for r in back.orderBy("qid").collect()] == [(k, q or "") for k, (_, q) in enumerate(asked)]
+    assert sorted(map(tuple, ids.collect())) == sorted((q // 5, d) for q, d in judged)
+    write_judged_queries(queries.limit(0), judgments, str(tmp_path / "none"))
+    assert read_judged_queries(spark, str(tmp_path / "none"))[0].count() == 0
+
+
 def test_missing_judged_queries_fail(spark, tmp_path):
     with pytest.raises(Exception):
         read_judged_queries(spark, str(tmp_path / "missing.json"))[0].collect()
