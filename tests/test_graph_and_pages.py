@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators import index as ix
+from rankloom.operators import judgments as judging
 from rankloom.operators import lookups, pages
 from rankloom.operators.judgments import containing_documents
 from rankloom.operators.pagerank import pagerank
@@ -129,7 +130,11 @@ def test_lookups_keep_order_and_duplicates(spark, bounded):
     assert lookups.pagerank_of(empty, ranks, bounded=bounded).count() == 0
 
 
-def test_containing_documents_equals_brute_force(spark):
+@pytest.mark.parametrize("limits", [None, (40, 0)])
+def test_containing_documents_equals_brute_force(spark, monkeypatch, limits):
+    if limits:
+        monkeypatch.setattr(judging, "AUTOMATON_BYTES", limits[0])
+        monkeypatch.setattr(judging, "BROADCAST_ROWS", limits[1])
     passages = {
         0: "quick brown foxes jump over",
         1: "lazy dogs\nsleep deeply today",
@@ -141,6 +146,11 @@ def test_containing_documents_equals_brute_force(spark):
         7: "is it and that is",
         8: "sleep deep",
         9: None,
+        10: "",
+        11: "the",
+        12: "is it and that is",
+        13: ", ",
+        14: "it and",
     }
     docs = {
         0: "the quick brown foxes jump over fences",
@@ -151,11 +161,15 @@ def test_containing_documents_equals_brute_force(spark):
         5: "common",
         6: "",
         7: "so is it and that is, they say",
+        8: None,
+        9: "é, the " * 50_000 + "is it and that",
     }
     documents = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     asked = spark.createDataFrame(list(passages.items()), "qid long, query string")
     index = ix.build_index({"body": documents}, Workspace(spark))
-    found = containing_documents(asked, documents, index, Workspace(spark)).collect()
+    table = containing_documents(asked, documents, index, Workspace(spark))
+    assert "NestedLoop" not in table._jdf.queryExecution().executedPlan().toString()
+    found = table.collect()
     assert sorted((r.qid, r.doc_id) for r in found) == sorted(
-        (q, d) for q, p in passages.items() for d, t in docs.items() if p is not None and p in t
+        (q, d) for q, p in passages.items() for d, t in docs.items() if None not in (p, t) and p in t
     )
