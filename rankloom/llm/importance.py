@@ -38,8 +38,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     texts = np.arange(len(offsets) - 1)
     of_words = np.repeat(texts, np.diff(first))
     of_pairs = np.repeat(texts, np.diff(where))
-    both = np.concatenate([words, pairs]) % np.uint64(FEATURES)
-    return both.astype(np.int64), np.concatenate([of_words, of_pairs])
+    real = np.diff(first)[of_pairs] > 1  # the shingle of a single word is that word
+    both = np.concatenate([words, pairs[real]]) % np.uint64(FEATURES)
+    return both.astype(np.int64), np.concatenate([of_words, of_pairs[real]])
 
 
 def counts(batches):
