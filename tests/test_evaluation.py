@@ -16,6 +16,7 @@ def value(df, column):
     return df.first()[column]
 
 
+# What the metrics give for these lists.
 @pytest.mark.parametrize(
     "metric, relevant, retrieved, k, expected",
     [
