@@ -14,17 +14,20 @@ anchor are one run of consecutive positions.
    task; where an anchor has over ``GROUP`` runs, Spark groups a row per position instead.
 
 Ranks are hashes, so they need no global sort. Of equal texts one takes part; all are removed whole. Hashes of texts, anchors, runs and pairs have 64 bits: of
-n different ones about n^2 / 2^65 pairs are expected to be confused.
+n different ones about n^2 / 2^65 pairs are expected to be confused. They are drawn anew for each run, so no rows can be made to collide.
 """
 
 from __future__ import annotations
 
+import secrets
+from functools import lru_cache, partial
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, attach, column_or_null, mix, roller, text_slices
+from .common import Roller, Scratch, attach, column_or_null, mix, text_slices
 
 LENGTH = 200
 GRAM = 32
@@ -36,6 +39,18 @@ GROUP = 4096
 SLICE = 1 << 20
 
 
+@lru_cache(maxsize=1)
+def drawn(seed: int) -> Roller:
+    """The hashes of one run."""
+    return Roller(seed)
+
+
+def text_key(text: Column, seed: int) -> Column:
+    """64 bits of a SHA-256 over the seed and the text; xxhash64 gives one value to texts made for it."""
+    digest = F.sha2(F.concat(F.lit(f"{seed:016x}"), text), 256)
+    return F.conv(F.substring(digest, 1, 16), 16, -10).cast("bigint")
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least of each ``width`` values in a row, by doubling."""
     have = 1
@@ -46,9 +61,8 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def runs_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
+def runs_of(data: np.ndarray, one: Roller) -> tuple[np.ndarray, ...]:
     """First position, number of positions, anchor hash and hash of all bytes of the runs of a text."""
-    one = roller(21)
     sums = one.sums(data)
     at = np.arange(len(data) - GRAM + 1)
     grams = one.hashes(sums, at, at + GRAM)
@@ -82,14 +96,14 @@ def leftmost(grams: np.ndarray, least: np.ndarray) -> np.ndarray:
 RUNS = "t bigint, first int, n int, anchor bigint, whole bigint"
 
 
-def runs(batches):
+def runs(batches, seed: int):
     """The runs of every text of at least ``LENGTH`` bytes."""
     for rows, data, offsets in text_slices(batches, limit=SLICE):
         found, which = [], []
         for k in range(len(offsets) - 1):
             text = data[offsets[k] : offsets[k + 1]]
             if len(text) >= LENGTH:
-                found.append(runs_of(text))
+                found.append(runs_of(text, drawn(seed)))
                 which.append(np.full(len(found[-1][0]), k))
         if found:
             first, n, anchor, whole = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -110,11 +124,11 @@ def pairs_at(one, sums: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(head * np.uint64(3) + mix(tail))
 
 
-def rank_pairs(batches):
+def rank_pairs(batches, seed: int):
     """From the bytes of runs ``(pair, t, at, open)``, a row per position."""
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        one, n = roller(22), np.array([len(x) - LENGTH + 1 for x in texts], np.int64)
+        one, n = drawn(seed), np.array([len(x) - LENGTH + 1 for x in texts], np.int64)
         if not len(n):
             continue
         start = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
@@ -151,7 +165,7 @@ def run_bytes(batches):
             )
 
 
-def paired(batches):
+def paired(batches, seed: int):
     """From the runs sorted by anchor and place, ``(t, first, n)`` of the repeated positions of open runs."""
 
     def judge(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -164,7 +178,7 @@ def paired(batches):
         start = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
         run, where = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
         place = np.arange(n.sum()) - np.repeat(where, n)
-        one = roller(22)
+        one = drawn(seed)
         pair = pairs_at(one, one.sums(data), place + np.repeat(start, n))
         _, group, count = np.unique(pair, return_inverse=True, return_counts=True)
         is_open = rows.column("open").to_numpy(zero_copy_only=False)
@@ -247,9 +261,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Columns other than doc_id and text aren't read.
     """
     scratch = Scratch(docs.sparkSession)
+    seed = secrets.randbits(60)
     text = F.coalesce(column_or_null(docs, "text", "string"), F.lit(""))
     texts = docs.select(
-        column_or_null(docs, "doc_id", "bigint").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text")
+        column_or_null(docs, "doc_id", "bigint").alias("doc_id"), text_key(text, seed).alias("t"), text.alias("text")
     )
     copied = (
         texts.groupBy("t").agg(F.count("*").alias("n"), F.min("doc_id").alias("one"))
@@ -260,7 +275,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     single = with_runs(texts, copied, scratch, ["t"], "left").filter(
         F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("one"))
     )
-    every = scratch.keep(single.select("t", "text").mapInArrow(runs, RUNS))
+    every = scratch.keep(single.select("t", "text").mapInArrow(partial(runs, seed=seed), RUNS))
     shared = scratch.keep(several(every, "anchor"))
     alive = scratch.keep(
         attach(every, shared, ["anchor"], "n_key", every.count(), "inner").drop("n_key").distinct()
@@ -291,11 +306,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     in_groups = (
         strings.join(large, "anchor", "left_anti")
         .repartition("anchor").sortWithinPartitions("anchor", "t", "first")
-        .mapInArrow(paired, "t bigint, first int, n int")
+        .mapInArrow(partial(paired, seed=seed), "t bigint, first int, n int")
     )
     pairs = scratch.keep(
         strings.join(large, "anchor", "left_semi")
-        .mapInArrow(rank_pairs, "pair bigint, t bigint, at int, open boolean").distinct()
+        .mapInArrow(partial(rank_pairs, seed=seed), "pair bigint, t bigint, at int, open boolean").distinct()
     )
     hits = attach(
         pairs.filter("open").drop("open"), scratch.keep(several(pairs, "pair")), ["pair"], "n_key",

@@ -222,6 +222,33 @@ def test_repeats(spark, docs, none, monkeypatch, group):
     assert remove_repeats(none).count() == 0
 
 
+def xxhash_twin(text, seed=42):
+    """An ASCII text with the XXH64 of ``text``: its first lane differs, the one 32 bytes on makes up for it."""
+    p1, p2, full = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, (1 << 64) - 1
+
+    def one_round(lane):
+        x = (seed + p1 + p2 + lane * p2) & full
+        return (x << 31 | x >> 33) * p1 & full
+
+    data = text.encode()
+    first, second = (int.from_bytes(data[a : a + 8], "little") for a in (0, 32))
+    for k in range(100_000):
+        other = b"%08d" % k
+        gap = one_round(first) - one_round(int.from_bytes(other, "little"))
+        lane = ((second + gap * pow(p2, -1, 1 << 64)) & full).to_bytes(8, "little")
+        if max(lane) < 128 and min(lane) >= 32:
+            return (other + data[8:32] + lane + data[40:]).decode()
+
+
+def test_repeats_of_texts_with_one_xxhash(spark):
+    text = "".join(chr(97 + (k * k * 7 + k // 3) % 26) for k in range(260))
+    rows = [(1, text), (2, xxhash_twin(text)), (3, "other " * 30)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert table.filter("doc_id < 3").select(F.xxhash64("text")).distinct().count() == 1
+    got = counted((r.doc_id, bytes(r.kept)) for r in remove_repeats(table).collect())
+    assert got == counted(zip([1, 2, 3], brute_repeats([r[1].encode() for r in rows]), strict=True))
+
+
 def test_lines(docs, none):
     got = {r.doc_id: r for r in dedup_lines(docs).collect()}
     assert got[4].text is None and got[5].text == "" and got[1].text == LONG
