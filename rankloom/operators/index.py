@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stemming import stem_vocabulary
 from ..functions.text import idf, term_bucket, term_counts
-from ..sources.workspace import Workspace, bucket_count
+from ..sources.workspace import Workspace, text_buckets
 from .joins import join_vocabulary
 
 POSTING_BLOCK = 65_536
@@ -167,7 +167,7 @@ def build_index(
     reads in part or not at all, stays below a split's bytes however large the corpus is.
     """
     n_docs = n_docs or {name: docs.count() for name, docs in fields.items()}
-    buckets = buckets or max(bucket_count(docs) for docs in fields.values())
+    buckets = buckets or max(text_buckets(docs) for docs in fields.values())
     if term_buckets is None:
         splits = max(docs.rdd.getNumPartitions() for docs in fields.values())
         term_buckets = max(LEAST_TERM_BUCKETS, -(-splits // buckets))

@@ -16,7 +16,7 @@ from ..operators.judgments import containing_documents
 from ..sources.judged_queries import read_judged_queries, write_judged_queries
 from ..sources.page_rank_files import read_page_rank
 from ..sources.report import write_tables
-from ..sources.workspace import Workspace, bucket_count, spread
+from ..sources.workspace import Workspace, spread, text_buckets
 from ..streaming.live_index import LiveIndex
 from .judged_run import run_judged_queries
 from .search import Searcher
@@ -95,7 +95,7 @@ class Tables:
 
     @cached_property
     def page_buckets(self) -> int:
-        return bucket_count(self.pages)
+        return text_buckets(self.pages, "html")
 
     @cached_property
     def titles(self) -> DataFrame:

@@ -6,7 +6,13 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of text that one task analyzes and one bucket holds; some 4 million postings.
+BUCKET_BYTES = 32 << 20
+#: Bytes of text that a posting stands for.
+POSTING_TEXT = 8
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -85,12 +91,23 @@ class Workspace:
 
 
 def bucket_count(df: DataFrame, splits_per_bucket: int = 64) -> int:
-    """Buckets for a table derived from ``df``: at least one per core, about 8 GiB of input each."""
+    """Buckets for a table of short rows derived from ``df``: one per core at least, up to 64 splits each."""
     spark = df.sparkSession
     splits = df.rdd.getNumPartitions()
     return max(spark.sparkContext.defaultParallelism, -(-splits // splits_per_bucket))
 
 
+def text_buckets(df: DataFrame, size: Column | str = "text") -> int:
+    """Buckets for postings derived from ``df``: one per core at least, about ``BUCKET_BYTES`` of text each.
+
+    ``size`` is the text column or the bytes of a row. They are added up, as a split of a compressed file may
+    hold any number of them; so what one task sorts and aggregates doesn't grow with the input.
+    """
+    size = F.octet_length(size) if isinstance(size, str) else size
+    total = df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET_BYTES))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance a scan that has fewer splits than there are cores; others stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

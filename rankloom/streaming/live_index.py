@@ -22,7 +22,7 @@ from ..operators.index import (
     term_statistics,
     write_index,
 )
-from ..sources.workspace import Workspace, bucket_count, delete, exists, spread
+from ..sources.workspace import POSTING_TEXT, Workspace, delete, exists, text_buckets
 
 POSTINGS = "doc_id bigint, term string, tf int, field string, term_bucket int"
 TERMS = "term string, df bigint, term_total bigint, field string, term_bucket int"
@@ -128,8 +128,8 @@ class LiveIndex:
         if any(batch_id in s.batches for s in segments):
             return False
         name = f"batch{batch_id}"
-        rows = {field: spread(docs) for field, docs in fields.items()}
-        postings = count_terms(rows, merge).withColumn(
+        buckets = max(text_buckets(docs) for docs in fields.values())
+        postings = count_terms(fields, merge, buckets).withColumn(
             "term_bucket", term_bucket("term", self.term_buckets)
         )
         written = self._write(name, "postings", postings, ("field", "term_bucket"))
@@ -174,7 +174,12 @@ class LiveIndex:
             run = segments[at : at + self.fan]
             name = f"fold{generation + 1}"
             merged, replaced = self._special(run)
-            written = self._write(name, "postings", self._postings(run, merged, replaced), ("field", "term_bucket"))
+            postings = self._postings(run, merged, replaced)
+            # a task sorts its rows by directory, so it gets a bucket and not a split of the small files
+            buckets = text_buckets(postings, F.lit(POSTING_TEXT))
+            written = self._write(
+                name, "postings", postings.repartition(buckets, "doc_id"), ("field", "term_bucket")
+            )
             self._write(name, "terms", term_statistics(written), ("field", "term_bucket"))
             ids = self._ids(run, replaced).groupBy("field", "doc_id").agg(
                 F.sum("docs").alias("docs"), F.max("replaces").alias("replaces")
@@ -285,7 +290,7 @@ class LiveIndex:
         segments = self.segments()
         merged, replaced = self._special(segments)
         postings = self._postings(segments, merged, replaced)
-        buckets = buckets or bucket_count(postings)
+        buckets = buckets or text_buckets(postings, F.lit(POSTING_TEXT))
         counts = postings.select("field", "doc_id", "term", "tf").repartition(buckets, "doc_id")
         sizes = self._sizes(segments, merged, replaced)
         return write_index(counts, sizes, workspace, buckets, term_buckets=self.term_buckets)

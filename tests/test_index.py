@@ -8,6 +8,7 @@ from brute_stemmer import stem_word
 from rankloom.operators import index as ix
 from rankloom.operators import joins
 from rankloom.operators.joins import join_vocabulary, lookup_join, spread_join
+from rankloom.sources import workspace as folders
 from rankloom.sources.workspace import Workspace
 
 
@@ -30,6 +31,17 @@ def test_tables_equal_definition(built):
     assert stats.avg_len == pytest.approx(corpus.average)
 
 
+def test_buckets_hold_bounded_text(spark, built, small_corpus, monkeypatch):
+    monkeypatch.setattr(folders, "BUCKET_BYTES", 16)
+    docs = spark.createDataFrame(list(small_corpus[0].items()), "doc_id long, text string").coalesce(1)
+    size = sum(len(x or "") for x in small_corpus[0].values())
+    workspace = Workspace(spark)
+    index = ix.build_index({"body": docs}, workspace)
+    assert spark.read.json(workspace.path("manifest")).first().buckets == -(-size // 16) > 4
+    columns = ["field", "term", "doc_id", "tf"]
+    assert sorted(index.postings.select(*columns).collect()) == sorted(built[0].postings.select(*columns).collect())
+
+
 def test_point_read(built):
     index, _ = built
     assert {r.doc_id for r in ix.read_postings(index, "body", "cherry").collect()} == {2, 3, 6}
