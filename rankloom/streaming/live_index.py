@@ -128,8 +128,12 @@ class LiveIndex:
         if any(batch_id in s.batches for s in segments):
             return False
         name = f"batch{batch_id}"
-        buckets = max(text_buckets(docs) for docs in fields.values())
-        postings = count_terms(fields, merge, buckets).withColumn(
+        # by a hash of their own: files that were dealt by doc_id would fill a few buckets of it only
+        rows = {
+            field: docs.repartition(text_buckets(docs), F.xxhash64("doc_id", "text"))
+            for field, docs in fields.items()
+        }
+        postings = count_terms(rows, merge).withColumn(
             "term_bucket", term_bucket("term", self.term_buckets)
         )
         written = self._write(name, "postings", postings, ("field", "term_bucket"))
@@ -178,7 +182,8 @@ class LiveIndex:
             # a task sorts its rows by directory, so it gets a bucket and not a split of the small files
             buckets = text_buckets(postings, F.lit(POSTING_TEXT))
             written = self._write(
-                name, "postings", postings.repartition(buckets, "doc_id"), ("field", "term_bucket")
+                name, "postings", postings.repartition(buckets, F.xxhash64("doc_id", "term")),
+                ("field", "term_bucket"),
             )
             self._write(name, "terms", term_statistics(written), ("field", "term_bucket"))
             ids = self._ids(run, replaced).groupBy("field", "doc_id").agg(

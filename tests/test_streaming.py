@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom.operators import index as ix
 from rankloom.operators import scoring
@@ -142,3 +143,12 @@ def test_replaced_by_id(spark, bulk, fan):
     live.fold()
     for index in (live.index(), live.compact(Workspace(spark))):
         same(index, bulk)
+
+
+def test_a_batch_dealt_by_id_fills_all_tasks(spark, workspace):
+    dealt = spark.range(400).filter(F.pmod(F.hash("id"), F.lit(4)) == 1)
+    live = LiveIndex(workspace)
+    live.append({"body": dealt.select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text"))}, 0)
+    files = spark.read.parquet(workspace.path("live/batch0/postings")).select(F.input_file_name().alias("f"))
+    tasks = {r.f.rsplit("/part-", 1)[1].split("-")[0] for r in files.distinct().collect()}
+    assert len(tasks) == 4
