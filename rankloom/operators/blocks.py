@@ -70,7 +70,9 @@ def build_blocks(
     whole = None
     for field in fields:
         found = index.field_postings(field).select("doc_id", "term", "tf")
-        found = found.join(index.field_docs(field), "doc_id").withColumn("field", F.lit(field))
+        # a bucket has few documents: they are hashed, and its postings keep their order by term
+        docs = index.field_docs(field).hint("shuffle_hash")
+        found = found.join(docs, "doc_id").withColumn("field", F.lit(field))
         whole = found if whole is None else whole.unionByName(found)
     # more of them than this can't be: a wide term has more than a part's bytes
     wide = F.broadcast(
@@ -105,7 +107,8 @@ def build_blocks(
             F.array_max("postings.tf").alias("max_tf"),
             F.array_min("postings.doc_len").alias("min_len"),
         )
-        .repartition("field", "home").sortWithinPartitions("field", "home", "term", "block")
+        # a file of blocks holds terms of one home, apart from those of wide terms
+        .sortWithinPartitions("field", "home", "term", "block")
         .write.mode("overwrite").partitionBy("field", "home").parquet(workspace.path("skips"))
     )
     manifest = json.dumps({"parts": parts, "width": width})
