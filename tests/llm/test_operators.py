@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from rankloom.llm import forest, substrings, tokens, trie_join
 from rankloom.llm.forest import search
 from rankloom.llm.importance import kth_largest, resample
-from rankloom.llm.line_dedup import dedup_lines
+from rankloom.llm.line_dedup import dedup_lines, passages
 from rankloom.llm.mixing import mix_sources
 from rankloom.llm.packing import pack, pack_documents, step_groups
 from rankloom.llm.revisits import canonical_url, resolve_revisits
@@ -293,6 +293,31 @@ def test_lines_of_many(spark):
     assert got[(100, "a0\nfirst shared\nsecond shared\nb0", 0, 0)] == 1 and got[(139, "a39\nb39", 1, 2)] == 1
 
 
+def test_lines_whose_digests_collide(spark):
+    """Digests of one byte: passages are told apart by their bytes, in chunks and in pairs."""
+    rng = np.random.default_rng(3)
+    pool = [f"shared line {k}" for k in range(30)]
+    rows = [(k, "\n".join([f"own {k}", *pool[(a := int(rng.integers(0, 20))) : a + int(rng.integers(1, 12))], f"end {k}"])) for k in range(40)]
+    rows += [(90 + k, "\n".join(f"only {k} {j}" for j in range(9))) for k in range(40)] + [(None, rows[3][1])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    cut = dedup_lines(table, digest_bytes=1).collect()
+    assert counted((r.doc_id, r.text, r.removed_chunks, r.removed_lines) for r in cut) == brute_lines(rows)
+
+
+def test_chunks_end_by_their_own_lines(spark):
+    shared = [f"shared line {k}" for k in range(60)]
+    texts = ["\n".join([*(f"own {d} {k}" for k in range(d)), *shared, f"end {d}"]) for d in range(1, 8)]
+    table = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id bigint, text string").selectExpr("doc_id", "0L as t", "text")
+    schema = "doc_id bigint, t bigint, line int, last int, h bigint, v bigint, chunk int"
+    chunks = table.mapInArrow(lambda batches: passages(batches, False), schema).collect()
+    # apart from the first and the last one, the passage falls into the same chunks in every text
+    found = [{(r.line - r.doc_id, r.last - r.doc_id, r.h, r.v) for r in chunks if r.doc_id == d and r.line - d > 12 and r.last - d < 48} for d in range(1, 8)]
+    assert len(found[0]) >= 3 and all(f == found[0] for f in found)
+    pairs = table.mapInArrow(lambda batches: passages(batches, True), schema).collect()
+    inside = {(r.doc_id, r.chunk) for r in pairs if r.chunk is not None}
+    assert inside == {(r.doc_id, r.line) for r in chunks} and any(r.chunk is None for r in pairs)
+
+
 def test_resample(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (10, 1, 0), (7, 0, 0), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     rows = resample(docs, labels, keep_share=0.5).collect()
