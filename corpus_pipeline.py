@@ -18,6 +18,11 @@ from rankloom.llm.packing import pack_documents
 from rankloom.llm.trie_join import one_per_group
 
 
+#: Rows of an Arrow batch; with Spark's 10,000 the texts of all tasks at work take some 100 MB each.
+BATCH_ROWS = 1000
+#: Words whose ids a worker remembers; the other stages' workers and tables leave little room for more.
+CACHED = 200_000
+
 #: The input row beside what an operator reads and adds, so that none of its columns clashes.
 ROW = "_input_row"
 
@@ -64,7 +69,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and the sequences they lie in."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, cached=CACHED)
 
 
 STAGES = [
@@ -81,6 +86,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, sf_dir = Scratch(spark), sf_dir.rstrip("/")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))

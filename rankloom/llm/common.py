@@ -128,7 +128,7 @@ class Roller:
     def sums(self, data: np.ndarray) -> np.ndarray:
         """Prefix sums that :meth:`hashes` takes."""
         if len(data) >= len(self._up):
-            n = max(len(data) + 1, SLICE_BYTES + 1)
+            n = max(len(data) + 1, min(2 * len(self._up), SLICE_BYTES + 1))
             self._up, self._down = self._powers(self.base, n), self._powers(self.inverse, n)
         out = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self._up[: len(data)], out=out[1:])

@@ -25,6 +25,8 @@ WINDOW = 2
 DIVISOR = np.uint64(4)
 #: Runs of lines (some 80 bytes each) that are joined with the texts by a broadcast.
 BROADCAST_ROWS = 250_000
+#: Bytes of text whose lines are hashed at a time; a longer text is a slice of its own.
+SLICE_BYTES = 1 << 19
 #: Bytes of a digest, at most 16; with fewer, more passages that differ are told apart by their bytes.
 DIGEST_BYTES = 16
 
@@ -51,7 +53,7 @@ def passages(batches, pairs: bool, digest_bytes: int = DIGEST_BYTES):
     Lines are numbered from 0 in each text. ``chunk`` is the first line of the chunk that the passage lies in,
     null for a pair with a chunk's end between its lines.
     """
-    for rows, data, offsets in text_slices(batches):
+    for rows, data, offsets in text_slices(batches, limit=SLICE_BYTES):
         newline = data == 10
         breaks = np.flatnonzero(newline) + 1
         begins = np.unique(np.concatenate([offsets[:-1][offsets[:-1] < offsets[1:]], breaks[breaks < len(data)]]))

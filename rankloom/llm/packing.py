@@ -98,9 +98,9 @@ def step_groups(sizes: list[int], step_tokens: int) -> list[int]:
     return out
 
 
-def packer(path: str, end_id: int, spaced: bool, tiers: tuple[int, ...], step_tokens: int):
+def packer(path: str, end_id: int, spaced: bool, tiers: tuple[int, ...], step_tokens: int, cached: int | None = None):
     def run(batches):
-        code = encoder(path, end_id, spaced)
+        code = encoder(path, end_id, spaced, cached)
         width, base = code.dtype.itemsize, TaskContext.get().partitionId() << 40
         docs, held, sequence, step = [], 0, 0, 0  # docs: (doc_id, ids, start of the part, all tokens)
 
@@ -153,17 +153,19 @@ def pack_documents(
     spaced: bool = False,
     tiers: tuple[int, ...] = TIERS,
     step_tokens: int = STEP_TOKENS,
+    cached: int | None = None,
 ) -> DataFrame:
     """One row per piece: its document, its place in the document and in a sequence, and its ids.
 
     ``window`` is the sequence's size, a tier or, once for the tail of a partition, other powers of
     two; ``step_id`` the training step that takes the sequence; ``ids`` are little-endian unsigned 32
     bits. A null or empty text is the end id alone. Rows are packed one by one, whatever their ids.
-    An empty table gives no pieces. Columns other than doc_id and text aren't read.
+    An empty table gives no pieces. Columns other than doc_id and text aren't read. A worker remembers the ids
+    of ``cached`` words, by default as many as ``tokens.CACHED``.
     """
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(tiers):
         raise ValueError("tiers are ascending powers of two")
     return docs.select(
         column_or_null(docs, "doc_id", "bigint").alias("doc_id"),
         column_or_null(docs, "text", "string").alias("text"),
-    ).mapInArrow(packer(path, end_id, spaced, tiers, step_tokens), SCHEMA)
+    ).mapInArrow(packer(path, end_id, spaced, tiers, step_tokens, cached), SCHEMA)

@@ -30,10 +30,10 @@ class Encoder:
     token, is encoded whole.
     """
 
-    def __init__(self, path: str, end_id: int, spaced: bool):
+    def __init__(self, path: str, end_id: int, spaced: bool, cached: int | None = None):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
+        self.tokenizer, self.spaced, self.cached = Tokenizer.from_file(path), spaced, cached
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
@@ -100,7 +100,7 @@ class Encoder:
         for piece in new:
             if len(piece) > CACHED_CHARS:
                 del known[piece]
-        if len(known) > CACHED:
+        if len(known) > (self.cached or CACHED):
             for piece in list(islice(known, len(known) // 2)):
                 del known[piece]
         return out
@@ -110,9 +110,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, end_id: int, spaced: bool) -> Encoder:
+def encoder(path: str, end_id: int, spaced: bool, cached: int | None = None) -> Encoder:
     """One per worker process."""
-    return Encoder(path, end_id, spaced)
+    return Encoder(path, end_id, spaced, cached)
 
 
 def wide(ids: bytes, dtype: np.dtype) -> bytes:
