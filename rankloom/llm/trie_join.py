@@ -384,7 +384,7 @@ class JaccardJoin:
                 "doc_id bigint, t bigint, cid bigint, n bigint, sketch binary, x bigint, c bigint",
             )
         )
-        self.rows = seen.filter("c is null").select("doc_id", "t", "cid", "n")
+        self.rows = self.scratch.keep(seen.filter("c is null").select("doc_id", "t", "cid", "n"))
         top = (
             seen.filter("c is not null").groupBy("x").agg(F.sum("c").alias("c"))
             .orderBy(F.desc("c"), "x").limit(RANKED).toPandas()
@@ -399,6 +399,7 @@ class JaccardJoin:
                 F.min("sketch").alias("sketch"),
             ).select("cid", "n", "copies", "sketch", "one.doc_id", "one.t")
         )
+        self.scratch.drop(seen)
 
     def meetings(self) -> DataFrame:
         """``(x, cid, n, most)``: the keys of classes. Of rare keys only those by which two may link.
@@ -422,14 +423,19 @@ class JaccardJoin:
                 pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi"
             ).select("cid", F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
         )
-        if wanted.count() <= BROADCAST_CLASSES:
-            wanted = F.broadcast(wanted)
+        n_wanted = wanted.count()
+        near = F.broadcast if n_wanted <= BROADCAST_CLASSES else lambda table: table
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
-        texts = self.docs.join(wanted, same).select("cid", "text")
-        # rows of one id and text are one class's, and hold the same path
-        return self.scratch.keep(
-            texts.dropDuplicates(["cid"]).mapInArrow(trie_paths(self.order), "cid bigint, path binary")
-        )
+        # rows of one id and text are one class's, and hold the same path; only their texts move for being equal
+        found = self.rows.drop("cid").join(near(wanted), same).groupBy("cid").count()
+        twice = self.scratch.keep(found.filter("count > 1").select("cid"))
+        texts = self.docs.join(near(wanted.join(twice, "cid", "left_anti")), same).select("cid", "text")
+        if not twice.isEmpty():
+            again = self.docs.join(near(wanted.join(twice, "cid", "left_semi")), same).select("cid", "text")
+            texts = texts.unionByName(again.dropDuplicates(["cid"]))
+        paths = self.scratch.keep(texts.mapInArrow(trie_paths(self.order), "cid bigint, path binary"))
+        self.scratch.drop(wanted, twice)
+        return paths
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that link; pairs are written, distinct, and ``a`` is the probe."""

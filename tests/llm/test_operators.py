@@ -22,7 +22,7 @@ from rankloom.llm.substrings import remove_repeats
 from rankloom.llm.token_files import read_token_files, write_token_files
 from rankloom.llm.tokens import Encoder
 from rankloom.llm.tree_dedup import exact_groups
-from rankloom.llm.trie_join import near_duplicate_groups, one_per_group
+from rankloom.llm.trie_join import JaccardJoin, near_duplicate_groups, one_per_group
 
 SCHEMA = "doc_id bigint, text string, source string, size string"
 
@@ -318,6 +318,27 @@ def test_chunks_end_by_their_own_lines(spark):
     assert inside == {(r.doc_id, r.line) for r in chunks} and any(r.chunk is None for r in pairs)
 
 
+def test_paths_of_repeated_rows(spark):
+    """Rows of one id and text give one path; the tables that found them are deleted."""
+    rows = [(k, " ".join(f"w{k % 3}x{j}" for j in range(30))) for k in range(6)] * 2 + [(9, "a b c d e f g"), (10, None)]
+    join = JaccardJoin(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    join.prepare()
+    ids = [r.cid for r in join.classes.collect()]
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a bigint, b bigint")
+    paths = join.paths(pairs)
+    assert sorted(r.cid for r in paths.collect()) == sorted(ids) and len(ids) == 4
+    # all that stays is the rows, their classes and the paths
+    assert sorted(t.columns for t, _ in join.scratch._kept) == sorted([join.rows.columns, join.classes.columns, paths.columns])
+
+
+def test_encoder_remembers_few():
+    few = Encoder(public_tokenizers.path("word_bpe_49k.json"), 2, False, cached=20)
+    texts = [" ".join(f"word{k * 7 + j}" for j in range(9)) for k in range(12)]
+    every = Encoder(public_tokenizers.path("word_bpe_49k.json"), 2, False)
+    assert [few.document(t) for t in texts] == [every.document(t) for t in texts]
+    assert len(few.known) <= 20 < len(every.known)
+
+
 def test_resample(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (10, 1, 0), (7, 0, 0), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
     rows = resample(docs, labels, keep_share=0.5).collect()
