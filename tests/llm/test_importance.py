@@ -3,13 +3,16 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rankloom.llm.importance import TEMPERATURE, resample
+from rankloom.llm.common import roller
+from rankloom.llm.importance import FEATURES, TEMPERATURE, counts, resample
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -81,3 +84,17 @@ def test_resample_equals_plain_python(spark, share, seed, labelled):
     assert [(r[0], r[1], r[3]) for r in got] == [(r[0], r[1], r[3]) for r in want]
     assert [r[2] for r in got] == [w if w is None else pytest.approx(w, abs=1e-9) for *_, w, _ in want]
     assert 0 < sum(r[3] for r in want) < len(want)
+
+
+def test_memory_of_a_worker():
+    """Temporary arrays take a small multiple of a slice, and small next to an executor's memory."""
+    texts = ["some words of a text " * 200] * 2000  # 8 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([False] * len(texts))], ["text", "target"])
+    roller.cache_clear()
+    tracemalloc.start()
+    (out,) = counts(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(out.column("raw").to_pylist()) == 2000 * (1000 + 999)
+    assert peak < 60 << 20, peak >> 20
+    assert out.num_rows < FEATURES
