@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,17 @@ class Index:
     doc_norms: DataFrame | None = None  # field, doc_id, doc_norm
     analyzer: str = "plain"
     term_buckets: int = 4
+    workspace: Workspace | None = None  # where norms that are missing are written
+    buckets: int | None = None
+
+    @cached_property
+    def norms(self) -> DataFrame:
+        """``doc_norms``, written now if the index was built without: only cosines read them."""
+        if self.doc_norms is not None:
+            return self.doc_norms
+        if self.workspace is None:
+            return norms_of(self)
+        return write_norms(self, self.workspace, self.buckets)
 
     def field_postings(self, field: str) -> DataFrame:
         return self.postings.filter(F.col("field") == field).drop("field")
@@ -40,8 +52,7 @@ class Index:
         return self.doc_stats.filter(F.col("field") == field).drop("field")
 
     def field_norms(self, field: str) -> DataFrame:
-        norms = self.doc_norms if self.doc_norms is not None else norms_of(self)
-        return norms.filter(F.col("field") == field).drop("field")
+        return self.norms.filter(F.col("field") == field).drop("field")
 
     def corpus(self, field: str, column: str):
         """One corpus number as a scalar subquery; no row of it reaches the driver."""
@@ -147,6 +158,10 @@ def norms_of(index: Index) -> DataFrame:
     )
 
 
+def write_norms(index: Index, workspace: Workspace, buckets: int) -> DataFrame:
+    return workspace.save_bucketed("doc_norms", norms_of(index), buckets, partition_by=("field",))
+
+
 def corpus_sizes(spark: SparkSession, n_docs: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(list(n_docs.items()), "field string, n_docs bigint")
 
@@ -159,12 +174,14 @@ def build_index(
     analyzer: str = "plain",
     term_buckets: int | None = None,
     buckets: int | None = None,
+    norms: bool = True,
 ) -> Index:
     """Analyze documents and write their index; parameters as in :func:`count_terms`.
 
     ``n_docs`` are the corpus sizes, by default the numbers of rows. By default there are as many
     directories of terms as a bucket of documents has splits of text, so that a file, which a query
     reads in part or not at all, stays below a split's bytes however large the corpus is.
+    Without ``norms`` the first cosine writes them.
     """
     n_docs = n_docs or {name: docs.count() for name, docs in fields.items()}
     buckets = buckets or max(text_buckets(docs) for docs in fields.values())
@@ -177,7 +194,7 @@ def build_index(
     elif analyzer != "plain":
         raise ValueError(f"unknown analyzer {analyzer!r}")
     sizes = corpus_sizes(workspace.spark, n_docs)
-    return write_index(counts, sizes, workspace, buckets, analyzer, term_buckets)
+    return write_index(counts, sizes, workspace, buckets, analyzer, term_buckets, norms)
 
 
 def write_index(
@@ -187,6 +204,7 @@ def write_index(
     buckets: int,
     analyzer: str = "plain",
     term_buckets: int = 4,
+    norms: bool = True,
 ) -> Index:
     """Write the tables of an index, given term counts that are partitioned by document.
 
@@ -211,13 +229,16 @@ def write_index(
     )
     corpus = workspace.save("corpus_stats", corpus_statistics(term_stats, sizes).coalesce(1))
     index = Index(
-        postings, term_stats, doc_stats, corpus, analyzer=analyzer, term_buckets=term_buckets
+        postings, term_stats, doc_stats, corpus,
+        analyzer=analyzer, term_buckets=term_buckets, workspace=workspace, buckets=buckets,
     )
-    norms = workspace.save_bucketed("doc_norms", norms_of(index), buckets, partition_by=("field",))
+    if norms:
+        index = replace(index, doc_norms=write_norms(index, workspace, buckets))
     spark.createDataFrame(
-        [(analyzer, term_buckets, buckets)], "analyzer string, term_buckets int, buckets int"
+        [(analyzer, term_buckets, buckets, norms)],
+        "analyzer string, term_buckets int, buckets int, norms boolean",
     ).coalesce(1).write.mode("overwrite").json(workspace.path("manifest"))
-    return replace(index, doc_norms=norms)
+    return index
 
 
 def open_index(spark: SparkSession, root: str) -> Index:
@@ -247,7 +268,9 @@ def open_index(spark: SparkSession, root: str) -> Index:
         spark.read.schema(TERM_STATS).parquet(f"{root}/term_stats"),
         bucketed("doc_stats", "doc_id bigint, doc_len bigint, field string", "field", "doc_id"),
         spark.read.parquet(f"{root}/corpus_stats"),
-        bucketed("doc_norms", "doc_id bigint, doc_norm double, field string", "field", "doc_id"),
+        bucketed("doc_norms", "doc_id bigint, doc_norm double, field string", "field", "doc_id")
+        if manifest.asDict().get("norms", True)
+        else None,
         manifest.analyzer,
         manifest.term_buckets,
     )

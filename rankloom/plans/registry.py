@@ -63,11 +63,11 @@ class Tables:
 
     @cached_property
     def doc_index(self) -> indexing.Index:
-        return indexing.build_index({"body": self.docs}, Workspace(self.spark))
+        return indexing.build_index({"body": self.docs}, Workspace(self.spark), norms=False)
 
     @cached_property
     def stemmed_index(self) -> indexing.Index:
-        return indexing.build_index({"body": self.docs}, Workspace(self.spark), analyzer="stemmed")
+        return indexing.build_index({"body": self.docs}, Workspace(self.spark), analyzer="stemmed", norms=False)
 
     @cached_property
     def doc_blocks(self) -> blocks.BlockIndex:
@@ -91,6 +91,7 @@ class Tables:
             n_docs={name: n_pages for name in fields},
             merge=("anchor",),
             buckets=self.page_buckets,
+            norms=False,
         )
 
     @cached_property

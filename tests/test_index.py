@@ -9,7 +9,7 @@ from rankloom.operators import index as ix
 from rankloom.operators import joins
 from rankloom.operators.joins import join_vocabulary, lookup_join, spread_join
 from rankloom.sources import workspace as folders
-from rankloom.sources.workspace import Workspace
+from rankloom.sources.workspace import Workspace, exists
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +87,22 @@ def test_reopen(spark, built, small_corpus):
     assert "Bucketed: true" in plan and "Exchange" not in plan
 
 
+def test_norms_are_left_to_the_first_cosine(spark, built, small_corpus, workspace):
+    docs = spark.createDataFrame(list(small_corpus[0].items()), "doc_id long, text string")
+    index = ix.build_index({"body": docs}, workspace, norms=False)
+    assert not exists(spark, workspace.path("doc_norms"))
+
+    def rows(norms):
+        return sorted((r.doc_id, round(r.doc_norm, 9)) for r in norms.collect())
+
+    expected = rows(built[0].field_norms("body"))
+    again = ix.open_index(spark, workspace.root)
+    assert again.doc_norms is None and rows(again.field_norms("body")) == expected
+    assert not exists(spark, workspace.path("doc_norms"))
+    assert rows(index.field_norms("body")) == expected
+    assert exists(spark, workspace.path("doc_norms")) and index.norms is index.norms
+
+
 def test_stemmed_index_merges_terms(spark, workspace):
     docs = spark.createDataFrame(
         [(1, "hopping hops hopped"), (2, "running hop")], "doc_id long, text string"
