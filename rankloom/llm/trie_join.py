@@ -14,6 +14,9 @@ comparisons as it has members. When rounds stop paying, the sets of the keys tha
 tasks that hold a bounded part of one key each, and only pairs whose lengths and count sketches allow a
 link leave the task. Keys are never joined with themselves, and no link is lost.
 
+Before paths are sent to their probes, pairs are compared by bitmaps that have as many bins as a set has
+codes, a fiftieth of its path: the bins of a count sketch are all full in long sets, which then look alike.
+
 Hashes have 64 bits: of N distinct sets, about N^2 / 2^65 pairs are expected to be confused.
 """
 
@@ -300,6 +303,53 @@ def trie_paths(order):
     return run
 
 
+def bitmap(path: bytes) -> bytes:
+    """Which bins hold a code of the set: a bit for each, a power of two of them, at least as many as codes."""
+    codes = np.frombuffer(path, ">u8").astype(np.uint64)
+    held = np.zeros(max(8, 1 << max(len(codes) - 1, 0).bit_length()), bool)
+    held[(mix(codes) & np.uint64(len(held) - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").tobytes()
+
+
+def overlap_at_most(one: bytes, n_one: int, two: bytes, n_two: int) -> int:
+    """The bins that hold codes of both sets, and the codes that share a bin with others of their set."""
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+    # of half as many bins each is one or the other of two
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    both, in_a, in_b = (int(np.bitwise_count(bits).sum()) for bits in (a & b, a, b))
+    return both + min(n_one - in_a, n_two - in_b)
+
+
+def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mapper from ``(cid, path)`` to ``(cid, n, bits)``."""
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        yield pa.RecordBatch.from_pydict(
+            {
+                "cid": batch.column("cid"),
+                "n": pa.array([len(path) // 8 for path in paths], pa.int64()),
+                "bits": pa.array(map(bitmap, paths), pa.binary()),
+            }
+        )
+
+
+def overlapping(percent: int):
+    """Mapper from ``(a, b, n_a, n_b, bits_a, bits_b)`` to the pairs that may still link."""
+
+    def run(batches):
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            bits = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), strict=True)
+            most = [overlap_at_most(one, x, two, y) for (one, two), x, y in zip(bits, n_a, n_b, strict=True)]
+            may = np.array(most, np.int64) >= needed_of_both(n_a, n_b, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(may))
+
+    return run
+
+
 class TrieWalk:
     """A probe's walk through sets that come in the depth-first order of their trie."""
 
@@ -443,6 +493,9 @@ class JaccardJoin:
         if not n_pairs:
             return pairs
         paths = self.paths(pairs)
+        pairs = self.overlapping(pairs, paths)
+        ends = self.scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+        moved = paths.join(F.broadcast(ends), "cid", "left_semi") if ends.count() <= BROADCAST_CLASSES else paths
         per_probe = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         per_probe = self.scratch.keep(per_probe)
         split = F.broadcast(per_probe.filter("blocks > 1"))  # fewer than pairs / BLOCK
@@ -452,12 +505,12 @@ class JaccardJoin:
             pairs.join(split, "a", "left")
             .withColumn("block", F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))))
             .select("a", "block", "b")
-            .join(paths.withColumnRenamed("cid", "b"), "b")
+            .join(moved.withColumnRenamed("cid", "b"), "b")
         )
         probes = (
             per_probe.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
             .select("a", "block", F.lit(None).cast("bigint").alias("b"))
-            .join(paths.withColumnRenamed("cid", "a"), "a")
+            .join(moved.withColumnRenamed("cid", "a"), "a")
         )
         found = self.scratch.keep(
             sets.select("a", "block", "b", "path")
@@ -466,9 +519,20 @@ class JaccardJoin:
             .sortWithinPartitions("a", "block", F.col("b").isNotNull(), "path")
             .mapInArrow(walk(self.percent), "a bigint, b bigint")
         )
-        self.scratch.drop(paths, per_probe)
+        self.scratch.drop(paths, pairs, ends, per_probe)
         return found
 
+    def overlapping(self, pairs: DataFrame, paths: DataFrame) -> DataFrame:
+        """Those of ``pairs(a, b)`` that the bitmaps of their paths don't rule out; a path is read, not moved."""
+        bits = self.scratch.keep(paths.mapInArrow(bitmaps, "cid bigint, n bigint, bits binary"))
+        of_a = bits.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+        of_b = bits.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+        may = self.scratch.keep(
+            pairs.join(of_a, "a").join(of_b, "b").mapInArrow(overlapping(self.percent), "a bigint, b bigint")
+        )
+        self.scratch.drop(bits)
+        return may
+
     def labels(self) -> DataFrame:
         """``(id, label)`` of the classes that link with another: equal labels are one component.
 

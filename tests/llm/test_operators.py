@@ -165,6 +165,44 @@ def test_walk_of_a_trie(percent):
             assert walked.links(path) == (100 * both >= percent * (len(other) + len(probe) - both))
 
 
+def test_bitmaps_rule_out_long_sets_that_sketches_do_not():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (12000, 12100, 10400, 1, 7, 300)]
+    sets.append(np.sort(np.concatenate([sets[0][:11200], sets[1][:240]])))  # links with the first
+    sets.append(np.sort(np.concatenate([sets[5][:250], sets[4]])))
+    paths = [s.astype(">u8").tobytes() for s in sets]
+    bits = [trie_join.bitmap(p) for p in paths]
+    rows = []
+    for a, one in enumerate(sets):
+        for b, two in enumerate(sets):
+            most = trie_join.overlap_at_most(bits[a], len(one), bits[b], len(two))
+            assert len(np.intersect1d(one, two)) <= most <= min(len(one), len(two))
+            rows.append((a, b, len(one), len(two), bits[a], bits[b], trie_join.sketch(one), trie_join.sketch(two)))
+    names = ["a", "b", "n_a", "n_b", "bits_a", "bits_b", "sketch_a", "sketch_b"]
+    table = pa.RecordBatch.from_pydict({c: [row[k] for row in rows] for k, c in enumerate(names)})
+
+    def stay(mapper):
+        return {(r["a"], r["b"]) for batch in mapper(80)(iter([table])) for r in batch.to_pylist()}
+
+    equal = {(k, k) for k in range(len(sets))}
+    assert {(0, 1), (1, 0)} <= stay(trie_join.plausible)
+    assert stay(trie_join.overlapping) == equal | {(0, 6), (6, 0), (5, 7), (7, 5)}
+
+
+def test_only_pairs_left_by_bitmaps_move_paths(spark):
+    texts = [words(k, 1500) for k in range(40, 44)]
+    texts.append(texts[0].replace(texts[0].split()[700], "other", 1))
+    join = JaccardJoin(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    join.prepare()
+    of = {r["doc_id"]: r["cid"] for r in join.classes.collect()}
+    pairs = join.scratch.keep(
+        spark.createDataFrame([(of[a], of[b]) for a in range(5) for b in range(a)], "a bigint, b bigint")
+    )
+    left = join.overlapping(pairs, join.paths(pairs)).collect()
+    assert [tuple(r) for r in left] == [(of[4], of[0])]
+    assert [tuple(r) for r in join.verify(pairs).collect()] == [(of[4], of[0])]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 1000])
 @pytest.mark.parametrize("chunk", [3, 1000])
 def test_shared_keys(monkeypatch, size, chunk):
