@@ -615,3 +615,31 @@ def test_best_of_a_task(monkeypatch):
         want = sorted({r for r in rows if r[0] == q})[:5]
         mine = sorted({(r["query"], r["score"], r["least"]) for r in got if r["query"] == q})[:5]
         assert mine == want and all(r["cls"] == r["least"] + 1000 for r in got)
+
+
+def test_pieces_are_looked_up_once():
+    class Counted(dict):
+        looked = 0
+
+        def get(self, key, default=None):
+            self.looked += 1
+            return super().get(key, default)
+
+        def __contains__(self, key):
+            self.looked += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            self.looked += 1
+            return super().__getitem__(key)
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    code, plain = Encoder(path, 2, True), Tokenizer.from_file(path)
+    code.known = Counted()
+    texts = ["one two, one two. three", None, "two  blanks", "é. ×. a.b.\tc*, d", "one two, one four"]
+    for _ in range(2):  # all pieces new, then all known
+        before = code.known.looked
+        got = code.documents(texts)
+        assert code.known.looked - before == sum(len(code._pieces(t or "") or ()) for t in texts)
+        want = [plain.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+        assert [np.frombuffer(ids, code.dtype).tolist() for ids in got] == want
