@@ -3,21 +3,22 @@
 A block is one row: the postings of a term in a range of ``width`` document ids. Blocks lie in directories
 (parts) of about ``PART_BYTES``, sorted by term. A term has its blocks in one part, a term with more than a
 part's bytes in as many parts as it needs, by document range. The skip table has a row per block without its
-postings: where it lies, how many postings it has, the largest tf and the shortest document. It is read
-first, so that only the parts and rows of blocks that matter are read from the large table.
+postings: where it lies, how many postings it has, the largest tf and the shortest document. Its columns lie
+beside the postings in the same files. It is read first, without the column of postings, so that only the
+parts and rows of blocks that matter are read from that one.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.workspace import Workspace
+from ..sources.workspace import Workspace, files_kept_open
 from .index import Index
 from .joins import BROADCAST_ROWS
 from .ranking import top_k
@@ -33,11 +34,10 @@ LITERALS = 1000
 #: Scores that differ by less are equal after rounding, and sums differ in their last bits.
 MARGIN = 1e-8
 
-BLOCKS = "term string, block bigint, postings array<struct<doc_id:bigint,tf:int,doc_len:bigint>>, field string, part int"
-SKIPS = (
-    "term string, block bigint, part int, n bigint, copies bigint, max_tf int, min_len bigint, "
-    "field string, home int"
-)
+POSTINGS = "postings array<struct<doc_id:bigint,tf:int,doc_len:bigint>>"
+SKIPS = "term string, block bigint, n bigint, copies bigint, max_tf int, min_len bigint, field string, part int"
+BLOCKS = f"{POSTINGS}, {SKIPS}"
+WIDE = "term string, spans bigint, field string"
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,7 @@ class BlockIndex:
     index: Index
     blocks: DataFrame  # field, part, term, block, postings
     skips: DataFrame  # field, home, term, block, part, n, copies, max_tf, min_len
+    wide: DataFrame  # field, term, spans: the terms that lie in several parts, fewer than there are parts
     parts: int
     width: int
 
@@ -53,10 +54,71 @@ class BlockIndex:
         return F.pmod(F.xxhash64(term), F.lit(self.parts)).cast("int")
 
 
+def part_of(term: Column | str, span: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(term) + span, F.lit(parts)).cast("int")
+
+
+def _gathered(batches: Iterator) -> Iterator:
+    """Arrow function from postings in the order of term, field and document to rows of their blocks."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def other(column):
+        """Whether a row has another value than the one before."""
+        return pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+
+    def rows(batch, starts):
+        doc, tf, length = (batch.column(c) for c in ("doc_id", "tf", "doc_len"))
+        ends = np.append(starts[1:], batch.num_rows)
+        postings = pa.StructArray.from_arrays([doc, tf, length], ["doc_id", "tf", "doc_len"])
+        seen = np.ones(batch.num_rows, np.int64)
+        seen[1:] = other(doc)
+        seen[starts] = 1
+        sizes = ends - starts
+        first = pa.array(starts)
+        found = {
+            "postings": pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), postings),
+            "term": batch.column("term").take(first),
+            "block": batch.column("block").take(first),
+            "n": pa.array(sizes),
+            # an id that was added several times has as many postings here at most
+            "copies": pa.array(sizes - np.add.reduceat(seen, starts) + 1),
+            "max_tf": pa.array(np.maximum.reduceat(tf.to_numpy(), starts)),
+            "min_len": pa.array(np.minimum.reduceat(length.to_numpy(), starts)),
+            "field": batch.column("field").take(first),
+            "part": batch.column("part").take(first),
+        }
+        return pa.RecordBatch.from_arrays(list(found.values()), list(found))
+
+    held, last = [], None  # the postings of a block that may go on, and its keys
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c) for c in ("term", "field", "block")]
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = last is not None and last != [k[0].as_py() for k in keys]
+        for key in keys:
+            new[1:] |= other(key)
+        starts = np.flatnonzero(new)
+        if len(starts):
+            whole = pa.concat_batches([*held, batch.slice(0, starts[-1])])
+            before = whole.num_rows - starts[-1]
+            begins = np.unique(np.append(0, before + starts[:-1]))
+            if whole.num_rows:
+                yield rows(whole, begins)
+            held, batch = [], batch.slice(starts[-1])
+        held.append(batch)
+        last = [k[-1].as_py() for k in keys]
+    if held:
+        yield rows(pa.concat_batches(held), np.zeros(1, np.int64))
+
+
 def build_blocks(
     index: Index, workspace: Workspace, block_docs: int = BLOCK_DOCS, part_bytes: int = PART_BYTES
 ) -> BlockIndex:
     """Write the blocks of all fields of ``index``; the postings move once, to their part."""
+    spark = workspace.spark
     fields = [r["field"] for r in index.corpus_stats.select("field").collect()]
     size = index.corpus_stats.agg(F.sum("n_postings")).first()[0] or 0
     ends = index.doc_stats.agg(
@@ -75,42 +137,27 @@ def build_blocks(
         found = found.join(docs, "doc_id").withColumn("field", F.lit(field))
         whole = found if whole is None else whole.unionByName(found)
     # more of them than this can't be: a wide term has more than a part's bytes
-    wide = F.broadcast(
-        index.term_stats.filter(F.col("df") * POSTING_BYTES > part_bytes).select(
-            "field", "term", F.ceil(F.col("df") * POSTING_BYTES / part_bytes).alias("spans")
-        )
-    )
+    index.term_stats.filter(F.col("df") * POSTING_BYTES > part_bytes).select(
+        "term", F.ceil(F.col("df") * POSTING_BYTES / part_bytes).alias("spans"), "field"
+    ).write.mode("overwrite").parquet(workspace.path("wide"))
+    wide = F.broadcast(spark.read.schema(WIDE).parquet(workspace.path("wide")))
     block = F.floor(F.coalesce("doc_id", F.lit(low)) / width)
     span = F.floor((F.col("block") - low // width) * F.coalesce("spans", F.lit(1)) / n_blocks)
-    placed = (
-        whole.join(wide, ["field", "term"], "left")
-        .withColumn("block", block)
-        .withColumn("part", F.pmod(F.xxhash64("term") + span, F.lit(parts)).cast("int"))
+    placed = whole.join(wide, ["field", "term"], "left").withColumn("block", block).select(
+        "term", "field", "block", part_of("term", span, parts).alias("part"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), "tf", F.col("doc_len").cast("bigint").alias("doc_len"),
     )
-    # grouping by more than the part keeps the rows where they are
-    posting = F.struct("doc_id", "tf", "doc_len")
-    (
-        placed.repartition("field", "part").groupBy("field", "part", "term", "block")
-        .agg(F.sort_array(F.collect_list(posting)).alias("postings"))
-        .sortWithinPartitions("field", "part", "term", "block")
-        .write.mode("overwrite").partitionBy("field", "part").parquet(workspace.path("blocks"))
-    )
-    spark = workspace.spark
-    written = spark.read.schema(BLOCKS).parquet(workspace.path("blocks"))
-    n, ids = F.size("postings"), F.array_distinct("postings.doc_id")
-    (
-        written.select(
-            "field", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int").alias("home"), "term", "block", "part",
-            n.cast("bigint").alias("n"),
-            # an id that was added several times has as many postings here at most
-            (n - F.size(ids) + 1).cast("bigint").alias("copies"),
-            F.array_max("postings.tf").alias("max_tf"),
-            F.array_min("postings.doc_len").alias("min_len"),
-        )
-        # a file of blocks holds terms of one home, apart from those of wide terms
-        .sortWithinPartitions("field", "home", "term", "block")
-        .write.mode("overwrite").partitionBy("field", "home").parquet(workspace.path("skips"))
+    # a task has the postings of one part, or a share of them where there are fewer parts than cores
+    shares = -(-spark.sparkContext.defaultParallelism // parts)
+    share = F.pmod(F.xxhash64("term", "block"), F.lit(shares)).cast("int")
+    blocks = (
+        placed.repartitionById(parts * shares, F.col("part") * shares + share)
+        # runs of postings come in this order; it begins with terms, as eight bytes of them decide most places
+        .sortWithinPartitions("term", "field", "doc_id", "tf", "doc_len")
+        .mapInArrow(_gathered, BLOCKS)
     )
+    with files_kept_open(spark, len(fields)):
+        blocks.write.mode("overwrite").partitionBy("field", "part").parquet(workspace.path("blocks"))
     manifest = json.dumps({"parts": parts, "width": width})
     spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(
         workspace.path("block_manifest")
@@ -121,10 +168,13 @@ def build_blocks(
 def open_blocks(spark: SparkSession, root: str, index: Index) -> BlockIndex:
     """The blocks that :func:`build_blocks` wrote below ``root`` for ``index``."""
     setting = json.loads(spark.read.text(f"{root}/block_manifest").first()[0])
+    written = spark.read.schema(BLOCKS).parquet(f"{root}/blocks")
+    home = part_of("term", F.lit(0), setting["parts"])
     return BlockIndex(
         index,
-        spark.read.schema(BLOCKS).parquet(f"{root}/blocks"),
-        spark.read.schema(SKIPS).parquet(f"{root}/skips"),
+        written.select("field", "part", "term", "block", "postings"),
+        written.drop("postings").withColumn("home", home),
+        spark.read.schema(WIDE).parquet(f"{root}/wide"),
         setting["parts"],
         setting["width"],
     )
@@ -142,27 +192,38 @@ def _near(rows: DataFrame) -> DataFrame:
 
 
 def _skips(blocks: BlockIndex, field: str, terms: DataFrame) -> DataFrame:
-    """Skip rows of written ``terms(qid, term, ...)``."""
-    asked = terms.withColumn("home", blocks.home("term"))
-    rows = blocks.skips.filter(F.col("field") == field).drop("field")
-    rows = _named(rows, "home", asked.select("home"))
+    """Skip rows of written ``terms(term, ...)``."""
+    wide = blocks.wide.filter(F.col("field") == field).drop("field")
+    span = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("spans", F.lit(1)) - 1))
+    asked = terms.join(F.broadcast(wide), "term", "left").withColumn("span", span)
+    asked = asked.withColumn("part", part_of("term", F.col("span"), blocks.parts)).drop("span", "spans")
+    rows = blocks.skips.filter(F.col("field") == field).drop("field", "home")
+    rows = _named(rows, "part", asked.select("part"))
     rows = _named(rows, "term", asked.select("term"))
-    return rows.join(_near(asked), ["home", "term"]).drop("home")
+    return rows.join(_near(asked), ["part", "term"])
 
 
 def _postings(blocks: BlockIndex, field: str, wanted: DataFrame) -> DataFrame:
-    """Postings of the blocks in written ``wanted(part, term, block, ...)``."""
+    """Postings of the blocks in written ``wanted(part, term, block, ...)``, of all of a part's without ``block``."""
     rows = blocks.blocks.filter(F.col("field") == field).drop("field")
     rows = _named(rows, "part", wanted.select("part"))
     rows = _named(rows, "term", wanted.select("term"))
-    found = rows.join(_near(wanted), ["part", "term", "block"])
+    found = rows.join(_near(wanted), [c for c in ("part", "term", "block") if c in wanted.columns])
     return found.withColumn("_p", F.explode("postings")).select("*", "_p.*").drop("_p", "postings")
 
 
 def matching_postings(blocks: BlockIndex, batch: QueryBatch, field: str, workspace: Workspace) -> DataFrame:
-    """``(qid, term, doc_id, tf)``: all postings of the query terms, read from their parts only."""
+    """``(qid, term, doc_id, tf)``: all postings of the query terms, read from their parts only.
+
+    All blocks of a term are wanted, so a part's rows are told by their term, whatever the number of blocks.
+    Only a batch with more terms than can be broadcast names every block and moves them.
+    """
     terms = workspace.save("asked", batch.terms.select("qid", "term"))
-    wanted = workspace.save("wanted", _skips(blocks, field, terms).select("qid", "part", "term", "block"))
+    different = workspace.save("different", terms.select("term").distinct())
+    places = workspace.save("places", _skips(blocks, field, different).select("part", "term").distinct())
+    wanted = workspace.save("wanted", terms.join(_near(places), "term"))
+    if wanted.count() > BROADCAST_ROWS:
+        wanted = workspace.save("wanted_blocks", _skips(blocks, field, terms).select("qid", "part", "term", "block"))
     return _postings(blocks, field, wanted).select("qid", "term", "doc_id", "tf")
 
 

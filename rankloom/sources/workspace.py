@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,21 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(at, True)
 
 
+@contextmanager
+def files_kept_open(spark: SparkSession, files: int) -> Iterator[None]:
+    """Inside, a task that writes to at most so many directories keeps a file of each open.
+
+    Otherwise Spark first sorts a task's rows by their directory, whatever order they have.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 class Workspace:
     """A fresh sub-folder of the shared root; tables in it survive the loss of executors."""
 

@@ -128,3 +128,83 @@ def test_open(spark, built):
     again = layout.open_blocks(spark, root, index)
     assert (again.parts, again.width) == (blocks.parts, blocks.width)
     assert again.skips.count() == blocks.skips.count()
+
+
+@pytest.mark.parametrize("near", [0, 60])
+def test_many_blocks_of_few_terms_stay_in_place(spark, built, monkeypatch, near):
+    """More blocks are wanted than can be broadcast; only terms beyond the limit move blocks."""
+    monkeypatch.setattr(layout, "BROADCAST_ROWS", near)
+    index, blocks = built
+    batch = batch_of(spark, index, [*QUERIES, (0, "topic3x1 topic3x2 common")])
+    terms = [r.term for r in batch.terms.select("term").distinct().collect()]
+    assert blocks.skips.filter(F.col("term").isin(terms) & (F.col("field") == "body")).count() > 60
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = layout.matching_postings(blocks, batch, "body", Workspace(spark))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("Exchange hashpartitioning" in plan) == (near == 0)
+    want = scoring.match(index, batch, "body", batch.terms).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_blocks_are_gathered_across_batches(spark, corpus, built, monkeypatch):
+    index, wanted = built
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        blocks = layout.build_blocks(index, Workspace(spark), block_docs=8, part_bytes=16_000)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    lengths = {(r.field, r.doc_id): r.doc_len for r in index.doc_stats.collect()}
+    lists = {}
+    for r in index.postings.collect():
+        key = r.field, r.term, r.doc_id // blocks.width
+        lists.setdefault(key, []).append((r.doc_id, r.tf, lengths[r.field, r.doc_id]))
+    expected = {
+        key: (sorted(p), len(p), len(p) - len({d for d, _, _ in p}) + 1, max(t for _, t, _ in p), min(n for *_, n in p))
+        for key, p in lists.items()
+    }
+    for built_now in (blocks, wanted):
+        skips = {
+            (r.field, r.term, r.block): (r.n, r.copies, r.max_tf, r.min_len) for r in built_now.skips.collect()
+        }
+        rows = built_now.blocks.collect()
+        assert len(rows) == len(expected)
+        assert {
+            (key := (r.field, r.term, r.block)): (list(map(tuple, r.postings)), *skips[key]) for r in rows
+        } == expected
+    assert max(v[2] for v in expected.values()) == 3
+
+
+def test_files_of_blocks_lie_in_the_order_of_their_terms(spark, built):
+    _, blocks = built
+    keys = blocks.blocks.select(F.input_file_name().alias("file"), "term", "block").collect()
+    by_file = {}
+    for r in keys:
+        by_file.setdefault(r.file, []).append((r.term, r.block))
+    assert len(by_file) >= blocks.parts and all(rows == sorted(rows) for rows in by_file.values())
+
+
+def test_postings_move_once_to_their_blocks(spark, built, tmp_path):
+    """One shuffle of postings, also for a single field, whose name is a constant to the planner."""
+    index, _ = built
+    seen = []
+    frame = type(index.postings)
+    original = frame.mapInArrow
+
+    def watched(self, function, schema, *more):
+        if function is layout._gathered:
+            seen.append(self._jdf.queryExecution().executedPlan().toString())
+        return original(self, function, schema, *more)
+
+    docs = spark.createDataFrame([(k, f"common word{k % 5}") for k in range(60)], "doc_id bigint, text string")
+    single = build_index({"body": docs}, Workspace(spark), buckets=3)
+    frame.mapInArrow = watched
+    try:
+        built_now = layout.build_blocks(single, Workspace(spark), block_docs=8, part_bytes=400)
+    finally:
+        frame.mapInArrow = original
+    assert len(seen) == 1 and sum("Exchange" in x and "Broadcast" not in x for x in seen[0].splitlines()) == 1
+    assert built_now.skips.agg(F.sum("n")).first()[0] == 120
