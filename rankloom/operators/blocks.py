@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.workspace import Workspace, files_kept_open
+from ..sources.workspace import ANY_BYTES, BATCH_BYTES, FILES_KEPT_OPEN, Workspace, settings
 from .index import Index
 from .joins import BROADCAST_ROWS
 from .ranking import top_k
@@ -27,6 +27,8 @@ from .scoring import QueryBatch, accumulate, bm25_contribution, weigh
 #: Bytes of a directory; a posting counts ``POSTING_BYTES``.
 PART_BYTES = 64 << 20
 POSTING_BYTES = 16
+#: Bytes of a part that one task sorts and gathers.
+TASK_BYTES = 16 << 20
 #: Documents that a block spans on average.
 BLOCK_DOCS = 16
 #: Terms and parts named in a filter of the scan; with more, the join alone selects.
@@ -37,6 +39,7 @@ MARGIN = 1e-8
 POSTINGS = "postings array<struct<doc_id:bigint,tf:int,doc_len:bigint>>"
 SKIPS = "term string, block bigint, n bigint, copies bigint, max_tf int, min_len bigint, field string, part int"
 BLOCKS = f"{POSTINGS}, {SKIPS}"
+GATHERED = f"{POSTINGS}, term string, block bigint, copies bigint, max_tf int, min_len bigint, place int"
 WIDE = "term string, spans bigint, field string"
 
 
@@ -59,7 +62,7 @@ def part_of(term: Column | str, span: Column, parts: int) -> Column:
 
 
 def _gathered(batches: Iterator) -> Iterator:
-    """Arrow function from postings in the order of term, field and document to rows of their blocks."""
+    """Arrow function from postings in the order of term, place and document to rows of their blocks."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -81,13 +84,11 @@ def _gathered(batches: Iterator) -> Iterator:
             "postings": pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), postings),
             "term": batch.column("term").take(first),
             "block": batch.column("block").take(first),
-            "n": pa.array(sizes),
             # an id that was added several times has as many postings here at most
             "copies": pa.array(sizes - np.add.reduceat(seen, starts) + 1),
             "max_tf": pa.array(np.maximum.reduceat(tf.to_numpy(), starts)),
             "min_len": pa.array(np.minimum.reduceat(length.to_numpy(), starts)),
-            "field": batch.column("field").take(first),
-            "part": batch.column("part").take(first),
+            "place": batch.column("place").take(first),
         }
         return pa.RecordBatch.from_arrays(list(found.values()), list(found))
 
@@ -95,7 +96,7 @@ def _gathered(batches: Iterator) -> Iterator:
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = [batch.column(c) for c in ("term", "field", "block")]
+        keys = [batch.column(c) for c in ("term", "place", "block")]
         new = np.zeros(batch.num_rows, bool)
         new[0] = last is not None and last != [k[0].as_py() for k in keys]
         for key in keys:
@@ -130,11 +131,11 @@ def build_blocks(
     n_blocks = high // width - low // width + 1
 
     whole = None
-    for field in fields:
+    for number, field in enumerate(fields):
         found = index.field_postings(field).select("doc_id", "term", "tf")
         # a bucket has few documents: they are hashed, and its postings keep their order by term
         docs = index.field_docs(field).hint("shuffle_hash")
-        found = found.join(docs, "doc_id").withColumn("field", F.lit(field))
+        found = found.join(docs, "doc_id").withColumns({"field": F.lit(field), "number": F.lit(number)})
         whole = found if whole is None else whole.unionByName(found)
     # more of them than this can't be: a wide term has more than a part's bytes
     index.term_stats.filter(F.col("df") * POSTING_BYTES > part_bytes).select(
@@ -143,20 +144,27 @@ def build_blocks(
     wide = F.broadcast(spark.read.schema(WIDE).parquet(workspace.path("wide")))
     block = F.floor(F.coalesce("doc_id", F.lit(low)) / width)
     span = F.floor((F.col("block") - low // width) * F.coalesce("spans", F.lit(1)) / n_blocks)
+    place = part_of("term", span, parts) * len(fields) + F.col("number")
     placed = whole.join(wide, ["field", "term"], "left").withColumn("block", block).select(
-        "term", "field", "block", part_of("term", span, parts).alias("part"),
+        "term", place.alias("place"), "block",
         F.col("doc_id").cast("bigint").alias("doc_id"), "tf", F.col("doc_len").cast("bigint").alias("doc_len"),
     )
-    # a task has the postings of one part, or a share of them where there are fewer parts than cores
-    shares = -(-spark.sparkContext.defaultParallelism // parts)
+    part = F.floor(F.col("place") / len(fields)).cast("int")
+    # a task has a share of one part
+    shares = max(-(-spark.sparkContext.defaultParallelism // parts), -(-part_bytes // TASK_BYTES))
     share = F.pmod(F.xxhash64("term", "block"), F.lit(shares)).cast("int")
-    blocks = (
-        placed.repartitionById(parts * shares, F.col("part") * shares + share)
+    gathered = (
+        placed.repartitionById(parts * shares, part * shares + share)
         # runs of postings come in this order; it begins with terms, as eight bytes of them decide most places
-        .sortWithinPartitions("term", "field", "doc_id", "tf", "doc_len")
-        .mapInArrow(_gathered, BLOCKS)
+        .sortWithinPartitions("term", "place", "doc_id", "tf", "doc_len")
+        .mapInArrow(_gathered, GATHERED)
     )
-    with files_kept_open(spark, len(fields)):
+    blocks = gathered.select(
+        "postings", "term", "block", F.size("postings").cast("bigint").alias("n"), "copies", "max_tf", "min_len",
+        F.element_at(F.array(*map(F.lit, fields)), F.col("place") % len(fields) + 1).alias("field"),
+        part.alias("part"),
+    )
+    with settings(spark, {FILES_KEPT_OPEN: len(fields), BATCH_BYTES: ANY_BYTES}):
         blocks.write.mode("overwrite").partitionBy("field", "part").parquet(workspace.path("blocks"))
     manifest = json.dumps({"parts": parts, "width": width})
     spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -10,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stemming import stem_vocabulary
-from ..functions.text import idf, term_bucket, term_counts
+from ..functions.text import STOP_WORDS, idf, raw_tokens, term_bucket, term_counts
 from ..sources.workspace import Workspace, text_buckets
 from .joins import join_vocabulary
 
 POSTING_BLOCK = 65_536
 LEAST_TERM_BUCKETS = 4
+#: Rows that Python hands over at a time.
+HANDED_ROWS = 65_536
 TERM_STATS = "term string, df bigint, term_total bigint, field string, term_bucket int"
 
 
@@ -59,6 +62,45 @@ class Index:
         return self.corpus_stats.filter(F.col("field") == field).select(column).scalar()
 
 
+def _counted(batches: Iterator) -> Iterator:
+    """Arrow function from ``(doc_id, tokens)`` to ``(doc_id, term, tf)``, a batch's rows by term and document.
+
+    As :func:`term_counts`, but documents are counted together: the words of a batch are numbered in their
+    order, and its tokens are sorted as numbers.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        rows = batch.num_rows
+        lists = batch.column("tokens")
+        tokens = lists.flatten().dictionary_encode()
+        if not len(tokens):
+            continue
+        words = tokens.dictionary
+        order = pc.sort_indices(words).to_numpy()
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        words = words.take(pa.array(order))
+        stop = pc.is_in(words, value_set=pa.array(STOP_WORDS, words.type)).to_numpy(zero_copy_only=False)
+        by_id = pc.sort_indices(batch.column("doc_id")).to_numpy()
+        at = np.empty(rows, np.int64)
+        at[by_id] = np.arange(rows)
+        ids = batch.column("doc_id").take(pa.array(by_id))
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        keys = place[tokens.indices.to_numpy()] * rows + np.repeat(at, sizes)
+        keys.sort()
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        tf = np.diff(np.append(starts, len(keys))).astype(np.int32)
+        word, row = np.divmod(keys[starts], rows)
+        kept = np.flatnonzero(~stop[word])
+        for first in range(0, len(kept), HANDED_ROWS):
+            some = kept[first : first + HANDED_ROWS]
+            found = [ids.take(pa.array(row[some])), words.take(pa.array(word[some])), pa.array(tf[some])]
+            yield pa.RecordBatch.from_arrays(found, ["doc_id", "term", "tf"])
+
+
 def count_terms(
     fields: dict[str, DataFrame], merge: tuple[str, ...] = (), buckets: int | None = None
 ) -> DataFrame:
@@ -72,8 +114,12 @@ def count_terms(
     for name, docs in fields.items():
         rows = docs.select("doc_id", "text")
         if buckets and name not in merge:
-            rows = rows.repartition(buckets, "doc_id")
-        counts = term_counts(rows, ["doc_id"])
+            # counted together, so that a bucket's rows come in long runs by term to where they are sorted
+            id_type = rows.schema["doc_id"].dataType.simpleString()
+            tokens = rows.repartition(buckets, "doc_id").select("doc_id", raw_tokens("text").alias("tokens"))
+            counts = tokens.mapInArrow(_counted, f"doc_id {id_type}, term string, tf int")
+        else:
+            counts = term_counts(rows, ["doc_id"])
         if name in merge:
             counts = counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
             if buckets:
@@ -219,6 +265,7 @@ def write_index(
         buckets,
         partition_by=("field", "term_bucket"),
         sort_by=("term", "doc_id"),
+        directories=sizes.count() * term_buckets,
     )
     term_statistics(postings).sortWithinPartitions("field", "term_bucket", "term").write.mode(
         "overwrite"

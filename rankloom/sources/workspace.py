@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one task analyzes and one bucket holds; some 4 million postings.
 BUCKET_BYTES = 32 << 20
+#: Files that a task keeps open at once instead of sorting its rows by directory.
+OPEN_FILES = 32
 #: Bytes of text that a posting stands for.
 POSTING_TEXT = 8
 
@@ -50,19 +52,25 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(at, True)
 
 
-@contextmanager
-def files_kept_open(spark: SparkSession, files: int) -> Iterator[None]:
-    """Inside, a task that writes to at most so many directories keeps a file of each open.
+#: A task that writes to at most so many directories keeps a file of each open, instead of sorting its rows first.
+FILES_KEPT_OPEN = "spark.sql.maxConcurrentOutputFileWriters"
+#: Bytes of a batch for Python. Spark looks at them after every row, unless they are ``ANY_BYTES``; where rows are
+#: short, their number bounds a batch well enough.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+ANY_BYTES = 2**31 - 1
 
-    Otherwise Spark first sorts a task's rows by their directory, whatever order they have.
-    """
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(files))
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, int]) -> Iterator[None]:
+    """What is run inside runs with other settings of the session."""
+    before = {name: spark.conf.get(name) for name in values}
     try:
+        for name, value in values.items():
+            spark.conf.set(name, str(value))
         yield
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class Workspace:
@@ -92,18 +100,28 @@ class Workspace:
         keys: tuple[str, ...] = ("doc_id",),
         partition_by: tuple[str, ...] = (),
         sort_by: tuple[str, ...] = ("doc_id",),
+        directories: int | None = None,
     ) -> DataFrame:
-        """As :meth:`save`, hash-bucketed so later joins and groupings on the keys stay local."""
+        """As :meth:`save`, hash-bucketed so later joins and groupings on the keys stay local.
+
+        ``directories`` says that a task of ``df`` has rows of one bucket, in at most so many directories. If
+        they are few, its rows are sorted by ``sort_by`` alone, and a file in each directory is kept open.
+        """
+        few = directories is not None and directories <= OPEN_FILES
+        if few:
+            df = df.sortWithinPartitions(*sort_by)
         writer = (
             df.write.format("parquet")
             .mode("overwrite")
             .option("path", self.path(name))
             .bucketBy(buckets, *keys)
-            .sortBy(*sort_by)
         )
+        if not few:
+            writer = writer.sortBy(*sort_by)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(self.table_name(name))
+        with settings(self.spark, {FILES_KEPT_OPEN: directories} if few else {}):
+            writer.saveAsTable(self.table_name(name))
         return self.spark.table(self.table_name(name))
 
 

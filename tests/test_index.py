@@ -209,3 +209,41 @@ def test_lookup_leaves_the_buckets_in_place(spark, workspace, monkeypatch, per_t
         while up > 0 and "Join" not in lines[up]:
             up -= 1
             assert "Exchange hashpartitioning" not in lines[up] or lines[up].index("Exchange") >= depth
+
+
+ODD = [
+    (5, "Pear apple apple the pear, PEAR"), (1, None), (3, "zoo Ärger übung apple"), (3, "apple zoo"),
+    (None, "apple apple orphan"), (9, ""), (4, "the of and"), (2, "日本語 apple 𝒳𝒳𝒳 ﬁre pear"), (7, "zz-top o'clock zoo"),
+]
+
+
+@pytest.mark.parametrize("rows", [1, 3, 10_000])
+def test_documents_counted_together_equal_each_by_itself(spark, rows):
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        together = ix.count_terms({"body": docs}, buckets=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    alone = ix.count_terms({"body": docs}).collect()
+    assert Counter(map(tuple, together)) == Counter(map(tuple, alone))
+    if rows > len(ODD):  # a whole run, in the order that a bucket is sorted by
+        keys = [(r.term.encode(), r.doc_id) for r in together if r.doc_id is not None]
+        assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("files", [0, 32])
+def test_files_of_postings_lie_by_term_and_document(spark, workspace, monkeypatch, files):
+    monkeypatch.setattr(folders, "OPEN_FILES", files)
+    docs = spark.createDataFrame(
+        [(k, f"word{k % 7} word{k % 5} common {'rare' * (k % 3)}") for k in range(200)], "doc_id long, text string"
+    )
+    index = ix.build_index({"body": docs, "title": docs.filter("doc_id < 50")}, workspace, buckets=3)
+    by_file = {}
+    for r in index.postings.select("*", F.input_file_name().alias("file")).collect():
+        by_file.setdefault(r.file, []).append((r.term, r.doc_id))
+    assert len(by_file) > 3 and all(keys == sorted(keys) for keys in by_file.values())
+    assert len({(r.field, r.doc_id) for r in index.doc_stats.collect()}) == index.doc_stats.count() == 250
+    plan = index.postings.groupBy("doc_id").count()._jdf.queryExecution().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
