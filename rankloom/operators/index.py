@@ -17,7 +17,8 @@ from .joins import join_vocabulary
 
 POSTING_BLOCK = 65_536
 LEAST_TERM_BUCKETS = 4
-#: Rows that Python hands over at a time.
+#: Tokens that Python counts together, and rows that it hands over at a time; a longer document is counted alone.
+COUNTED_TOKENS = 1 << 18
 HANDED_ROWS = 65_536
 TERM_STATS = "term string, df bigint, term_total bigint, field string, term_bucket int"
 
@@ -65,14 +66,22 @@ class Index:
 def _counted(batches: Iterator) -> Iterator:
     """Arrow function from ``(doc_id, tokens)`` to ``(doc_id, term, tf)``, a batch's rows by term and document.
 
-    As :func:`term_counts`, but documents are counted together: the words of a batch are numbered in their
-    order, and its tokens are sorted as numbers.
+    As :func:`term_counts`, but documents are counted together: the words of a slice of a batch are numbered in
+    their order, and its tokens are sorted as numbers.
     """
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    for batch in batches:
+    def slices(batch):
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy(), dtype=np.int64)
+        first, before = 0, 0
+        while first < batch.num_rows:
+            end = max(first + 1, int(np.searchsorted(ends, before + COUNTED_TOKENS, "right")))
+            yield batch.slice(first, end - first)
+            first, before = end, ends[end - 1]
+
+    for batch in (some for whole in batches for some in slices(whole)):
         rows = batch.num_rows
         lists = batch.column("tokens")
         tokens = lists.flatten().dictionary_encode()

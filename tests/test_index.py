@@ -247,3 +247,15 @@ def test_files_of_postings_lie_by_term_and_document(spark, workspace, monkeypatc
     plan = index.postings.groupBy("doc_id").count()._jdf.queryExecution().toString()
     assert "Bucketed: true" in plan and "Exchange" not in plan
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_worker_counts_a_bounded_number_of_tokens(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ix, "COUNTED_TOKENS", 4)
+    lists = [["zoo", "ant"], None, ["ant"], [], ["bee"] * 9, ["ant", "zoo"], ["cat"], ["ant", "bee", "cat"]]
+    batch = pa.record_batch({"doc_id": list(range(8)), "tokens": pa.array(lists, pa.list_(pa.string()))})
+    found = [[tuple(r.values()) for r in some.to_pylist()] for some in ix._counted([batch])]
+    assert [sum(tf for *_, tf in some) for some in found] == [3, 9, 3, 3]
+    expected = [(k, word, n) for k, words in enumerate(lists) for word, n in Counter(words or []).items()]
+    assert sorted(r for some in found for r in some) == sorted(expected)
